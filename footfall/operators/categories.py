@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.operators.hints import small
-from footfall.operators.sessions import session_detail
+from footfall.operators.sessions import detail_of_few
 from footfall.operators.topn import first_n
 
 TOP_CATEGORIES = 10
@@ -70,9 +70,16 @@ def join_category_counts(categories: DataFrame, clicks: DataFrame, orders: DataF
     return joined.fillna(0, _COUNTS).select("category_id", *_COUNTS)
 
 
-def session_category_activity(detail: DataFrame) -> DataFrame:
-    """Clicks, orders and pays of each session in each category."""
-    return _kind_counts(category_events(detail), "category_id", "session_id")
+def session_category_activity(actions: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Clicks, orders and pays of each of ``sessions`` in each category.
+
+    The log is counted before the sessions are selected: the join then has one row per
+    session and category, however many actions a session has.
+    """
+    activity = _kind_counts(category_events(actions), "category_id", "session_id")
+    return activity.join(sessions.select("session_id"), "session_id", "left_semi").select(
+        "category_id", "session_id", *_COUNTS
+    )
 
 
 def category_counts(detail: DataFrame) -> DataFrame:
@@ -103,6 +110,11 @@ def rank_categories(counts: DataFrame, n: int) -> DataFrame:
     return top_categories(counts, n).withColumn("rank", rank)
 
 
+def clicked(activity: DataFrame) -> DataFrame:
+    """The result of ``session_category_clicks`` from per-session counts."""
+    return activity.where("click_count > 0").select("category_id", "session_id", "click_count")
+
+
 def session_category_clicks(detail: DataFrame) -> DataFrame:
     """Clicks of each session in each category."""
     return (
@@ -131,4 +143,4 @@ def top_session_detail(
     actions: DataFrame, top: DataFrame, n: int = TOP_CATEGORIES * TOP_SESSIONS
 ) -> DataFrame:
     """Actions of the sessions of ``top``, at most ``n`` of them; each action once."""
-    return session_detail(actions, small(top.select("session_id"), n))
+    return detail_of_few(actions, top, n)

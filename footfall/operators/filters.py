@@ -39,25 +39,51 @@ def equals(column: str, value: str | None) -> Column | None:
     return F.coalesce(F.col(column) == value, F.lit(False))
 
 
-def session_predicates(params: TaskParams) -> list[Column]:
-    """The filters that ``params`` asks for."""
-    filters = [
+def user_predicates(params: TaskParams) -> list[Column]:
+    """Filters of ``params`` on the columns of the user."""
+    return _present(
         in_range("age", params.start_age, params.end_age),
         in_list("professional", params.professionals),
         in_list("city", params.cities),
         equals("sex", params.sex),
+    )
+
+
+def session_predicates(params: TaskParams) -> list[Column]:
+    """All filters of ``params``, over sessions with user columns and arrays."""
+    return user_predicates(params) + _present(
         overlaps_list("search_keywords", params.keywords),
         overlaps_list("click_category_ids", params.category_ids, "bigint"),
-    ]
+    )
+
+
+def action_predicates(params: TaskParams) -> dict[str, Column]:
+    """Filters of ``params`` that a session passes by one of its actions, by name."""
+    tests = {
+        "by_keyword": in_list("search_keyword", params.keywords),
+        "by_category": _in_numbers("click_category_id", params.category_ids),
+    }
+    return {name: test for name, test in tests.items() if test is not None}
+
+
+def _in_numbers(column: str, values: list | None) -> Column | None:
+    if not values:
+        return None
+    return F.coalesce(F.col(column).isin(*[F.lit(value).try_cast("bigint") for value in values]), F.lit(False))
+
+
+def _present(*filters: Column | None) -> list[Column]:
     return [condition for condition in filters if condition is not None]
 
 
+def keep_all(df: DataFrame, predicates: list[Column]) -> DataFrame:
+    """Rows that pass every predicate, as one conjunction."""
+    return df.where(reduce(lambda left, right: left & right, predicates)) if predicates else df
+
+
 def filter_sessions(sessions: DataFrame, params: TaskParams) -> DataFrame:
-    """Sessions that pass every filter of ``params``, as one conjunction.
+    """Sessions that pass every filter of ``params``.
 
     Catalyst moves the conditions on user columns below the user join.
     """
-    predicates = session_predicates(params)
-    if not predicates:
-        return sessions
-    return sessions.where(reduce(lambda left, right: left & right, predicates))
+    return keep_all(sessions, session_predicates(params))

@@ -6,12 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.functions import ratio
-from footfall.operators.sessions import order_columns
+from footfall.operators.sessions import LONG_SESSION, long_sessions, order_columns
 from footfall.schemas import ACTION_ID
 
-# A session with more actions than this is ordered in parts.
-LONG_SESSION = 5_000_000
-
 
 def page_steps(actions: DataFrame, long_session: int = LONG_SESSION) -> DataFrame:
     """Each action's page with the page before it in its session: prev_page, page.
@@ -54,12 +51,7 @@ def _mark_parts(actions: DataFrame, time: str, tie: str, long_session: int) -> D
     fewer than one row per ``long_session`` actions of the log and are broadcast.
     """
     rows = actions.select("session_id", "page_id", time, tie)
-    long = (
-        rows.groupBy(F.col("session_id").alias("long_id"))
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") > long_session)
-        .select("long_id")
-    )
+    long = long_sessions(rows, long_session).withColumnRenamed("session_id", "long_id")
     is_long_row = F.col("session_id").eqNullSafe(F.col("long_id"))
     marked = (
         rows.join(F.broadcast(long.withColumn("found", F.lit(True))), is_long_row, "left")

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.functions import comma_list, divide_down, format_date
-from footfall.operators.hints import small
-from footfall.operators.sessions import session_detail
+from footfall.functions import divide_down, format_date
+from footfall.operators.sessions import aggregate_sessions, detail_of_few, render_lists
 from footfall.operators.topn import first_n
 
 DEFAULT_SAMPLE_SIZE = 100
@@ -42,40 +41,32 @@ def session_sample_quota(hour_counts: DataFrame, total: int = DEFAULT_SAMPLE_SIZ
 
 
 def sample_sessions(sessions: DataFrame, total: int = DEFAULT_SAMPLE_SIZE, seed: int = 42) -> DataFrame:
-    """The sampled sessions, drawn in each hour by the hash of session id and seed.
+    """Ids of the sampled sessions, drawn in each hour by the hash of session id and seed.
 
     The same sessions, total and seed always give the same sample. The quota table has
     at most 24 rows a day and is broadcast. No quota exceeds ``total``, which lets Spark
     cut each hour in the map tasks.
     """
     quota = session_sample_quota(session_hour_counts(sessions), total).where("quota > 0")
-    candidates = _with_start_hour(sessions).join(
-        F.broadcast(quota.select("date", "hour", "quota")), ["date", "hour"]
-    )
-    draw = F.md5(F.concat(F.col("session_id"), F.lit(str(seed))).cast("binary"))
-    return (
-        first_n(
-            candidates.withColumn("draw", draw),
-            ["date", "hour"],
-            [F.col("draw"), F.col("session_id")],
-            total,
-            "position",
-        )
-        .where("position <= quota")
-        .select(*sessions.columns)
-    )
-
-
-def sample_report(sampled: DataFrame) -> DataFrame:
-    """Sampled sessions as the result table holds them."""
-    return sampled.select(
-        "session_id",
-        "start_time",
-        comma_list("search_keywords").alias("search_keywords"),
-        comma_list("click_category_ids").alias("click_category_ids"),
+    candidates = _with_start_hour(sessions).select(
+        "date", "hour", "session_id", F.md5(F.concat("session_id", F.lit(str(seed))).cast("binary")).alias("draw")
     )
+    candidates = candidates.join(F.broadcast(quota.select("date", "hour", "quota")), ["date", "hour"])
+    order = [F.col("draw"), F.col("session_id")]
+    drawn = first_n(candidates, ["date", "hour"], order, total, "position")
+    return drawn.where("position <= quota").select("session_id")
 
 
 def sampled_detail(actions: DataFrame, sampled: DataFrame, total: int = DEFAULT_SAMPLE_SIZE) -> DataFrame:
     """Actions of the sampled sessions, of which there are at most ``total``."""
-    return session_detail(actions, small(sampled.select("session_id"), total))
+    return detail_of_few(actions, sampled, total)
+
+
+def sample_report(detail: DataFrame) -> DataFrame:
+    """Sampled sessions with start time, keywords and categories, from their actions.
+
+    The lists are made here, for the sampled sessions only.
+    """
+    return render_lists(aggregate_sessions(detail)).select(
+        "session_id", "start_time", "search_keywords", "click_category_ids"
+    )

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions import comma_list, is_not_empty, ratio, seconds_between
-from footfall.operators.filters import filter_sessions
+from footfall.operators.filters import action_predicates, keep_all, user_predicates
+from footfall.operators.hints import BROADCAST_ROWS
 from footfall.params import TaskParams
 from footfall.schemas import (
     ACTION_ID,
@@ -17,6 +18,9 @@ from footfall.schemas import (
     VISIT_RATIOS,
 )
 
+# A session with more actions than this is not handled by one task.
+LONG_SESSION = 5_000_000
+
 # Bucket name -> inclusive bounds (fixed values; None is open). A visit of 0 seconds
 # is in no bucket.
 VISIT_BUCKETS = {
@@ -49,44 +53,50 @@ def order_columns(actions: DataFrame) -> list[str]:
     return ["action_time", ACTION_ID if ACTION_ID in actions.columns else "page_id"]
 
 
-def aggregate_sessions(actions: DataFrame) -> DataFrame:
+def aggregate_sessions(actions: DataFrame, **extra: Column) -> DataFrame:
     """One row per session, with keywords and clicked categories as arrays.
 
     Everything is a mergeable aggregate, so a session that holds much of the log is
-    reduced in the map tasks and no task ever sees its rows together.
+    reduced in the map tasks and no task ever sees its rows together. The arrays are the
+    costly part; readers that do not select them do not pay for them. ``extra`` are more
+    aggregates by name.
     """
-    first_action = F.when(F.col("action_time").isNotNull(), F.struct(*_first_action_order(actions)))
+    earliest = F.when(F.col("action_time").isNotNull(), F.struct(*order_columns(actions), "user_id"))
     start, end = F.min("action_time"), F.max("action_time")
     return (
         actions.groupBy("session_id")
         .agg(
-            F.min_by("user_id", first_action).alias("user_id"),
+            F.min_by("user_id", earliest).alias("user_id"),
             F.collect_set(F.when(is_not_empty("search_keyword"), F.col("search_keyword"))).alias("search_keywords"),
             F.collect_set("click_category_id").alias("click_category_ids"),
             seconds_between(end, start).alias("visit_length"),
             F.count("*").alias("step_length"),
             start.alias("start_time"),
+            *[column.alias(name) for name, column in extra.items()],
         )
-        .select(*SESSION_COLUMNS)
+        .select(*SESSION_COLUMNS, *extra)
     )
 
 
-def _first_action_order(actions: DataFrame) -> list[str]:
-    return [*order_columns(actions), "user_id"]
-
-
 def join_users(sessions: DataFrame, users: DataFrame) -> DataFrame:
     """Add user columns; sessions of unknown users are dropped.
 
     No hint is given: Spark broadcasts the users when they are small, and else splits
     the partitions of users with many sessions at run time.
     """
-    return sessions.join(users.select("user_id", *USER_COLUMNS), "user_id").select(*SESSION_COLUMNS, *USER_COLUMNS)
+    return sessions.join(users.select("user_id", *USER_COLUMNS), "user_id").select(*sessions.columns, *USER_COLUMNS)
 
 
 def filtered_sessions(actions: DataFrame, users: DataFrame, params: TaskParams) -> DataFrame:
-    """Sessions with user columns that pass the filters of ``params``."""
-    return filter_sessions(join_users(aggregate_sessions(actions), users), params)
+    """Sessions with user columns that pass the filters of ``params``.
+
+    Equal to ``filter_sessions`` over the joined sessions, but keywords and categories
+    are tested action by action, as flags of the session, and not on the arrays.
+    """
+    tests = action_predicates(params)
+    flags = {name: F.coalesce(F.bool_or(test), F.lit(False)) for name, test in tests.items()}
+    sessions = join_users(aggregate_sessions(actions, **flags), users)
+    return keep_all(sessions, [*user_predicates(params), *[F.col(name) for name in flags]]).drop(*flags)
 
 
 def render_lists(sessions: DataFrame) -> DataFrame:
@@ -98,9 +108,46 @@ def detail_columns(actions: DataFrame) -> list[str]:
     return [name for name in [*DETAIL_COLUMNS, ACTION_ID] if name in actions.columns]
 
 
-def session_detail(actions: DataFrame, sessions: DataFrame) -> DataFrame:
+def long_sessions(actions: DataFrame, more_than: int = LONG_SESSION) -> DataFrame:
+    """Ids of the sessions with more than ``more_than`` actions.
+
+    There are fewer of them than one per ``more_than`` actions of the log, so the result
+    may be broadcast.
+    """
+    return (
+        actions.groupBy("session_id").agg(F.count("*").alias("n")).where(F.col("n") > more_than).select("session_id")
+    )
+
+
+def join_sessions(
+    actions: DataFrame, sessions: DataFrame, how: str = "inner", long_session: int = LONG_SESSION
+) -> DataFrame:
+    """Join actions with ``sessions``, which has one row per session, on the session.
+
+    Actions of long sessions never meet in one task: they stay where they are read, and
+    the rows of their sessions are sent to them. When there is no long session, Spark
+    drops that branch at run time.
+    """
+    long = F.broadcast(long_sessions(actions, long_session))
+    ordinary = actions.join(long, "session_id", "left_anti").join(sessions, "session_id", how)
+    long_rows = F.broadcast(sessions.join(long, "session_id", "left_semi"))
+    return ordinary.unionByName(
+        actions.join(long, "session_id", "left_semi").join(long_rows, "session_id", how)
+    )
+
+
+def session_detail(actions: DataFrame, sessions: DataFrame, long_session: int = LONG_SESSION) -> DataFrame:
     """Actions of the given sessions, each once."""
-    return actions.join(sessions.select("session_id"), "session_id", "left_semi").select(*detail_columns(actions))
+    detail = actions.select(*detail_columns(actions))
+    return join_sessions(detail, sessions.select("session_id"), "left_semi", long_session).select(*detail.columns)
+
+
+def detail_of_few(actions: DataFrame, sessions: DataFrame, at_most: int) -> DataFrame:
+    """``session_detail`` for sessions that are known to be few."""
+    if at_most > BROADCAST_ROWS:
+        return session_detail(actions, sessions)
+    few = F.broadcast(sessions.select("session_id"))
+    return actions.join(few, "session_id", "left_semi").select(*detail_columns(actions))
 
 
 def _bucket_counts(column: str, buckets: dict) -> list[Column]:

@@ -25,24 +25,24 @@ def run_session_analysis(
     rankings read only those counts. Nothing but the parameters is on the driver.
     """
     actions = action_date_range(actions, *params.date_range())
-    with staged(sessions.filtered_sessions(actions, users, params)) as matching:
+    matching = sessions.filtered_sessions(actions, users, params)
+    with staged(matching.select("session_id", "start_time", "visit_length", "step_length")) as matching:
         results.write(sessions.session_aggr_stat(matching), "session_aggr_stat", task_id)
         with staged(sampling.sample_sessions(matching, sample_size, seed)) as sampled:
-            results.write(sampling.sample_report(sampled), "session_random_extract", task_id)
-            results.write(sampling.sampled_detail(actions, sampled, sample_size), "session_detail", task_id)
-        detail = sessions.session_detail(actions, matching)
-        with staged(categories.session_category_activity(detail)) as activity:
+            detail = sampling.sampled_detail(actions, sampled, sample_size)
+            results.write(sampling.sample_report(detail), "session_random_extract", task_id)
+            results.write(detail, "session_detail", task_id)
+        with staged(categories.session_category_activity(actions, matching)) as activity:
             _write_rankings(actions, activity, task_id, results)
 
 
 def _write_rankings(actions: DataFrame, activity: DataFrame, task_id: int, results) -> None:
     with staged(categories.top_categories(categories.total_activity(activity))) as top:
         results.write(top, "top10_category", task_id)
-        clicks = activity.where("click_count > 0").select("category_id", "session_id", "click_count")
-        busiest = categories.top_sessions(categories.top_category_session_clicks(clicks, top))
-        with staged(busiest) as top_sessions:
-            results.write(top_sessions, "top10_session", task_id)
-            results.write(categories.top_session_detail(actions, top_sessions), "top10_session_detail", task_id)
+        clicks = categories.top_category_session_clicks(categories.clicked(activity), top)
+        with staged(categories.top_sessions(clicks)) as busiest:
+            results.write(busiest, "top10_session", task_id)
+            results.write(categories.top_session_detail(actions, busiest), "top10_session_detail", task_id)
 
 
 def page_convert_rates(actions: DataFrame, params: TaskParams) -> DataFrame:

@@ -53,6 +53,10 @@ def _filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.filtered_sessions(_actions(spark, sf_dir), fixtures.user_info(spark, sf_dir), PARAMS)
 
 
+def _activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return categories.session_category_activity(_actions(spark, sf_dir), _filtered(spark, sf_dir))
+
+
 def _detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.session_detail(_actions(spark, sf_dir), _filtered(spark, sf_dir))
 
@@ -167,7 +171,7 @@ def _sample(spark, sf_dir):
 
 @_query
 def session_sample(spark, sf_dir):
-    return sampling.sample_report(_sample(spark, sf_dir))
+    return sampling.sample_report(sample_session_detail(spark, sf_dir))
 
 
 @_query
@@ -222,7 +226,7 @@ def category_ranking(spark, sf_dir):
 
 @_query
 def top10_category(spark, sf_dir):
-    return categories.top_categories(categories.category_counts(_detail(spark, sf_dir)))
+    return categories.top_categories(categories.total_activity(_activity(spark, sf_dir)))
 
 
 @_query
@@ -232,8 +236,9 @@ def session_category_clicks(spark, sf_dir):
 
 @_query
 def top10_category_session_counts(spark, sf_dir):
-    clicks = categories.session_category_clicks(_detail(spark, sf_dir))
-    return categories.top_category_session_clicks(clicks, top10_category(spark, sf_dir))
+    activity = _activity(spark, sf_dir)
+    top = categories.top_categories(categories.total_activity(activity))
+    return categories.top_category_session_clicks(categories.clicked(activity), top)
 
 
 @_query
@@ -319,10 +324,10 @@ def hot_keys(spark, sf_dir):
 @_query
 def date_functions(spark, sf_dir):
     """Each action against the start of its session, joined so that no session is sorted whole."""
-    actions = _actions(spark, sf_dir)
+    actions = _actions(spark, sf_dir).select("session_id", "action_id", "action_time")
     starts = actions.groupBy("session_id").agg(F.min("action_time").alias("start_time"))
     later = F.col("start_time") + F.make_dt_interval(mins=F.lit(5))
-    return actions.join(starts, "session_id").select(
+    return sessions.join_sessions(actions, starts).select(
         "action_id",
         fn.date_hour("action_time").alias("date_hour"),
         fn.format_time("action_time").alias("time_text"),
