@@ -14,13 +14,12 @@ def round_half_up(value, scale: int = 2) -> Column:
     return F.round(value, scale)
 
 
-def ratio(part: Column, whole: Column, scale: int = 2) -> Column:
+def ratio(part: str, whole: str, scale: int = 2) -> Column:
     """``part / whole`` rounded half up to ``scale`` places; NULL when ``whole`` is 0.
 
-    Both are non-negative counts. The rounding is done on integers, so 57 of 200 is
-    0.29 and not the 0.28 that the nearest double would give.
+    Both are SQL expressions of non-negative counts. The rounding is done on integers, so
+    57 of 200 is 0.29 and not the 0.28 that the nearest double would give.
     """
     step = 10**scale
-    whole = F.nullif(whole.cast("bigint"), F.lit(0).cast("bigint"))
-    steps = divide_down(part.cast("bigint") * (2 * step) + whole, whole * 2)
-    return steps.cast("double") / float(step)
+    whole = f"nullif({whole}, 0)"
+    return F.expr(f"CAST(({part} * {2 * step} + {whole}) div ({whole} * 2) AS DOUBLE) / {step}D")

@@ -121,23 +121,15 @@ def page_convert_rate(steps: DataFrame, flow: list[int]) -> DataFrame:
     pairs = flow_splits(flow)
     if not pairs:
         return steps.sparkSession.createDataFrame([], "step int, split string, pv bigint, prev_pv bigint, rate double")
-    start = F.count_if(F.col("page") == flow[0]).alias("start")
-    views = {
-        split_name(prev, page): F.count_if((F.col("prev_page") == prev) & (F.col("page") == page))
-        for prev, page in pairs
-    }
-    counts = steps.agg(start, *[count.alias(name) for name, count in views.items()])
-    before = ["start", *[split_name(*pair) for pair in pairs]]
+    tests = {"start": f"page = {flow[0]}"}
+    tests |= {split_name(*pair): f"prev_page = {pair[0]} AND page = {pair[1]}" for pair in pairs}
+    counts = steps.agg(*[F.expr(f"count_if({test}) AS `{name}`") for name, test in tests.items()])
+    names = ["start", *[split_name(*pair) for pair in pairs]]
     rows = [
-        F.struct(
-            F.lit(step).alias("step"),
-            F.lit(split_name(*pair)).alias("split"),
-            F.col(split_name(*pair)).alias("pv"),
-            F.col(before[step - 1]).alias("prev_pv"),
-        )
-        for step, pair in enumerate(pairs, start=1)
+        f"struct({step} AS step, '{names[step]}' AS split, `{names[step]}` AS pv, `{names[step - 1]}` AS prev_pv)"
+        for step in range(1, len(names))
     ]
-    return counts.select(F.inline(F.array(*rows))).withColumn("rate", ratio(F.col("pv"), F.col("prev_pv")))
+    return counts.selectExpr(f"inline(array({', '.join(rows)}))").withColumn("rate", ratio("pv", "prev_pv"))
 
 
 def page_convert_rate_text(rates: DataFrame) -> DataFrame:

@@ -150,21 +150,16 @@ def detail_of_few(actions: DataFrame, sessions: DataFrame, at_most: int) -> Data
     return actions.join(few, "session_id", "left_semi").select(*detail_columns(actions))
 
 
-def _bucket_counts(column: str, buckets: dict) -> list[Column]:
-    return [_count_between(column, low, high) for low, high in buckets.values()]
-
-
-def _count_between(column: str, low: int, high: int | None) -> Column:
-    value = F.col(column)
-    return F.count_if(value >= low if high is None else value.between(low, high))
+def _in_bucket(column: str, low: int, high: int | None) -> str:
+    return f"{column} >= {low}" if high is None else f"{column} BETWEEN {low} AND {high}"
 
 
 def _histogram(sessions: DataFrame, column: str, buckets: dict) -> DataFrame:
     counts = [
-        F.struct(F.lit(name).alias("bucket"), _count_between(column, low, high).alias("sessions"))
+        f"struct('{name}' AS bucket, count_if({_in_bucket(column, low, high)}) AS sessions)"
         for name, (low, high) in buckets.items()
     ]
-    return sessions.agg(F.array(*counts).alias("counts")).select(F.inline("counts"))
+    return sessions.agg(F.expr(f"array({', '.join(counts)}) AS counts")).select(F.inline("counts"))
 
 
 def visit_length_histogram(sessions: DataFrame) -> DataFrame:
@@ -182,12 +177,11 @@ def session_aggr_stat(sessions: DataFrame) -> DataFrame:
 
     Shares are NULL when there is no session.
     """
-    total = F.count("*")
-    shares = [
-        ratio(part, total).alias(name)
-        for name, part in [
-            *zip(VISIT_RATIOS, _bucket_counts("visit_length", VISIT_BUCKETS)),
-            *zip(STEP_RATIOS, _bucket_counts("step_length", STEP_BUCKETS)),
-        ]
-    ]
-    return sessions.agg(total.alias("session_count"), *shares)
+    tests = [_in_bucket("visit_length", *bounds) for bounds in VISIT_BUCKETS.values()]
+    tests += [_in_bucket("step_length", *bounds) for bounds in STEP_BUCKETS.values()]
+    names = [*VISIT_RATIOS, *STEP_RATIOS]
+    counts = sessions.agg(
+        F.count("*").alias("session_count"),
+        *[F.expr(f"count_if({test}) AS {name}") for name, test in zip(names, tests)],
+    )
+    return counts.select("session_count", *[ratio(name, "session_count").alias(name) for name in names])

@@ -12,6 +12,7 @@ from footfall import params
 from footfall.operators import areas, categories, filters, page_flow, sampling, sessions, skew
 from footfall.params import TaskParams
 from footfall.plans import jobs
+from footfall.schemas import SESSION_COLUMNS, USER_COLUMNS
 from footfall.sources import fixtures, tables
 
 PARAMS = TaskParams(
@@ -98,9 +99,9 @@ def session_full_info(spark, sf_dir):
 @_query
 def skew_join_sessions(spark, sf_dir):
     aggregated = sessions.aggregate_sessions(_actions(spark, sf_dir))
-    users = fixtures.user_info(spark, sf_dir).select("user_id", "age", "professional", "city", "sex")
+    users = fixtures.user_info(spark, sf_dir).select("user_id", *USER_COLUMNS)
     joined = skew.skew_join(aggregated, users, "user_id", n_hot=HOT_KEYS, fraction=1.0)
-    return sessions.render_lists(joined.select(*_full_info(spark, sf_dir).columns))
+    return sessions.render_lists(joined.select(*SESSION_COLUMNS, *USER_COLUMNS))
 
 
 def _filter_query(spark, sf_dir, wanted):
@@ -378,9 +379,10 @@ def concat_field_set(spark, sf_dir):
 @_query
 def round_half_up(spark, sf_dir):
     """Share of each category in all clicks."""
-    counts = categories.category_click_counts(_actions(spark, sf_dir))
-    clicks = _actions(spark, sf_dir).where("click_category_id IS NOT NULL").agg(F.count("*").alias("total"))
-    return counts.select("category_id", fn.ratio(F.col("n"), clicks.scalar()).alias("share"))
+    actions = _actions(spark, sf_dir)
+    clicks = actions.agg(F.count("click_category_id").alias("total")).scalar()
+    counts = categories.category_click_counts(actions).withColumn("total", clicks)
+    return counts.select("category_id", fn.ratio("n", "total").alias("share"))
 
 
 @_query

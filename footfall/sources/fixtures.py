@@ -10,123 +10,106 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.functions import divide_down, format_date, json_field
+# Columns that the rules read; a given schema saves a job per file to find it.
+_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, props string",
+    "customer": "c_custkey bigint, c_name string",
+    "part": "p_partkey bigint, p_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def user_visit_action(spark: SparkSession, sf_dir: str, start_date: str | None = None, end_date: str | None = None) -> DataFrame:
+def user_visit_action(
+    spark: SparkSession, sf_dir: str, start_date: str | None = None, end_date: str | None = None
+) -> DataFrame:
     """The action log. Given dates are also put on the event time, which the scan can use."""
     events = _read(spark, sf_dir, "events")
     if start_date and end_date:
-        day = F.lit(end_date).cast("date")
+        first, after_last = F.lit(start_date).cast("date"), F.date_add(F.lit(end_date).cast("date"), 1)
         events = events.where(
-            (F.col("ts") >= F.lit(start_date).cast("timestamp_ntz"))
-            & (F.col("ts") < F.date_add(day, 1).cast("timestamp_ntz"))
+            (F.col("ts") >= first.cast("timestamp_ntz")) & (F.col("ts") < after_last.cast("timestamp_ntz"))
         )
-    ts = F.col("ts").cast("timestamp_ntz")
-    k = json_field("props", "k").cast("bigint")
-    second_of_day = F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")
-    offset = F.make_dt_interval(
-        hours=(F.col("user_id") % 24).cast("int"),
-        secs=divide_down(second_of_day, F.lit(40)).cast("decimal(18,6)"),
+    derived = events.selectExpr(
+        "event_id",
+        "user_id",
+        "event_type",
+        "CAST(ts AS DATE) AS day",
+        "(hour(ts) * 3600 + minute(ts) * 60 + CAST(second(ts) AS INT)) div 40 AS seconds",
+        "CAST(get_json_object(props, '$.k') AS BIGINT) AS k",
     )
-    category, next_category = F.col("k") % 20, (F.col("k") + 7) % 20
-    product = F.col("k").cast("string")
-
-    def only(event_type, value):
-        return F.when(F.col("event_type") == event_type, value)
-
-    return events.withColumns({"ts": ts, "k": k}).select(
-        format_date("ts").alias("date"),
+    return derived.selectExpr(
+        "CAST(day AS STRING) AS date",
         "user_id",
-        F.concat_ws("-", "user_id", F.date_format("ts", "yyyyMMdd")).alias("session_id"),
-        (F.col("k") % 10).alias("page_id"),
-        (F.col("ts").cast("date").cast("timestamp_ntz") + offset).alias("action_time"),
-        only("view", F.concat(F.lit("kw"), F.col("k") % 10)).alias("search_keyword"),
-        only("click", category).alias("click_category_id"),
-        only("click", F.col("k")).alias("click_product_id"),
-        only("signup", F.concat_ws(",", category, next_category)).alias("order_category_ids"),
-        only("signup", product).alias("order_product_ids"),
-        only("purchase", category.cast("string")).alias("pay_category_ids"),
-        only("purchase", product).alias("pay_product_ids"),
-        (F.col("event_id") % 25).alias("city_id"),
-        F.col("event_id").alias("action_id"),
+        "concat_ws('-', user_id, replace(CAST(day AS STRING), '-', '')) AS session_id",
+        "k % 10 AS page_id",
+        "CAST(day AS TIMESTAMP_NTZ) + make_dt_interval(0, CAST(user_id % 24 AS INT), 0, seconds) AS action_time",
+        "IF(event_type = 'view', concat('kw', k % 10), NULL) AS search_keyword",
+        "IF(event_type = 'click', k % 20, NULL) AS click_category_id",
+        "IF(event_type = 'click', k, NULL) AS click_product_id",
+        "IF(event_type = 'signup', concat_ws(',', k % 20, (k + 7) % 20), NULL) AS order_category_ids",
+        "IF(event_type = 'signup', CAST(k AS STRING), NULL) AS order_product_ids",
+        "IF(event_type = 'purchase', CAST(k % 20 AS STRING), NULL) AS pay_category_ids",
+        "IF(event_type = 'purchase', CAST(k AS STRING), NULL) AS pay_product_ids",
+        "event_id % 25 AS city_id",
+        "event_id AS action_id",
     )
 
 
 def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    return _read(spark, sf_dir, "customer").select(
-        key.alias("user_id"),
-        F.concat(F.lit("user"), key).alias("username"),
-        F.col("c_name").alias("name"),
-        (key % 60).cast("int").alias("age"),
-        F.concat(F.lit("professional"), key % 100).alias("professional"),
-        F.concat(F.lit("city"), (key * 7) % 100).alias("city"),
-        F.when(key % 2 == 0, "male").otherwise("female").alias("sex"),
+    return _read(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS user_id",
+        "concat('user', c_custkey) AS username",
+        "c_name AS name",
+        "CAST(c_custkey % 60 AS INT) AS age",
+        "concat('professional', c_custkey % 100) AS professional",
+        "concat('city', (c_custkey * 7) % 100) AS city",
+        "IF(c_custkey % 2 = 0, 'male', 'female') AS sex",
     )
 
 
 def product_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("p_partkey")
-    return _read(spark, sf_dir, "part").select(
-        key.alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.concat(F.lit('{"product_status": '), key % 2, F.lit("}")).alias("extend_info"),
+    return _read(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS product_id",
+        "p_name AS product_name",
+        """concat('{"product_status": ', p_partkey % 2, '}') AS extend_info""",
     )
 
 
-# The area that stands for each region.
-_AREA_OF_REGION = {
-    "AFRICA": "华北",
-    "AMERICA": "华南",
-    "ASIA": "西北",
-    "EUROPE": "华东",
-    "MIDDLE EAST": "东北",
-}
-
-
 def city_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    area = F
-    for region, name in _AREA_OF_REGION.items():
-        area = area.when(F.col("r_name") == region, name)
-    nation, region = _read(spark, sf_dir, "nation"), _read(spark, sf_dir, "region")
-    return nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).select(
-        F.col("n_nationkey").cast("bigint").alias("city_id"),
-        F.col("n_name").alias("city_name"),
-        area.alias("area"),
+    """Nations as cities; the area that stands for each region is a fixed value."""
+    nations = _read(spark, sf_dir, "nation").withColumnRenamed("n_regionkey", "r_regionkey")
+    return nations.join(_read(spark, sf_dir, "region"), "r_regionkey").selectExpr(
+        "CAST(n_nationkey AS BIGINT) AS city_id",
+        "n_name AS city_name",
+        """CASE r_name
+             WHEN 'AFRICA' THEN '华北'
+             WHEN 'AMERICA' THEN '华南'
+             WHEN 'ASIA' THEN '西北'
+             WHEN 'EUROPE' THEN '华东'
+             WHEN 'MIDDLE EAST' THEN '东北'
+           END AS area""",
     )
 
 
 def task(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One task per customer; every third has an empty start age, every fifth no end age."""
-    key = F.col("c_custkey")
-
-    def entry(name, value):
-        return F.concat(F.lit(f'"{name}":["'), value.cast("string"), F.lit('"]'))
-
-    param = F.concat(
-        F.lit("{"),
-        F.concat_ws(
-            ",",
-            entry("startDate", F.date_add(F.lit("2024-01-01").cast("date"), (key % 28).cast("int"))),
-            entry("endDate", F.lit("2024-01-30")),
-            F.when(key % 3 == 0, F.lit('"startage":[]')).otherwise(entry("startage", key % 30)),
-            F.when(key % 5 != 0, entry("endage", key % 30 + 20)),
-            entry("targetPageFlow", F.concat(F.lit("1,2,"), key % 10)),
-        ),
-        F.lit("}"),
-    )
-    return _read(spark, sf_dir, "customer").select(
-        key.alias("task_id"),
-        F.concat(F.lit("task"), key).alias("task_name"),
-        F.lit("2024-01-01 00:00:00").alias("create_time"),
-        F.lit(None).cast("string").alias("start_time"),
-        F.lit(None).cast("string").alias("finish_time"),
-        F.lit("session").alias("task_type"),
-        F.lit("new").alias("task_status"),
-        param.alias("task_param"),
+    return _read(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS task_id",
+        "concat('task', c_custkey) AS task_name",
+        "'2024-01-01 00:00:00' AS create_time",
+        "CAST(NULL AS STRING) AS start_time",
+        "CAST(NULL AS STRING) AS finish_time",
+        "'session' AS task_type",
+        "'new' AS task_status",
+        """concat(
+             '{"startDate":["', date_add(DATE'2024-01-01', CAST(c_custkey % 28 AS INT)), '"],',
+             '"endDate":["2024-01-30"],',
+             IF(c_custkey % 3 = 0, '"startage":[],', concat('"startage":["', c_custkey % 30, '"],')),
+             IF(c_custkey % 5 = 0, '', concat('"endage":["', c_custkey % 30 + 20, '"],')),
+             '"targetPageFlow":["1,2,', c_custkey % 10, '"]}') AS task_param""",
     )

@@ -1,0 +1,178 @@
+from datetime import date, timedelta
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from footfall import functions as fn
+
+
+def one(spark, column, value=None, dtype="string"):
+    return spark.createDataFrame([(value,)], f"v {dtype}").select(column).first()[0]
+
+
+def test_parse_time_takes_one_digit_hours(spark):
+    assert str(one(spark, fn.parse_time("v"), "2024-01-01 9:05:03")) == "2024-01-01 09:05:03"
+    assert one(spark, fn.parse_time("v"), "soon") is None
+
+
+def test_formats(spark):
+    assert one(spark, fn.format_time("v"), "2024-01-01 9:05:03") == "2024-01-01 09:05:03"
+    assert one(spark, fn.format_date("v"), "2024-01-01 9:05:03") == "2024-01-01"
+    assert one(spark, fn.date_hour("v"), "2024-01-01 9:05:03") == "2024-01-01_09"
+
+
+@pytest.mark.parametrize(
+    "first, second, earlier, later",
+    [
+        ("2024-01-01 00:00:00", "2024-01-01 00:00:01", True, False),
+        ("2024-01-01 00:00:01", "2024-01-01 00:00:01", False, False),
+        ("2024-01-02 00:00:00", "2024-01-01 23:59:59", False, True),
+        ("bad", "2024-01-01 00:00:00", False, False),
+        (None, "2024-01-01 00:00:00", False, False),
+    ],
+)
+def test_before_and_after(spark, first, second, earlier, later):
+    df = spark.createDataFrame([(first, second)], "a string, b string")
+    assert tuple(df.select(fn.before("a", "b"), fn.after("a", "b")).first()) == (earlier, later)
+
+
+@pytest.mark.parametrize(
+    "first, second, seconds",
+    [
+        ("2024-01-01 00:01:00", "2024-01-01 00:00:00", 60),
+        ("2024-01-01 00:00:00", "2024-01-01 00:01:00", -60),
+        ("2024-01-01 00:00:01.9", "2024-01-01 00:00:00", 1),
+        ("2024-01-01 00:00:00", "2024-01-01 00:00:01.9", -1),
+        ("bad", "2024-01-01 00:00:00", 0),
+    ],
+)
+def test_seconds_between(spark, first, second, seconds):
+    df = spark.createDataFrame([(first, second)], "a string, b string")
+    assert df.select(fn.seconds_between("a", "b")).first()[0] == seconds
+
+
+def test_today_and_yesterday(spark):
+    before = date.today()
+    today, yesterday = spark.range(1).select(fn.today(), fn.yesterday()).first()
+    assert today in {str(before), str(date.today())}
+    assert date.fromisoformat(today) - date.fromisoformat(yesterday) == timedelta(days=1)
+
+
+@pytest.mark.parametrize("value, empty", [(None, True), ("", True), (" ", False), ("a", False)])
+def test_is_empty(spark, value, empty):
+    assert one(spark, fn.is_empty("v"), value) is empty
+    assert one(spark, fn.is_not_empty("v"), value) is not empty
+
+
+@pytest.mark.parametrize("value, result", [(",a,b,", "a,b"), (",,a,,", ",a,"), (",", ""), ("a", "a"), ("", "")])
+def test_trim_comma(spark, value, result):
+    assert one(spark, fn.trim_comma("v"), value) == result
+
+
+@pytest.mark.parametrize("value, result", [("9", "09"), ("10", "10"), ("123", "0123"), ("", "0")])
+def test_pad_two(spark, value, result):
+    assert one(spark, fn.pad_two("v"), value) == result
+
+
+@pytest.mark.parametrize(
+    "record, value",
+    [
+        ("a=1|b=2", "2"),
+        ("a=1|b=", None),
+        ("a=1|b", None),
+        ("a=1", None),
+        ("b=2==|a=1", "2"),
+        ("b==2|a=1", None),
+        ("b=x=2|b=3", "3"),
+        ("b=1|b=2", "1"),
+        ("bb=1|b=2|", "2"),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_concat_field_get(spark, record, value):
+    assert one(spark, fn.concat_field_get("v", "b"), record) == value
+
+
+def test_concat_field_get_other_delimiter(spark):
+    assert one(spark, fn.concat_field_get("v", "b", ";"), "a=1;b=2") == "2"
+
+
+@pytest.mark.parametrize(
+    "record, result",
+    [
+        ("a=1|b=2|c=3", "a=1|b=9|c=3"),
+        ("a=1|b=|c=3", "a=1|b=9|c=3"),
+        ("a=1|b", "a=1|b=9"),
+        ("a=1|c=3", "a=1|c=3"),
+        ("b=1|b=2", "b=9|b=2"),
+        ("a=1|b=2||", "a=1|b=9"),
+        ("", ""),
+        (None, None),
+    ],
+)
+def test_concat_field_set(spark, record, result):
+    assert one(spark, fn.concat_field_set("v", "b", F.lit(9)), record) == result
+
+
+def test_concat_field_set_other_delimiter_writes_bars(spark):
+    assert one(spark, fn.concat_field_set("v", "b", F.lit(9), ";"), "a=1;b=2") == "a=1|b=9"
+
+
+def test_concat_record(spark):
+    df = spark.createDataFrame([(1, None)], "x int, y string")
+    assert df.select(fn.concat_record(a="x", b="y")).first()[0] == "a=1|b="
+
+
+def test_concat_long_string(spark):
+    df = spark.createDataFrame([(1, "Paris"), (None, None)], "x bigint, y string")
+    expected = ["1:Paris", "null:null"]
+    assert [row[0] for row in df.select(fn.concat_long_string("x", "y")).collect()] == expected
+    fn.register_sql_functions(spark)
+    df.createOrReplaceTempView("cities")
+    assert [row[0] for row in spark.sql("SELECT concat_long_string(x, y, ':') FROM cities").collect()] == expected
+
+
+def test_group_concat_distinct_keeps_values_inside_others(spark):
+    df = spark.createDataFrame([("12:Rome",), ("2:Rome",), ("12:Rome",), (None,)], "v string")
+    assert df.agg(fn.group_concat_distinct("v")).first()[0] == "12:Rome,2:Rome"
+    sql = "SELECT listagg(DISTINCT v, ',') WITHIN GROUP (ORDER BY v) FROM {df}"
+    assert spark.sql(sql, df=df).first()[0] == "12:Rome,2:Rome"
+
+
+@pytest.mark.parametrize(
+    "document, value",
+    [('{"product_status": 0}', "0"), ('{"product_status": "1"}', "1"), ('{"x": 1}', None), ("bad", None), (None, None)],
+)
+def test_json_field(spark, document, value):
+    assert one(spark, fn.json_field("v", "product_status"), document) == value
+    fn.register_sql_functions(spark)
+    df = spark.createDataFrame([(document,)], "v string")
+    assert spark.sql("SELECT json_field(v, 'product_status') FROM {df}", df=df).first()[0] == value
+
+
+def test_comma_list_orders_numbers_by_value(spark):
+    df = spark.createDataFrame([([10, 9, 1],), ([],), (None,)], "v array<bigint>")
+    assert [row[0] for row in df.select(fn.comma_list("v")).collect()] == ["1,9,10", "", ""]
+
+
+def test_split_parts(spark):
+    assert one(spark, fn.split_parts("v"), ",1,,2,") == ["1", "2"]
+    assert one(spark, fn.split_parts("v"), "") == []
+
+
+@pytest.mark.parametrize("part, whole", [(57, 200), (0, 3), (1, 3), (2, 3), (1, 8), (3, 3), (1, 200), (1, 201)])
+def test_ratio_rounds_exact_halves_up(spark, part, whole):
+    df = spark.createDataFrame([(part, whole)], "p bigint, w bigint")
+    exact = (Decimal(part) / Decimal(whole)).quantize(Decimal("0.01"), "ROUND_HALF_UP")
+    assert df.select(fn.ratio("p", "w")).first()[0] == float(exact)
+
+
+def test_ratio_of_nothing_is_null(spark):
+    assert spark.range(1).select(fn.ratio("id", "id")).first()[0] is None
+
+
+def test_round_half_up(spark):
+    assert one(spark, fn.round_half_up("v", 1), 0.25, "double") == 0.3
+    assert one(spark, fn.round_half_up("v", 1), -0.25, "double") == -0.3
