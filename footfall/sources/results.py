@@ -37,14 +37,14 @@ class ParquetResults:
 class JdbcResults:
     """Result tables in a database, through Spark's JDBC writer.
 
-    Rows are appended in batches, one transaction per partition. Rows of an earlier run
-    of the same task are not deleted.
+    Rows are appended in batches, one transaction per partition, over at most
+    ``connections`` connections. Rows of an earlier run of the same task are not deleted.
     """
 
-    def __init__(self, options: dict[str, str], batch_size: int = 1000):
+    def __init__(self, options: dict[str, str], batch_size: int = 1000, connections: int = 10):
         self.options = {name: value for name, value in options.items() if name != "dbtable"}
-        self.batch_size = batch_size
+        self.options |= {"batchsize": str(batch_size), "numPartitions": str(connections)}
 
     def write(self, df: DataFrame, table: str, task_id: int) -> None:
         writer = result_rows(df, table, task_id).write.format("jdbc").mode("append")
-        writer.options(**self.options, dbtable=table, batchsize=str(self.batch_size)).save()
+        writer.options(**self.options, dbtable=table).save()

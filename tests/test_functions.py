@@ -52,6 +52,17 @@ def test_seconds_between(spark, first, second, seconds):
     assert df.select(fn.seconds_between("a", "b")).first()[0] == seconds
 
 
+def test_times_are_wall_clock_in_any_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    df = spark.createDataFrame([("2024-03-10 03:30:00", "2024-03-10 01:30:00", "2024-03-10 02:15:00")], "a string, b string, c string")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        row = df.select(fn.seconds_between("a", "b"), fn.format_time("c"), fn.date_hour("c"), fn.format_date("c")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert tuple(row) == (7200, "2024-03-10 02:15:00", "2024-03-10_02", "2024-03-10")
+
+
 def test_today_and_yesterday(spark):
     before = date.today()
     today, yesterday = spark.range(1).select(fn.today(), fn.yesterday()).first()

@@ -73,7 +73,7 @@ def test_jdbc_options():
     with pytest.raises(ValueError):
         tables.jdbc_split_options("city_id", 0, 100, 0)
     sink = JdbcResults(tables.jdbc_options("jdbc:x", "any", "me"))
-    assert sink.options == {"url": "jdbc:x", "user": "me"}
+    assert sink.options == {"url": "jdbc:x", "user": "me", "batchsize": "1000", "numPartitions": "10"}
 
 
 def test_result_rows(spark):
