@@ -2,16 +2,16 @@
 
     python -m footfall session|page-flow|area --task-id 7 --tasks ... --actions ... --out ...
 
-Tables are Parquet folders (any name with a slash) or catalog tables; the city table may
-also be read through JDBC. Results go to Parquet folders under --out, or with --jdbc-url
-to the database.
+Tables are Parquet folders (any name with a slash) or catalog tables; the task and city
+tables may also be read through JDBC. Results go to Parquet folders under --out, or
+without it to the database of --jdbc-url.
 """
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from footfall.params import load_task
 from footfall.plans import jobs
@@ -25,6 +25,7 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("job", choices=["session", "page-flow", "area"])
     options.add_argument("--task-id", type=int, required=True)
     options.add_argument("--tasks", default="task", help="task table")
+    options.add_argument("--tasks-from-jdbc", action="store_true", help="read the task table through --jdbc-url")
     options.add_argument("--actions", default="user_visit_action", help="action log")
     options.add_argument("--users", default="user_info", help="user table (session job)")
     options.add_argument("--products", default="product_info", help="product table (area job)")
@@ -46,8 +47,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
 
     if not args.out and not args.jdbc_url:
         raise ValueError("either --out or --jdbc-url is needed")
+    def small_table(name: str, from_jdbc: bool) -> DataFrame:
+        return read_jdbc(spark, jdbc(name)) if from_jdbc else read_table(spark, name)
+
     results = ParquetResults(args.out) if args.out else JdbcResults(jdbc(""))
-    params = load_task(read_table(spark, args.tasks), args.task_id)
+    params = load_task(small_table(args.tasks, args.tasks_from_jdbc), args.task_id)
     actions = read_actions(spark, args.actions)
     if args.job == "session":
         users = read_table(spark, args.users, USER_INFO)
@@ -55,7 +59,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.job == "page-flow":
         jobs.run_page_flow(actions, params, args.task_id, results)
     else:
-        cities = read_jdbc(spark, jdbc(args.cities)) if args.cities_from_jdbc else read_table(spark, args.cities)
+        cities = small_table(args.cities, args.cities_from_jdbc)
         products = read_table(spark, args.products, PRODUCT_INFO)
         jobs.run_area_top_products(actions, city_info(cities), products, params, args.task_id, results)
 

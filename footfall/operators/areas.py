@@ -68,10 +68,8 @@ def area_full_product_clicks(area_clicks: DataFrame, products: DataFrame) -> Dat
 def area_level(area="area") -> Column:
     """Level label of an area."""
     area = F.col(area) if isinstance(area, str) else area
-    label = F
-    for level, areas in AREA_LEVELS.items():
-        label = label.when(area.isin(areas), level)
-    return label.otherwise(OTHER_LEVEL)
+    levels = [F.when(area.isin(areas), level) for level, areas in AREA_LEVELS.items()]
+    return F.coalesce(*levels, F.lit(OTHER_LEVEL))
 
 
 def area_top_products(full_clicks: DataFrame, n: int = TOP_PRODUCTS) -> DataFrame:

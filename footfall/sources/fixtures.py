@@ -40,7 +40,7 @@ def user_visit_action(
         "event_type",
         "CAST(ts AS DATE) AS day",
         "(hour(ts) * 3600 + minute(ts) * 60 + CAST(second(ts) AS INT)) div 40 AS seconds",
-        "CAST(get_json_object(props, '$.k') AS BIGINT) AS k",
+        """CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT) AS k""",
     )
     return derived.selectExpr(
         "CAST(day AS STRING) AS date",

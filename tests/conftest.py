@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
         .appName("footfall-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.session.timeZone", os.environ.get("TEST_TIME_ZONE", "UTC"))
         .config("spark.driver.memory", "4g")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoint")))
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
