@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.functions import ratio
@@ -15,10 +15,10 @@ def page_steps(actions: DataFrame, long_session: int = LONG_SESSION) -> DataFram
 
     One row per action; prev_page is NULL for the first of a session. Sessions are
     ordered by window sorts. A session of more than ``long_session`` actions, which one
-    task should not sort, is cut into parts in order: one per distinct time, and where
-    a single time holds that many actions too, slices by row id. The first action of a
-    part takes its previous page from the last action of the part before, so the rows
-    that one task sees of such a session are one pair of pages per part.
+    task should not sort, is cut into parts in order: one per second of the log, and
+    slices of a second that holds that many actions too. The first action of a part
+    takes its previous page from the last action of the part before, so the rows that
+    one task sees of such a session are one pair of pages per part.
     """
     time, tie = order_columns(actions)
     rows = _mark_parts(actions, time, tie, long_session)
@@ -53,33 +53,52 @@ def _mark_parts(actions: DataFrame, time: str, tie: str, long_session: int) -> D
     rows = actions.select("session_id", "page_id", time, tie)
     long = long_sessions(rows, long_session).withColumnRenamed("session_id", "long_id")
     is_long_row = F.col("session_id").eqNullSafe(F.col("long_id"))
+    second = F.substring(F.col(time).cast("string"), 1, 19)
     marked = (
         rows.join(F.broadcast(long.withColumn("found", F.lit(True))), is_long_row, "left")
         .withColumn("is_long", F.coalesce("found", F.lit(False)))
-        .withColumn("part_time", F.when(F.col("is_long"), F.col(time)))
+        .withColumn("part_time", F.when(F.col("is_long"), second))
         .drop("long_id", "found")
     )
-    whole = F.lit(0).cast("bigint")
-    if tie != ACTION_ID:
-        return marked.withColumn("part_slice", whole)
-    crowded = (
-        rows.join(F.broadcast(long), is_long_row, "left_semi")
-        .groupBy(F.col("session_id").alias("crowd_id"), F.col(time).alias("crowd_time"))
-        .agg(F.count("*").alias("n"), F.min(tie).alias("low"), F.max(tie).alias("high"))
-        .where(F.col("n") > long_session)
-        .select("crowd_id", "crowd_time", "low", (_gap("high", "low") * long_session / F.col("n")).alias("width"))
-    )
+    of_long = rows.join(F.broadcast(long), is_long_row, "left_semi")
+    crowded = _crowded_seconds(of_long, second, time, tie, long_session)
     in_crowd = F.col("session_id").eqNullSafe(F.col("crowd_id")) & (F.col("part_time") == F.col("crowd_time"))
-    part_slice = F.floor(F.try_divide(_gap(tie, "low"), F.col("width")))
+    position = F.when(F.col("by_time"), _fraction(time)).otherwise(_row_id(tie)) - F.col("low")
+    part_slice = F.floor(F.try_divide(position, F.col("width")))
     return (
         marked.join(F.broadcast(crowded), in_crowd, "left")
-        .withColumn("part_slice", F.coalesce(part_slice, whole))
-        .drop("crowd_id", "crowd_time", "low", "width")
+        .withColumn("part_slice", F.coalesce(part_slice, F.lit(0).cast("bigint")))
+        .drop("crowd_id", "crowd_time", "by_time", "low", "width")
+    )
+
+
+def _crowded_seconds(rows: DataFrame, second: Column, time: str, tie: str, long_session: int) -> DataFrame:
+    """Seconds of a session with more than ``long_session`` actions, and how to slice them.
+
+    Slices are by the fraction of the second, or by row id when all have one time.
+    """
+    fraction, row_id = _fraction(time), _row_id(tie)
+    first, last = F.min(fraction), F.max(fraction)
+    return (
+        rows.groupBy(F.col("session_id").alias("crowd_id"), second.alias("crowd_time"))
+        .agg(
+            F.count("*").alias("n"),
+            (first < last).alias("by_time"),
+            F.when(first < last, first).otherwise(F.min(row_id)).alias("low"),
+            F.when(first < last, last).otherwise(F.max(row_id)).alias("high"),
+        )
+        .where(F.col("n") > long_session)
+        .selectExpr("crowd_id", "crowd_time", "by_time", "low", f"(high - low) * {long_session} / n AS width")
     )
 
 
-def _gap(high: str, low: str):
-    return F.col(high).cast("double") - F.col(low).cast("double")
+def _fraction(time: str) -> Column:
+    return F.extract(F.lit("SECOND"), time).cast("double")
+
+
+def _row_id(tie: str) -> Column:
+    """Row id as a number; a log without row ids cannot be sliced by them."""
+    return F.col(tie).cast("double") if tie == ACTION_ID else F.lit(None).cast("double")
 
 
 def split_name(prev_page, page) -> str:

@@ -44,6 +44,28 @@ def test_many_actions_at_one_time(spark, long_session):
     assert rows(page_flow.page_steps(actions(spark, log), long_session)) == brute_steps(log)
 
 
+@pytest.mark.parametrize("long_session", [0, 3, 10, 1000])
+def test_fractions_of_a_second(spark, long_session):
+    log = random_log(6, sessions="aaab", times=40)
+    for row in log:
+        row["at"] /= 16
+    assert rows(page_flow.page_steps(actions(spark, log), long_session)) == brute_steps(log)
+
+
+@pytest.mark.parametrize(
+    "time_of",
+    [lambda n: 0, lambda n: n / 80, lambda n: 0 if n < 40 else (n - 40) / 40 + 1, lambda n: n],
+    ids=["one time", "one second", "two seconds", "a second each"],
+)
+def test_no_part_is_longer_than_a_long_session(spark, time_of):
+    """One session of 80 actions in parts of 8: by row id when a second has one time, else by time."""
+    log = actions(spark, [{"action_id": 1000 + n, "at": time_of(n)} for n in range(80)])
+    marked = page_flow._mark_parts(log, "action_time", "action_id", 8)
+    sizes = [row["count"] for row in marked.groupBy("part_time", "part_slice").count().collect()]
+    assert sum(sizes) == 80
+    assert max(sizes) <= 9
+
+
 @pytest.mark.parametrize("long_session", [0, 3, 1000])
 def test_missing_times_and_sessions(spark, long_session):
     log = actions(

@@ -16,6 +16,7 @@ def plan(df):
 
 @pytest.fixture(scope="module")
 def plans(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     return {name: plan(build(spark, SF_DIR)) for name, build in queries.queries().items()}
 
 
