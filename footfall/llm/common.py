@@ -10,6 +10,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _local_folder: dict[str, str] = {}
 _shipped: set[str] = set()
@@ -63,6 +64,21 @@ def map_pandas(df: DataFrame, step, schema: str) -> DataFrame:
     return df.mapInPandas(step, schema)
 
 
+def map_columns(df: DataFrame, step, schema: str) -> DataFrame:
+    """mapInArrow over columns as Python lists: step takes and gives iterators of dicts of lists."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    ship(df.sparkSession)
+    kinds = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches):
+        for columns in step(b.to_pydict() for b in batches):
+            yield pa.RecordBatch.from_pydict(columns, schema=kinds)
+
+    return df.mapInArrow(run, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
