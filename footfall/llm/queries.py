@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import bpe, packing
+from footfall.llm import bpe, packing, secret_scan
 from footfall.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op8_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
