@@ -22,7 +22,6 @@ from __future__ import annotations
 import hashlib
 import os
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,13 +31,22 @@ from pyspark.sql import functions as F
 
 from footfall.llm.common import map_columns, ship, staged, tasks
 
-#: Characters of a block, about.
-BLOCK = 8_000_000
+#: Characters of a block, and of the texts that share a row of it, about.
+BLOCK, ROW = 32_000_000, 1_000_000
 
-_BLOCKS = "kind int, block string, bucket int, doc_id long, places binary, words binary"
-_CODED = "kind int, block string, doc_id long, places binary, counts binary, ids binary"
+_BLOCKS = "kind int, block string, bucket int, doc_ids array<long>, lengths array<int>, places binary, words binary"
+_CODED = "kind int, block string, doc_ids array<long>, lengths array<int>, places binary, counts binary, ids binary"
 ENCODED = "doc_id long, ids binary"
-_pack, _unpack = (lambda x: zlib.compress(x, 1)), zlib.decompress
+
+
+def _pack(numbers: np.ndarray) -> bytes:
+    """Numbers byte by byte, lowest bytes first: most high bytes are zero, and vanish."""
+    raw = numbers.astype("<u4").view("u1").reshape(-1, 4)
+    return zlib.compress(raw.T.tobytes())
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(packed), "u1").reshape(4, -1).T).view("<u4").ravel()
 
 
 class _Places(dict):
@@ -49,6 +57,39 @@ class _Places(dict):
         return at
 
 
+class _Block:
+    """Documents read so far: their words' numbers, and each distinct word."""
+
+    def __init__(self, name: str, buckets: int):
+        self.name, self.buckets = name, buckets
+        self.number, self.doc_ids, self.texts, self.sizes, self.chars = _Places(), [], [], [], 0
+
+    def add(self, doc_id: int | None, text: str) -> None:
+        words = [x for x in text.replace("\n", " ").split(" ") if x]
+        self.doc_ids.append(doc_id)
+        self.texts.append(np.array(list(map(self.number.__getitem__, words)), "<u4"))
+        self.sizes.append(len(text))
+        self.chars += len(text)
+
+    def rows(self) -> Iterator[tuple]:
+        """Rows of _BLOCKS. Frequent words get the low places."""
+        if not self.doc_ids:
+            return
+        uses = np.bincount(np.concatenate(self.texts), minlength=len(self.number)) if self.number else np.zeros(0, "i8")
+        order = np.argsort(-uses, kind="stable")
+        place = np.empty(len(order), "<u4")
+        place[order] = np.arange(len(order))
+        row = np.cumsum([0, *self.sizes[:-1]]) // ROW
+        for part in np.split(np.arange(len(row)), np.flatnonzero(np.diff(row)) + 1):
+            own = self.texts[part[0] : part[-1] + 1]
+            yield 1, self.name, None, self.doc_ids[part[0] : part[-1] + 1], [len(x) for x in own], _pack(place[np.concatenate(own)]), None
+        words = [x.encode() for x in self.number]
+        bucket = np.array([zlib.crc32(x) % self.buckets for x in words], "i8")[order]
+        for b in np.unique(bucket):
+            at = np.flatnonzero(bucket == b)
+            yield 0, self.name, int(b), None, None, _pack(np.diff(at, prepend=0)), zlib.compress(b"\n".join(words[i] for i in order[at]))
+
+
 def _load(path: str):
     from tokenizers import Tokenizer
 
@@ -59,37 +100,24 @@ def _load(path: str):
     return tokenizer
 
 
+def _columns(rows: list[tuple], schema: str) -> dict[str, list]:
+    return {x.split()[0]: [r[i] for r in rows] for i, x in enumerate(schema.split(", "))}
+
+
 def _blocks(docs: DataFrame, buckets: int, size: int) -> DataFrame:
-    """kind 1: a document's places; kind 0: the words of a block that fall into a bucket."""
-
-    def ended(block: str, found: dict[str, list], places: _Places) -> dict[str, list]:
-        by_bucket = defaultdict(lambda: ([], []))
-        for word, at in places.items():
-            raw = word.encode()
-            words, ats = by_bucket[zlib.crc32(raw) % buckets]
-            words.append(raw)
-            ats.append(at)
-        for bucket, (words, ats) in by_bucket.items():
-            for key, value in zip(found, (0, block, bucket, None, _pack(np.array(ats, "<u4").tobytes()), _pack(b"\n".join(words))), strict=True):
-                found[key].append(value)
-        return found
+    """kind 1: places of the words of some documents; kind 0: the words of a block that fall into a bucket."""
 
     def split(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        names = ("kind", "block", "bucket", "doc_id", "places", "words")
         part, number = TaskContext.get().partitionId(), 0
-        block, found, places, chars = f"{part}-0", {k: [] for k in names}, _Places(), 0
+        block = _Block(f"{part}-0", buckets)
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                words = [x for x in text.replace("\n", " ").split(" ") if x]
-                at = np.array(list(map(places.__getitem__, words)), "<u4")
-                for key, value in zip(names, (1, block, None, doc_id, _pack(at.tobytes()), None), strict=True):
-                    found[key].append(value)
-                chars += len(text)
-                if chars >= size:
-                    yield ended(block, found, places)
+                block.add(doc_id, text)
+                if block.chars >= size:
+                    yield _columns([*block.rows()], _BLOCKS)
                     number += 1
-                    block, found, places, chars = f"{part}-{number}", {k: [] for k in names}, _Places(), 0
-        yield ended(block, found, places)
+                    block = _Block(f"{part}-{number}", buckets)
+        yield _columns([*block.rows()], _BLOCKS)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return map_columns(texts, split, _BLOCKS)
@@ -101,20 +129,18 @@ def _encode_words(words: DataFrame, tokenizer_path: str) -> DataFrame:
     def encode(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
         tokenizer, now, known = _load(tokenizer_path), None, {}
         for batch in batches:
-            out = {"kind": [], "block": batch["block"], "doc_id": [], "places": batch["places"], "counts": [], "ids": []}
-            for bucket, packed in zip(batch["bucket"], batch["words"], strict=True):
+            rows = []
+            for block, bucket, places, packed in zip(batch["block"], batch["bucket"], batch["places"], batch["words"], strict=True):
                 if bucket != now:
                     now, known = bucket, {}
-                words = _unpack(packed).split(b"\n")
+                words = zlib.decompress(packed).split(b"\n")
                 new = [x for x in words if x not in known]
                 for word, e in zip(new, tokenizer.encode_batch_fast([x.decode() for x in new], add_special_tokens=False), strict=True):
                     known[word] = np.array(e.ids, "<u4").tobytes()
                 ids = [known[x] for x in words]
-                out["kind"].append(0)
-                out["doc_id"].append(None)
-                out["counts"].append(_pack(np.array([len(x) // 4 for x in ids], "<u4").tobytes()))
-                out["ids"].append(_pack(b"".join(ids)))
-            yield out
+                counts = np.array([len(x) // 4 for x in ids], "<u4")
+                rows.append((0, block, None, None, places, _pack(counts), _pack(np.frombuffer(b"".join(ids), "<u4"))))
+            yield _columns(rows, _CODED)
 
     by_bucket = words.repartition("bucket").sortWithinPartitions("bucket")
     return map_columns(by_bucket.select("block", "bucket", "places", "words"), encode, _CODED)
@@ -127,8 +153,9 @@ class _Table:
         self.at, self.counts, self.ids, self.starts = [], [], [], None
 
     def add(self, places: bytes, counts: bytes, ids: bytes) -> None:
-        for to, x in ((self.at, places), (self.counts, counts), (self.ids, ids)):
-            to.append(np.frombuffer(_unpack(x), "<u4"))
+        self.at.append(np.cumsum(_unpack(places), dtype="i8"))
+        self.counts.append(_unpack(counts))
+        self.ids.append(_unpack(ids))
 
     def of(self, places: np.ndarray) -> np.ndarray:
         if self.starts is None:
@@ -145,21 +172,20 @@ class _Table:
 
 def _by_position(coded: DataFrame, finish, schema: str) -> DataFrame:
     """finish(ids) is what a document's row holds beside its doc_id."""
-    names = [x.split()[0] for x in schema.split(",")]
 
     def join(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
         now, table, last = None, _Table(), finish()
         for batch in batches:
             rows = []
-            for kind, block, doc_id, places, counts, ids in zip(*(batch[k] for k in ("kind", "block", "doc_id", "places", "counts", "ids")), strict=True):
+            for kind, block, doc_ids, lengths, places, counts, ids in zip(*(batch[x.split()[0]] for x in _CODED.split(", ")), strict=True):
                 if block != now:
                     now, table = block, _Table()
                 if kind == 0:
                     table.add(places, counts, ids)
-                else:
-                    at = np.frombuffer(_unpack(places), "<u4")
-                    rows.append((doc_id, *last(table.of(at) if len(at) else at)))
-            yield {k: [r[i] for r in rows] for i, k in enumerate(names)}
+                    continue
+                texts = np.split(_unpack(places), np.cumsum(lengths)[:-1])
+                rows += [(doc_id, *last(table.of(at) if len(at) else at)) for doc_id, at in zip(doc_ids, texts, strict=True)]
+            yield _columns(rows, schema)
 
     together = coded.repartition("block").sortWithinPartitions("block", "kind")
     return map_columns(together, join, schema)
@@ -170,7 +196,7 @@ def _coded(docs: DataFrame, tokenizer_path: str, block: int) -> DataFrame:
     blocks = staged(_blocks(docs, 4 * tasks(spark), block), "blocks")
     words = _encode_words(blocks.where("kind = 0"), tokenizer_path)
     empty = F.lit(None).cast("binary")
-    texts = blocks.where("kind = 1").select("kind", "block", "doc_id", "places", empty.alias("counts"), empty.alias("ids"))
+    texts = blocks.where("kind = 1").select("kind", "block", "doc_ids", "lengths", "places", empty.alias("counts"), empty.alias("ids"))
     return texts.unionByName(words)
 
 
