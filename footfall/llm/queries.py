@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import bpe, packing, secret_scan
+from footfall.llm import bpe, packing, secret_scan, spotsigs
 from footfall.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op8_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op10_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
