@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import bpe, packing, secret_scan, spotsigs
+from footfall.llm import bpe, dart_minhash, packing, secret_scan, spotsigs
 from footfall.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op3_bpe_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op4_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
