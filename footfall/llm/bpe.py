@@ -79,15 +79,17 @@ class _Block:
         order = np.argsort(-uses, kind="stable")
         place = np.empty(len(order), "<u4")
         place[order] = np.arange(len(order))
+        # The name tells the content: another block under the same number has another name.
+        name = f"{self.name}-{zlib.crc32(place.tobytes(), zlib.crc32(str((len(self.texts), *list(self.number)[-9:])).encode()))}"
         row = np.cumsum([0, *self.sizes[:-1]]) // ROW
         for part in np.split(np.arange(len(row)), np.flatnonzero(np.diff(row)) + 1):
             own = self.texts[part[0] : part[-1] + 1]
-            yield 1, self.name, None, self.doc_ids[part[0] : part[-1] + 1], [len(x) for x in own], _pack(place[np.concatenate(own)]), None
+            yield 1, name, None, self.doc_ids[part[0] : part[-1] + 1], [len(x) for x in own], _pack(place[np.concatenate(own)]), None
         words = [x.encode() for x in self.number]
         bucket = np.array([zlib.crc32(x) % self.buckets for x in words], "i8")[order]
         for b in np.unique(bucket):
             at = np.flatnonzero(bucket == b)
-            yield 0, self.name, int(b), None, None, _pack(np.diff(at, prepend=0)), zlib.compress(b"\n".join(words[i] for i in order[at]))
+            yield 0, name, int(b), None, None, _pack(np.diff(at, prepend=0)), zlib.compress(b"\n".join(words[i] for i in order[at]))
 
 
 def _load(path: str):
@@ -157,6 +159,9 @@ class _Table:
         self.counts.append(_unpack(counts))
         self.ids.append(_unpack(ids))
 
+    def full(self) -> bool:
+        return self.starts is not None or bool(self.at)
+
     def of(self, places: np.ndarray) -> np.ndarray:
         if self.starts is None:
             at, counts = np.concatenate(self.at), np.concatenate(self.counts).astype("i8")
@@ -183,6 +188,8 @@ def _by_position(coded: DataFrame, finish, schema: str) -> DataFrame:
                 if kind == 0:
                     table.add(places, counts, ids)
                     continue
+                if not table.full() and any(lengths):
+                    raise RuntimeError(f"block {block} was read otherwise a second time; encode with reread=False")
                 texts = np.split(_unpack(places), np.cumsum(lengths)[:-1])
                 rows += [(doc_id, *last(table.of(at) if len(at) else at)) for doc_id, at in zip(doc_ids, texts, strict=True)]
             yield _columns(rows, schema)
@@ -191,18 +198,25 @@ def _by_position(coded: DataFrame, finish, schema: str) -> DataFrame:
     return map_columns(together, join, schema)
 
 
-def _coded(docs: DataFrame, tokenizer_path: str, block: int) -> DataFrame:
-    spark = docs.sparkSession
-    blocks = staged(_blocks(docs, 4 * tasks(spark), block), "blocks")
+def _coded(docs: DataFrame, tokenizer_path: str, block: int, reread: bool) -> DataFrame:
+    """Texts as places, and the ids of each block's words.
+
+    Both come from the same blocks. They are written once; with `reread` the texts are read
+    and split a second time instead, which saves the disk. That is right for tables of files,
+    which are read alike each time; a block that differs is an error, never a wrong result.
+    """
+    blocks = _blocks(docs, 4 * tasks(docs.sparkSession), block)
+    if not reread:
+        blocks = staged(blocks, "blocks")
     words = _encode_words(blocks.where("kind = 0"), tokenizer_path)
     empty = F.lit(None).cast("binary")
     texts = blocks.where("kind = 1").select("kind", "block", "doc_ids", "lengths", "places", empty.alias("counts"), empty.alias("ids"))
     return texts.unionByName(words)
 
 
-def encode(docs: DataFrame, tokenizer_path: str, block: int = BLOCK) -> DataFrame:
+def encode(docs: DataFrame, tokenizer_path: str, block: int = BLOCK, reread: bool = False) -> DataFrame:
     """doc_id and its ids, little-endian unsigned 32-bit integers."""
-    return _by_position(_coded(docs, tokenizer_path, block), lambda: lambda ids: (ids.tobytes(),), ENCODED)
+    return _by_position(_coded(docs, tokenizer_path, block, reread), lambda: lambda ids: (ids.tobytes(),), ENCODED)
 
 
 def pieces(spark, tokenizer_path: str) -> DataFrame:
@@ -223,7 +237,7 @@ def decode(ids: DataFrame, tokenizer_path: str) -> DataFrame:
     return lists.select("doc_id", F.array_join(F.col("_p.piece"), " ").alias("text"))
 
 
-def digests(docs: DataFrame, tokenizer_path: str, block: int = BLOCK) -> DataFrame:
+def digests(docs: DataFrame, tokenizer_path: str, block: int = BLOCK, reread: bool = False) -> DataFrame:
     """Per document: doc_id, n_tokens, and SHA-256 of the ids and of the text decoded from them."""
     ship(docs.sparkSession)
 
@@ -237,4 +251,4 @@ def digests(docs: DataFrame, tokenizer_path: str, block: int = BLOCK) -> DataFra
 
         return row
 
-    return _by_position(_coded(docs, tokenizer_path, block), finish, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return _by_position(_coded(docs, tokenizer_path, block, reread), finish, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -15,7 +15,7 @@ def tokenizer_file(name: str) -> str:
 
 
 def op3_bpe_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), reread=True)
 
 
 def op4_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
