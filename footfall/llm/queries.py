@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import bpe, dart_minhash, packing, secret_scan, spotsigs, toxicity
+from footfall.llm import bpe, dart_minhash, license_scan, packing, secret_scan, spotsigs, toxicity
 from footfall.llm.common import table
 
 
@@ -14,6 +14,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), reread=True)
 
