@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import bpe, dart_minhash, license_scan, packing, secret_scan, spotsigs, toxicity
+from footfall.llm import bpe, dart_minhash, license_scan, line_dedup, packing, secret_scan, spotsigs, toxicity
 from footfall.llm.common import table
 
 
@@ -14,6 +14,11 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.deduplicated(docs, counts=True)
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
