@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import bpe, dart_minhash, license_scan, line_dedup, packing, secret_scan, spotsigs, toxicity
+from footfall.llm import bpe, dart_minhash, license_scan, line_dedup, packing, posting_lists, secret_scan, spotsigs, toxicity
 from footfall.llm.common import table
 
 
@@ -43,6 +43,10 @@ def op8_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op9_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return posting_lists.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0, k=20)
+
+
 def op10_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.fingerprints(table(spark, sf_dir, "documents"))
 
