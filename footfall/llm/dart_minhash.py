@@ -11,9 +11,14 @@ the ranks that matter are looked at, about COORDINATES * ln(COORDINATES) darts a
 1. Documents with the same words are one text.
 2. BANDS bands of ROWS coordinates give buckets; at the threshold 0.8 a pair shares no
    bucket with a probability of 3 in 100,000.
-3. In a bucket each text is compared with the smallest one. Exact weighted Jaccard decides.
+3. In a bucket each text is compared with the most central one, that whose buckets hold the
+   most texts: of a group of edited copies, mostly the text that they were made from.
 4. Where a bucket then holds several components, every text outside the largest is compared
    with all texts of other components, so no link within a bucket is lost.
+
+Before two texts are compared, their sizes must allow the threshold, and of 4 bits of each
+coordinate no more may differ than 6 standard deviations from what the threshold lets expect
+(a pair at the threshold fails this once in a billion). Exact weighted Jaccard then decides.
 5. Components are the classes.
 
 Pairs of a text that is compared very often are dealt over several tasks. Texts of fewer
@@ -43,6 +48,9 @@ COORDINATES = BANDS * ROWS
 #: Pairs with one text that a task is to have, about.
 SHARE = 2000
 
+#: Longs that hold 4 bits of each coordinate.
+_LONGS = -(-COORDINATES // 16)
+
 _STEP, _ROW = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
 
@@ -97,6 +105,22 @@ def bands(found: np.ndarray) -> np.ndarray:
     return out.view("i8")
 
 
+def four_bits(found: np.ndarray) -> np.ndarray:
+    """The lowest 4 bits of each coordinate, 16 to a long."""
+    low = np.zeros(16 * _LONGS, "u8")
+    low[: len(found)] = found & np.uint64(15)
+    return (low.reshape(_LONGS, 16) << (np.arange(16, dtype="u8") * np.uint64(4))).sum(1, dtype="u8").view("i8")
+
+
+def _may_be_similar(x: str, y: str, threshold: float):
+    """Whether sizes and bits of two rows, in columns x and y, allow the threshold."""
+    differ = sum((F.bit_count(F.col(f"{x}.bits")[i].bitwiseXOR(F.col(f"{y}.bits")[i])) for i in range(1, _LONGS)), F.bit_count(F.col(f"{x}.bits")[0].bitwiseXOR(F.col(f"{y}.bits")[0])))
+    other = COORDINATES * (1 - threshold)
+    most = 2 * other + 6 * math.sqrt(other + 4 * other * threshold)
+    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+    return (F.least(n, m) >= threshold * F.greatest(n, m)) & (differ <= most)
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     """_id, _hash, _text: with _id and _hash together a text is found again."""
     text = F.coalesce("text", F.lit(""))
@@ -104,17 +128,21 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _sketch(docs: DataFrame) -> DataFrame:
-    """Per document: _id, _hash, key (of its words), buckets (none for a text without words)."""
-    schema = "_id long, _hash long, key binary, buckets array<long>"
+    """Per document: _id, _hash, key (of its words), n (of its shingles), bits, buckets (none for a text without words)."""
+    schema = "_id long, _hash long, key binary, n long, bits array<long>, buckets array<long>"
 
     def sketch(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
         for batch in batches:
-            keys, buckets = [], []
+            keys, sizes, bits, buckets = [], [], [], []
             for text in batch["_text"]:
                 hashes = word_hashes(text)
                 keys.append(hashlib.blake2b(hashes.tobytes() if len(hashes) else b"text" + text.encode(), digest_size=16).digest())
-                buckets.append(bands(signature(*weighted(hashes))).tolist() if len(hashes) else [])
-            yield {"_id": batch["_id"], "_hash": batch["_hash"], "key": keys, "buckets": buckets}
+                elements, weights = weighted(hashes)
+                found = signature(elements, weights) if len(elements) else None
+                sizes.append(int(weights.sum()))
+                bits.append(four_bits(found).tolist() if found is not None else None)
+                buckets.append(bands(found).tolist() if found is not None else [])
+            yield {"_id": batch["_id"], "_hash": batch["_hash"], "key": keys, "n": sizes, "bits": bits, "buckets": buckets}
 
     return map_columns(_texts(docs), sketch, schema)
 
@@ -163,13 +191,19 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """_id, _hash, key, label of each row; rows with one label are one class."""
     sketches = staged(_sketch(docs), "sketches")
     texts = sketches.dropDuplicates(["key"]).select("key", F.explode("buckets").alias("bucket"))
-    shared = texts.groupBy("bucket").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = staged(texts.join(shared, "bucket").select("bucket", "key", "first"), "buckets")
-
-    pairs = staged(members.where("key <> first").select(F.col("key").alias("a"), F.col("first").alias("b")).distinct(), "pairs")
-    keys = members.select("key").distinct()
-    one = sketches.join(keys, "key").groupBy("key").agg(F.min(F.struct("_id", "_hash")).alias("x"))
-    sets = staged(_sets(docs, one.select("key", F.col("x._id").alias("wanted_id"), F.col("x._hash").alias("wanted_hash"))), "sets")
+    shared = texts.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = staged(texts.join(shared, "bucket"), "members")
+    keys = members.groupBy("key").agg(F.sum("size").alias("central"))
+    one = sketches.join(keys, "key").groupBy("key", "central").agg(F.min(F.struct("_id", "_hash")).alias("x"), F.min(F.struct("n", "bits")).alias("info"))
+    known = staged(one, "texts")
+    info = known.select("key", "info")
+
+    hubs = members.join(known.select("key", "central"), "key").groupBy("bucket").agg(F.max(F.struct("central", "key")).alias("hub"))
+    apart = members.join(hubs, "bucket").where("key <> hub.key").select(F.col("key").alias("a"), F.col("hub.key").alias("b")).distinct()
+    tried = staged(apart, "tried")
+    both = tried.join(info.select(F.col("key").alias("a"), F.col("info").alias("x")), "a").join(info.select(F.col("key").alias("b"), F.col("info").alias("y")), "b")
+    pairs = staged(both.where(_may_be_similar("x", "y", threshold)).select("a", "b"), "pairs")
+    sets = staged(_sets(docs, known.select("key", F.col("x._id").alias("wanted_id"), F.col("x._hash").alias("wanted_hash"))), "sets")
     edges = staged(_similar(pairs, sets, threshold), "similar")
 
     # Buckets that still hold several components.
@@ -177,11 +211,13 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     named = members.join(label.withColumnRenamed("node", "key"), "key", "left").select("bucket", "key", F.coalesce("label", "key").alias("label"))
     sizes = named.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("x"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
-    open_ = staged(named.join(largest.select("bucket", F.col("x.label").alias("main")), "bucket"), "open")
-    hubs = open_.where("label <> main").select("bucket", F.col("key").alias("b"), F.col("label").alias("other"), "main")
+    open_ = staged(named.join(largest.select("bucket", F.col("x.label").alias("main")), "bucket").join(info, "key"), "open")
+    outside = open_.where("label <> main").select("bucket", F.col("key").alias("b"), F.col("label").alias("other"), F.col("info").alias("y"))
+    inside = open_.select("bucket", F.col("key").alias("a"), "label", "main", F.col("info").alias("x"))
     # Two texts outside the largest component meet once, by order; one in it and one outside always.
-    more = hubs.join(open_.select("bucket", F.col("key").alias("a"), "label"), "bucket").where("label <> other and (label = main or a > b)")
-    rest = more.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti").join(pairs.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
+    met = F.expr("bucket = its and label <> other and (label = main or a > b)") & _may_be_similar("x", "y", threshold)
+    more = inside.join(outside.withColumnRenamed("bucket", "its"), met).select("a", "b").distinct()
+    rest = more.join(tried, ["a", "b"], "left_anti").join(tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
     found = staged(_similar(staged(rest, "rest"), sets, threshold), "similar")
     if not found.isEmpty():
         label = components(edges.union(found))
