@@ -17,7 +17,7 @@ from footfall.params import load_task
 from footfall.plans import jobs
 from footfall.schemas import PRODUCT_INFO, USER_INFO
 from footfall.sources.results import JdbcResults, ParquetResults
-from footfall.sources.tables import city_info, jdbc_options, read_actions, read_jdbc, read_table
+from footfall.sources.tables import city_info, jdbc_options, jdbc_split_options, read_actions, read_jdbc, read_table
 
 
 def parser() -> argparse.ArgumentParser:
@@ -38,6 +38,8 @@ def parser() -> argparse.ArgumentParser:
     options.add_argument("--jdbc-user")
     options.add_argument("--jdbc-password")
     options.add_argument("--jdbc-driver")
+    options.add_argument("--jdbc-split", nargs=4, metavar=("COLUMN", "LOW", "HIGH", "PARTITIONS"), help="read JDBC tables in ranges of a column")
+    options.add_argument("--hive", action="store_true", help="find catalog tables in the Hive metastore")
     return options
 
 
@@ -47,12 +49,14 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
 
     if not args.out and not args.jdbc_url:
         raise ValueError("either --out or --jdbc-url is needed")
+    split = jdbc_split_options(*args.jdbc_split[:3], int(args.jdbc_split[3])) if args.jdbc_split else {}
+
     def small_table(name: str, from_jdbc: bool) -> DataFrame:
-        return read_jdbc(spark, jdbc(name)) if from_jdbc else read_table(spark, name)
+        return read_jdbc(spark, jdbc(name) | split) if from_jdbc else read_table(spark, name)
 
     results = ParquetResults(args.out) if args.out else JdbcResults(jdbc(""))
     params = load_task(small_table(args.tasks, args.tasks_from_jdbc), args.task_id)
-    actions = read_actions(spark, args.actions)
+    actions = read_actions(spark, args.actions, *params.date_range())
     if args.job == "session":
         users = read_table(spark, args.users, USER_INFO)
         jobs.run_session_analysis(actions, users, params, args.task_id, results, args.sample_size, args.seed)
@@ -66,7 +70,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def main() -> None:
     args = parser().parse_args()
-    spark = SparkSession.builder.appName(f"footfall-{args.job}").getOrCreate()
+    builder = SparkSession.builder.appName(f"footfall-{args.job}")
+    spark = (builder.enableHiveSupport() if args.hive else builder).getOrCreate()
     try:
         run(spark, args)
     finally:

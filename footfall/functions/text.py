@@ -19,7 +19,7 @@ def is_not_empty(value) -> Column:
 
 def trim_comma(value) -> Column:
     """Drop one comma at each end."""
-    return F.regexp_replace(_column(value), "^,|,$", "")
+    return F.regexp_replace(_column(value), r"^,|,\z", "")
 
 
 def pad_two(value) -> Column:
@@ -55,7 +55,7 @@ def concat_field_get(record, field: str, delimiter: str = r"\|") -> Column:
     """
     pairs = F.transform(
         F.split(_column(record), delimiter),
-        lambda part: F.split(F.regexp_replace(part, "=+$", ""), "="),
+        lambda part: F.split(F.regexp_replace(part, r"=+\z", ""), "="),
     )
     match = F.filter(pairs, lambda pair: (F.size(pair) == 2) & (pair[0] == field))
     return F.get(F.get(match, F.lit(0)), F.lit(1))
@@ -67,7 +67,7 @@ def concat_field_set(record, field: str, value, delimiter: str = r"\|") -> Colum
     A record without the field keeps its parts. Parts are joined by ``|`` whatever the
     delimiter was, and delimiters that end the text are dropped.
     """
-    parts = F.split(F.regexp_replace(_column(record), f"(?:{delimiter})+$", ""), delimiter)
+    parts = F.split(F.regexp_replace(_column(record), rf"(?:{delimiter})+\z", ""), delimiter)
     names = F.transform(parts, lambda part: F.split(part, "=")[0])
     position = F.array_position(names, field)
     changed = F.transform(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.operators.hints import small
@@ -29,16 +29,23 @@ def _one_per_id(df: DataFrame, column: str) -> DataFrame:
 def category_events(detail: DataFrame) -> DataFrame:
     """One row per category that an action clicked, ordered or paid, in one pass.
 
-    Columns: session_id, kind (``click``, ``order`` or ``pay``), category_id.
+    Columns: session_id, kind (``click``, ``order`` or ``pay``), category_id. A clicked id
+    stays a number; only the comma lists are split.
     """
-    sources = [
-        ("click", F.col("click_category_id").cast("string")),
-        ("order", F.col("order_category_ids")),
-        ("pay", F.col("pay_category_ids")),
-    ]
-    kinds = F.array(*[F.struct(F.lit(kind).alias("kind"), ids.alias("ids")) for kind, ids in sources])
     acted = detail.where("click_category_id IS NOT NULL OR order_category_ids IS NOT NULL OR pay_category_ids IS NOT NULL")
-    return _one_per_id(acted.select("session_id", F.inline(kinds)).where("ids IS NOT NULL"), "ids")
+    clicked = F.array(_event("click", F.col("click_category_id").cast("bigint")))
+    every = F.concat(clicked, _listed("order", "order_category_ids"), _listed("pay", "pay_category_ids"))
+    return acted.select("session_id", F.inline(every)).where("category_id IS NOT NULL")
+
+
+def _event(kind: str, category_id) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), category_id.alias("category_id"))
+
+
+def _listed(kind: str, column: str) -> Column:
+    """An event for each part of a comma text; none for NULL."""
+    events = F.transform(F.split(column, ","), lambda part: _event(kind, part.try_cast("bigint")))
+    return F.coalesce(events, F.array().cast("array<struct<kind:string,category_id:bigint>>"))
 
 
 def category_ids(detail: DataFrame) -> DataFrame:
@@ -77,7 +84,8 @@ def session_category_activity(actions: DataFrame, sessions: DataFrame) -> DataFr
     session and category, however many actions a session has.
     """
     activity = _kind_counts(category_events(actions), "category_id", "session_id")
-    return activity.join(sessions.select("session_id"), "session_id", "left_semi").select(
+    wanted = sessions.select(F.col("session_id").alias("__session"))
+    return activity.join(wanted, F.expr("session_id <=> __session"), "left_semi").select(
         "category_id", "session_id", *_COUNTS
     )
 
@@ -103,11 +111,21 @@ def top_categories(counts: DataFrame, n: int = TOP_CATEGORIES) -> DataFrame:
     return counts.orderBy(*order).limit(n)
 
 
-def rank_categories(counts: DataFrame, n: int) -> DataFrame:
-    """``top_categories`` with the rank from 1. The window sees ``n`` rows at most."""
+def rank_categories(counts: DataFrame, keep=lambda df: df.persist()) -> DataFrame:
+    """All categories with their rank from 1, in the order of ``top_categories``.
+
+    The categories are dealt by ranges of that order; each range is ranked on its own, after
+    as many places as the ranges before it have rows (one number per range). ``keep`` makes
+    the dealt rows once for both, since ranges may be cut otherwise a second time.
+    """
     order = [direction(name) for direction, name in zip(_RANKING, [*_COUNTS, "category_id"])]
-    rank = F.row_number().over(Window.partitionBy().orderBy(*order))
-    return top_categories(counts, n).withColumn("rank", rank)
+    ranges = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = keep(counts.repartitionByRange(ranges, *order).withColumn("__range", F.spark_partition_id()))
+    sizes = dealt.groupBy("__range").agg(F.count("*").alias("__size"))
+    before = sizes.select("__range", (F.sum("__size").over(Window.orderBy("__range")) - F.col("__size")).alias("__before"))
+    place = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
+    ranked = dealt.withColumn("__place", place).join(F.broadcast(before), "__range")
+    return ranked.select(*counts.columns, (F.col("__before") + F.col("__place")).cast("int").alias("rank"))
 
 
 def clicked(activity: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.functions import ratio
-from footfall.operators.sessions import LONG_SESSION, long_sessions, order_columns
+from footfall.operators.sessions import LONG_SESSION, order_columns
 from footfall.schemas import ACTION_ID
 
 
@@ -51,7 +51,8 @@ def _mark_parts(actions: DataFrame, time: str, tie: str, long_session: int) -> D
     fewer than one row per ``long_session`` actions of the log and are broadcast.
     """
     rows = actions.select("session_id", "page_id", time, tie)
-    long = long_sessions(rows, long_session).withColumnRenamed("session_id", "long_id")
+    sizes = rows.groupBy(F.col("session_id").alias("long_id")).agg(F.count("*").alias("n"))
+    long = sizes.where(F.col("n") > long_session).select("long_id")
     is_long_row = F.col("session_id").eqNullSafe(F.col("long_id"))
     second = F.substring(F.col(time).cast("string"), 1, 19)
     marked = (

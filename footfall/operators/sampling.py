@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from footfall.functions import divide_down, format_date
 from footfall.operators.sessions import aggregate_sessions, detail_of_few, render_lists
-from footfall.operators.topn import first_n
 
 DEFAULT_SAMPLE_SIZE = 100
 
+# Sessions of an hour that one task ranks, about.
+_RANKED_TOGETHER = 1_000_000
+
 
 def _with_start_hour(sessions: DataFrame) -> DataFrame:
     return sessions.withColumns({"date": format_date("start_time"), "hour": F.hour("start_time")})
@@ -44,17 +46,20 @@ def sample_sessions(sessions: DataFrame, total: int = DEFAULT_SAMPLE_SIZE, seed:
     """Ids of the sampled sessions, drawn in each hour by the hash of session id and seed.
 
     The same sessions, total and seed always give the same sample. The quota table has
-    at most 24 rows a day and is broadcast. No quota exceeds ``total``, which lets Spark
-    cut each hour in the map tasks.
+    at most 24 rows a day and is broadcast. A crowded hour is ranked in parts by its number
+    of sessions, and each part is cut to the hour's quota before the hour is ranked.
     """
     quota = session_sample_quota(session_hour_counts(sessions), total).where("quota > 0")
     candidates = _with_start_hour(sessions).select(
         "date", "hour", "session_id", F.md5(F.concat("session_id", F.lit(str(seed))).cast("binary")).alias("draw")
     )
-    candidates = candidates.join(F.broadcast(quota.select("date", "hour", "quota")), ["date", "hour"])
-    order = [F.col("draw"), F.col("session_id")]
-    drawn = first_n(candidates, ["date", "hour"], order, total, "position")
-    return drawn.where("position <= quota").select("session_id")
+    candidates = candidates.join(F.broadcast(quota.select("date", "hour", "quota", "sessions")), ["date", "hour"])
+    parts = F.ceil(F.col("sessions") / _RANKED_TOGETHER)
+    candidates = candidates.withColumn("part", F.pmod(F.xxhash64("session_id"), parts)).drop("sessions")
+    for group in (["date", "hour", "part"], ["date", "hour"]):
+        place = F.row_number().over(Window.partitionBy(*group).orderBy("draw", "session_id"))
+        candidates = candidates.withColumn("position", place).where("position <= quota").drop("position")
+    return candidates.select("session_id")
 
 
 def sampled_detail(actions: DataFrame, sampled: DataFrame, total: int = DEFAULT_SAMPLE_SIZE) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions import comma_list, is_not_empty, ratio, seconds_between
 from footfall.operators.filters import action_predicates, keep_all, user_predicates
-from footfall.operators.hints import BROADCAST_ROWS
+from footfall.operators.hints import small
 from footfall.params import TaskParams
 from footfall.schemas import (
     ACTION_ID,
@@ -93,10 +93,19 @@ def filtered_sessions(actions: DataFrame, users: DataFrame, params: TaskParams)
     Equal to ``filter_sessions`` over the joined sessions, but keywords and categories
     are tested action by action, as flags of the session, and not on the arrays.
     """
+    return matching_sessions(flagged_sessions(actions, params), users, params)
+
+
+def flagged_sessions(actions: DataFrame, params: TaskParams) -> DataFrame:
+    """All sessions, with a flag for each filter of ``params`` that one of their actions decides."""
     tests = action_predicates(params)
-    flags = {name: F.coalesce(F.bool_or(test), F.lit(False)) for name, test in tests.items()}
-    sessions = join_users(aggregate_sessions(actions, **flags), users)
-    return keep_all(sessions, [*user_predicates(params), *[F.col(name) for name in flags]]).drop(*flags)
+    return aggregate_sessions(actions, **{name: F.coalesce(F.bool_or(test), F.lit(False)) for name, test in tests.items()})
+
+
+def matching_sessions(flagged: DataFrame, users: DataFrame, params: TaskParams) -> DataFrame:
+    """``filtered_sessions`` from the result of ``flagged_sessions``."""
+    flags = list(action_predicates(params))
+    return keep_all(join_users(flagged, users), [*user_predicates(params), *[F.col(name) for name in flags]]).drop(*flags)
 
 
 def render_lists(sessions: DataFrame) -> DataFrame:
@@ -108,46 +117,49 @@ def detail_columns(actions: DataFrame) -> list[str]:
     return [name for name in [*DETAIL_COLUMNS, ACTION_ID] if name in actions.columns]
 
 
-def long_sessions(actions: DataFrame, more_than: int = LONG_SESSION) -> DataFrame:
-    """Ids of the sessions with more than ``more_than`` actions.
+def long_sessions(sessions: DataFrame, more_than: int = LONG_SESSION) -> DataFrame:
+    """Ids of the sessions with more than ``more_than`` actions, from their aggregates.
 
     There are fewer of them than one per ``more_than`` actions of the log, so the result
     may be broadcast.
     """
-    return (
-        actions.groupBy("session_id").agg(F.count("*").alias("n")).where(F.col("n") > more_than).select("session_id")
-    )
+    return sessions.where(F.col("step_length") > more_than).select("session_id")
 
 
-def join_sessions(
-    actions: DataFrame, sessions: DataFrame, how: str = "inner", long_session: int = LONG_SESSION
-) -> DataFrame:
+def join_sessions(actions: DataFrame, sessions: DataFrame, how: str = "inner", long: DataFrame | None = None) -> DataFrame:
     """Join actions with ``sessions``, which has one row per session, on the session.
 
-    Actions of long sessions never meet in one task: they stay where they are read, and
-    the rows of their sessions are sent to them. When there is no long session, Spark
-    drops that branch at run time.
+    A NULL session id is a session like any other, here and in every other operator.
+
+    Where ``sessions`` is read from a table or a checkpoint, Spark splits a session with
+    very many actions by itself. Where it is an aggregate over the same key, Spark does not:
+    then ``long`` names those sessions, by ``long_sessions`` of the aggregate before any
+    filter. Their actions stay where they are read, and the rows of their sessions are sent
+    to them; the actions of a long session that fails a filter are dropped there too.
     """
-    long = F.broadcast(long_sessions(actions, long_session))
-    ordinary = actions.join(long, "session_id", "left_anti").join(sessions, "session_id", how)
-    long_rows = F.broadcast(sessions.join(long, "session_id", "left_semi"))
-    return ordinary.unionByName(
-        actions.join(long, "session_id", "left_semi").join(long_rows, "session_id", how)
-    )
+    if long is None:
+        return _on_session(actions, sessions, how)
+    long = F.broadcast(long)
+    ordinary = _on_session(_on_session(actions, long, "left_anti"), sessions, how)
+    long_rows = F.broadcast(_on_session(sessions, long, "left_semi"))
+    return ordinary.unionByName(_on_session(_on_session(actions, long, "left_semi"), long_rows, how))
+
+
+def _on_session(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    named = right.withColumnRenamed("session_id", "__session")
+    return left.join(named, F.expr("session_id <=> __session"), how).drop("__session")
 
 
-def session_detail(actions: DataFrame, sessions: DataFrame, long_session: int = LONG_SESSION) -> DataFrame:
-    """Actions of the given sessions, each once."""
+def session_detail(actions: DataFrame, sessions: DataFrame, long: DataFrame | None = None) -> DataFrame:
+    """Actions of the given sessions, each once; ``long`` as in ``join_sessions``."""
     detail = actions.select(*detail_columns(actions))
-    return join_sessions(detail, sessions.select("session_id"), "left_semi", long_session).select(*detail.columns)
+    return join_sessions(detail, sessions.select("session_id"), "left_semi", long).select(*detail.columns)
 
 
 def detail_of_few(actions: DataFrame, sessions: DataFrame, at_most: int) -> DataFrame:
     """``session_detail`` for sessions that are known to be few."""
-    if at_most > BROADCAST_ROWS:
-        return session_detail(actions, sessions)
-    few = F.broadcast(sessions.select("session_id"))
-    return actions.join(few, "session_id", "left_semi").select(*detail_columns(actions))
+    few = small(sessions.select("session_id").distinct(), at_most)
+    return session_detail(actions, few)
 
 
 def _in_bucket(column: str, low: int, high: int | None) -> str:

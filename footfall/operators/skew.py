@@ -8,16 +8,12 @@ from pyspark.sql import functions as F
 from footfall.operators.hints import small
 
 
-def hot_keys(df: DataFrame, key: str, n: int = 1, fraction: float = 0.1, seed: int = 9) -> DataFrame:
-    """The ``n`` most frequent values of ``key`` in a sample of the rows: key, n.
+def hot_keys(df: DataFrame, key: str, n: int = 1) -> DataFrame:
+    """The ``n`` most frequent values of ``key`` with their number of rows: key, n.
 
-    A row is in the sample or not by the hash of its values, so the answer does not
-    change when a lost task is run again. Ties go to the smaller key.
+    The count is exact: the map tasks reduce the rows to one per key and task, so a sample
+    would save little. Ties go to the smaller key.
     """
-    if fraction < 1.0:
-        buckets = 1_000_000
-        position = F.pmod(F.xxhash64(F.lit(seed), *df.columns), F.lit(buckets))
-        df = df.where(position < int(fraction * buckets))
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
     return counts.orderBy(F.desc("n"), F.asc(key)).limit(n)
 
@@ -28,20 +24,26 @@ def skew_join(
     key: str,
     n_hot: int = 1,
     salts: int = 16,
-    fraction: float = 0.1,
+    row_id: str | None = None,
 ) -> DataFrame:
     """Inner join on ``key`` whose result equals ``left.join(right, key)``.
 
     The ``n_hot`` most frequent keys of ``left`` are spread over ``salts`` partitions
-    each: their left rows take a salt by hash, and their right rows, the rows of at most
+    each, also where the rows are equal: their left rows take a salt by the hash of
+    ``row_id``, a column that differs between rows, and their right rows, the rows of at most
     ``n_hot`` keys, are repeated for every salt. All other rows have the one salt 0.
+
+    Without a row id the place of a row in its input partition takes its part. Then ``left``
+    must come in the same order when a lost task is run again, as tables and staged frames do.
     """
-    hot = small(hot_keys(left, key, n_hot, fraction).select(key, F.lit(True).alias("__hot")), n_hot)
+    hot = small(hot_keys(left, key, n_hot).select(key, F.lit(True).alias("__hot")), n_hot)
     is_hot = F.col("__hot").isNotNull()
     zero = F.lit(0).cast("bigint")
-    salt = F.pmod(F.xxhash64(*left.columns), F.lit(salts))
+    place = F.col(row_id) if row_id else F.monotonically_increasing_id()
+    salt = F.pmod(F.xxhash64(place), F.lit(salts))
     every_salt = F.sequence(zero, F.lit(salts - 1).cast("bigint"))
-    salted_left = left.join(hot, key, "left").withColumn("__salt", F.when(is_hot, salt).otherwise(zero)).drop("__hot")
+    numbered = left.withColumn("__place", salt).join(hot, key, "left")
+    salted_left = numbered.withColumn("__salt", F.when(is_hot, F.col("__place")).otherwise(zero)).drop("__hot", "__place")
     salted_right = (
         right.join(hot, key, "left")
         .withColumn("__salt", F.explode(F.when(is_hot, every_salt).otherwise(F.array(zero))))

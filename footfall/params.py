@@ -22,6 +22,7 @@ PARAM_KEYS = {
     "target_page_flow": "targetPageFlow",
 }
 
+_AGES = ("start_age", "end_age")
 _LIST_PARAMS = ("professionals", "cities", "keywords", "category_ids", "target_page_flow")
 
 
@@ -34,11 +35,14 @@ def task_param(params, key: str) -> Column:
     return F.get(F.try_element_at(arrays, F.lit(key)), F.lit(0))
 
 
-def task_params(tasks: DataFrame) -> DataFrame:
-    """One row per task with its parameters as columns; ages as integers, the rest as text."""
+def task_params(tasks: DataFrame, *more: str) -> DataFrame:
+    """One row per task with its parameters as columns; ages as integers, the rest as text.
+
+    An age that is not a number is NULL here; ``load_task`` rejects it for the task it loads.
+    """
     columns = [task_param(F.col("task_param"), key).alias(name) for name, key in PARAM_KEYS.items()]
-    return tasks.select("task_id", *columns).withColumns(
-        {age: F.col(age).cast("int") for age in ("start_age", "end_age")}
+    return tasks.select("task_id", *columns, *more).withColumns(
+        {age: F.col(age).try_cast("int") for age in _AGES}
     )
 
 
@@ -81,9 +85,14 @@ def load_task(tasks: DataFrame, task_id: int) -> TaskParams:
 
     Only this one parameter row comes to the driver.
     """
-    row = task_params(tasks.where(F.col("task_id") == task_id)).first()
+    texts = [task_param(F.col("task_param"), PARAM_KEYS[age]).alias(f"{age}_text") for age in _AGES]
+    one = tasks.where(F.col("task_id") == task_id)
+    row = task_params(one.select("*", *texts), *[f"{age}_text" for age in _AGES]).first()
     if row is None:
         raise LookupError(f"no task with id {task_id}")
+    for age in _AGES:
+        if row[age] is None and row[f"{age}_text"]:
+            raise ValueError(f"task {task_id}: {PARAM_KEYS[age]} is not a number: {row[f'{age}_text']!r}")
     return TaskParams(**{name: row[name] for name in PARAM_KEYS})
 
 

@@ -8,7 +8,7 @@ _VIEWS = """
 WITH events_k AS (
   SELECT *, CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT) AS k FROM events
 ),
-action AS (
+every_action AS (
   SELECT
     strftime(ts, '%Y-%m-%d') AS date,
     user_id,
@@ -27,7 +27,14 @@ action AS (
     event_id % 25 AS city_id,
     event_id AS action_id
   FROM events_k
-  WHERE strftime(ts, '%Y-%m-%d') BETWEEN '2024-01-01' AND '2024-01-30'
+),
+action AS (SELECT * FROM every_action WHERE date BETWEEN '2024-01-01' AND '2024-01-30'),
+part_action AS (SELECT * FROM action WHERE date BETWEEN '2024-01-05' AND '2024-01-20'),
+timed AS (
+  SELECT action_id, session_id, min(action_time) OVER (PARTITION BY session_id) AS start_time, action_time
+  FROM (
+    SELECT action_id, session_id, CASE WHEN action_id % 97 != 0 THEN action_time END AS action_time FROM every_action
+  )
 ),
 user_info AS (
   SELECT
@@ -168,7 +175,7 @@ area_level AS (
       WHEN area IN ('西北', '西南') THEN 'C级'
       ELSE 'D级'
     END AS area_level
-  FROM (SELECT DISTINCT area FROM basic)
+  FROM (SELECT DISTINCT area FROM city_info)
 )
 """
 
@@ -211,8 +218,9 @@ def _shares() -> str:
 
 
 _RESULTS = {
-    "action_date_range": f"SELECT date, {_DETAIL}, city_id FROM action",
-    "click_city_product": "SELECT * FROM click",
+    "action_date_range": f"SELECT date, {_DETAIL}, city_id FROM part_action",
+    "click_city_product": """
+      SELECT city_id, click_product_id AS product_id FROM part_action WHERE click_product_id IS NOT NULL""",
     "task_params": """
       SELECT
         c_custkey AS task_id,
@@ -234,6 +242,12 @@ _RESULTS = {
       SELECT * FROM full_session WHERE session_id IN (
         SELECT session_id FROM action WHERE search_keyword IN ('kw1', 'kw4', 'kw7'))""",
     "filter_equal": "SELECT * FROM full_session WHERE sex = 'male'",
+    "filter_all": """
+      SELECT * FROM full_session
+      WHERE age BETWEEN 5 AND 55 AND sex = 'male'
+        AND CAST(substr(professional, 13) AS INTEGER) < 80 AND CAST(substr(city, 5) AS INTEGER) >= 10
+        AND session_id IN (SELECT session_id FROM action WHERE search_keyword IN ('kw1', 'kw2', 'kw4', 'kw6', 'kw8'))
+        AND session_id IN (SELECT session_id FROM action WHERE click_category_id IN (1, 3, 5, 7, 9, 11, 13))""",
     "filtered_sessions": "SELECT * FROM matching",
     "session_detail": f"SELECT {_DETAIL} FROM detail",
     "visit_length_histogram": _histogram(_VISIT),
@@ -241,6 +255,16 @@ _RESULTS = {
     "session_aggr_stat": f"SELECT count(*) AS session_count, {_shares()} FROM matching",
     "session_hour_counts": "SELECT * FROM hour_count",
     "session_sample_quota": "SELECT * FROM quota",
+    "session_sample_large": """
+      SELECT session_id
+      FROM (
+        SELECT session_id, sessions, day_sessions,
+          row_number() OVER (PARTITION BY date, hour ORDER BY md5(session_id || '42'), session_id) AS position
+        FROM matching JOIN quota
+          ON quota.date = strftime(start_time, '%Y-%m-%d') AND quota.hour = hour(start_time)
+      )
+      WHERE position <= least(
+        sessions, sessions * (6000 // (SELECT count(DISTINCT date) FROM hour_count)) // day_sessions)""",
     "session_sample": "SELECT * FROM sample",
     "sample_session_detail": f"SELECT {_DETAIL} FROM action WHERE session_id IN (SELECT session_id FROM sample)",
     "category_ids_distinct": "SELECT category_id FROM category",
@@ -252,7 +276,7 @@ _RESULTS = {
     "category_ranking": """
       SELECT *, CAST(row_number() OVER (
         ORDER BY click_count DESC, order_count DESC, pay_count DESC, category_id) AS INTEGER) AS rank
-      FROM category_n QUALIFY rank <= 100""",
+      FROM category_n""",
     "top10_category": "SELECT * FROM top_category",
     "session_category_clicks": "SELECT * FROM session_click",
     "top10_category_session_counts": "SELECT * FROM top_click",
@@ -275,7 +299,7 @@ _RESULTS = {
     "product_status": """
       SELECT product_id, product_name, CASE WHEN status = 0 THEN '自营' ELSE '第三方' END AS product_status
       FROM product_info""",
-    "hot_keys": "SELECT user_id, count(*) AS n FROM action GROUP BY user_id ORDER BY n DESC, user_id LIMIT 5",
+    "hot_keys": "SELECT user_id, count(*) AS n FROM every_action GROUP BY user_id ORDER BY n DESC, user_id LIMIT 5",
     "date_functions": """
       SELECT
         action_id,
@@ -285,14 +309,24 @@ _RESULTS = {
         start_time < action_time AS is_before,
         action_time > start_time + INTERVAL 5 MINUTE AS is_after,
         date_sub('second', start_time, action_time) AS minus_seconds
-      FROM action JOIN session USING (session_id)""",
+      FROM every_action JOIN (SELECT session_id, min(action_time) AS start_time FROM every_action GROUP BY 1) USING (session_id)""",
+    "date_functions_text": """
+      SELECT
+        action_id,
+        strftime(action_time, '%Y-%m-%d_%H') AS date_hour,
+        strftime(action_time, '%Y-%m-%d %H:%M:%S') AS time_text,
+        strftime(action_time, '%Y-%m-%d') AS date_text,
+        coalesce(start_time < action_time, false) AS is_before,
+        coalesce(action_time > start_time + INTERVAL 5 MINUTE, false) AS is_after,
+        coalesce(date_sub('second', start_time, action_time), 0) AS minus_seconds
+      FROM timed""",
     "string_functions": """
       SELECT
         action_id,
         search_keyword IS NULL OR search_keyword = '' AS is_empty,
         coalesce(order_category_ids, '') || ',' AS trimmed,
         CASE WHEN hour(action_time) < 10 THEN '0' ELSE '' END || hour(action_time) AS padded
-      FROM action""",
+      FROM every_action""",
     "concat_field_get": "SELECT session_id, nullif(search_keywords, '') AS value FROM session",
     "concat_field_set": """
       SELECT
@@ -302,19 +336,40 @@ _RESULTS = {
       FROM session""",
     "round_half_up": """
       SELECT click_category_id AS category_id,
-        ((200 * count(*) + (SELECT count(click_category_id) FROM action))
-          // (2 * (SELECT count(click_category_id) FROM action))) / CAST(100 AS DOUBLE) AS share
-      FROM action WHERE click_category_id IS NOT NULL
+        ((200 * count(*) + (SELECT count(click_category_id) FROM every_action))
+          // (2 * (SELECT count(click_category_id) FROM every_action))) / CAST(100 AS DOUBLE) AS share
+      FROM every_action WHERE click_category_id IS NOT NULL
       GROUP BY 1""",
-    "concat_long_string": "SELECT DISTINCT city_id, city_id || ':' || city_name AS city_info FROM basic",
+    "round_half_up_value": """
+      SELECT product_id, CAST((product_id * 125 + 5) // 10 AS DOUBLE) / 100 AS value FROM product_info""",
+    "sql_functions": """
+      SELECT product_id, product_id || ':' || product_name AS info, CAST(status AS VARCHAR) AS status FROM product_info""",
+    "concat_long_string": "SELECT city_id, city_id || ':' || city_name AS city_info FROM city_info",
     "group_concat_distinct": """
       SELECT area,
         string_agg(DISTINCT city_id || ':' || city_name, ',' ORDER BY city_id || ':' || city_name) AS city_infos
-      FROM basic
+      FROM city_info
       GROUP BY area""",
     "json_field": "SELECT product_id, CAST(status AS VARCHAR) AS value FROM product_info",
 }
 
 
+# Result table -> the query it holds; column names and order are those of the table.
+_TABLES = {
+    "session_aggr_stat": "session_aggr_stat",
+    "session_random_extract": "session_sample",
+    "session_detail": "sample_session_detail",
+    "top10_category": "top10_category",
+    "top10_session": "top10_session",
+    "top10_session_detail": "top10_session_detail",
+    "page_split_convert_rate": "page_convert_rate_text",
+    "area_top3_product": "area_top3_products",
+}
+_RESULTS |= {
+    f"result_{table}": f"SELECT CAST(7 AS BIGINT) AS task_id, {'* EXCLUDE (action_id)' if 'detail' in table else '*'} FROM ({_RESULTS[name]})"
+    for table, name in _TABLES.items()
+}
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: _VIEWS + result for name, result in _RESULTS.items()}

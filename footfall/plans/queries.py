@@ -12,8 +12,10 @@ from footfall import params
 from footfall.operators import areas, categories, filters, page_flow, sampling, sessions, skew
 from footfall.params import TaskParams
 from footfall.plans import jobs
+from footfall.plans.staging import kept
 from footfall.schemas import SESSION_COLUMNS, USER_COLUMNS
 from footfall.sources import fixtures, tables
+from footfall.sources.results import result_rows
 
 PARAMS = TaskParams(
     start_date="2024-01-01",
@@ -24,9 +26,20 @@ PARAMS = TaskParams(
 )
 PROFESSIONALS = [f"professional{n}" for n in (1, 2, 3, 5, 8, 13, 21, 34, 55, 89)]
 KEYWORDS = ["kw1", "kw4", "kw7"]
-SAMPLE_SIZE, SAMPLE_SEED = 900, 42
-RANKED_CATEGORIES = 100
+SAMPLE_SIZE, LARGE_SAMPLE_SIZE, SAMPLE_SEED = 900, 6000, 42
 HOT_KEYS = 5
+TASK_ID = 7
+# A range that leaves rows out at both ends.
+PART_OF_THE_LOG = "2024-01-05", "2024-01-20"
+ALL_FILTERS = TaskParams(
+    start_age=5,
+    end_age=55,
+    professionals=[f"professional{n}" for n in range(80)],
+    cities=[f"city{n}" for n in range(10, 100)],
+    sex="male",
+    keywords=["kw1", "kw2", "kw4", "kw6", "kw8"],
+    category_ids=[1, 3, 5, 7, 9, 11, 13],
+)
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -54,12 +67,20 @@ def _filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.filtered_sessions(_actions(spark, sf_dir), fixtures.user_info(spark, sf_dir), PARAMS)
 
 
+def _every_action(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.user_visit_action(spark, sf_dir)
+
+
 def _activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return categories.session_category_activity(_actions(spark, sf_dir), _filtered(spark, sf_dir))
 
 
 def _detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sessions.session_detail(_actions(spark, sf_dir), _filtered(spark, sf_dir))
+    """All sessions are aggregated once: for the filter, and for the ids of long ones."""
+    actions = _actions(spark, sf_dir)
+    flagged = kept(sessions.flagged_sessions(actions, PARAMS).drop("search_keywords", "click_category_ids"))
+    matching = sessions.matching_sessions(flagged, fixtures.user_info(spark, sf_dir), PARAMS)
+    return sessions.session_detail(actions, matching, sessions.long_sessions(flagged))
 
 
 # Scans
@@ -67,13 +88,17 @@ def _detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def action_date_range(spark, sf_dir):
-    actions = _actions(spark, sf_dir)
+    actions = tables.action_date_range(fixtures.user_visit_action(spark, sf_dir, *PART_OF_THE_LOG), *PART_OF_THE_LOG)
     return actions.select("date", *sessions.detail_columns(actions), "city_id")
 
 
+def _clicks(spark, sf_dir):
+    return areas.click_city_product(_actions(spark, sf_dir))
+
+
 @_query
 def click_city_product(spark, sf_dir):
-    return areas.click_city_product(_actions(spark, sf_dir))
+    return areas.click_city_product(action_date_range(spark, sf_dir))
 
 
 @_query
@@ -100,7 +125,7 @@ def session_full_info(spark, sf_dir):
 def skew_join_sessions(spark, sf_dir):
     aggregated = sessions.aggregate_sessions(_actions(spark, sf_dir))
     users = fixtures.user_info(spark, sf_dir).select("user_id", *USER_COLUMNS)
-    joined = skew.skew_join(aggregated, users, "user_id", n_hot=HOT_KEYS, fraction=1.0)
+    joined = skew.skew_join(aggregated, users, "user_id", HOT_KEYS, row_id="session_id")
     return sessions.render_lists(joined.select(*SESSION_COLUMNS, *USER_COLUMNS))
 
 
@@ -128,6 +153,13 @@ def filter_equal(spark, sf_dir):
     return _filter_query(spark, sf_dir, TaskParams(sex="male"))
 
 
+@_query
+def filter_all(spark, sf_dir):
+    """All six filters at once, by flags of the session."""
+    found = sessions.filtered_sessions(_actions(spark, sf_dir), fixtures.user_info(spark, sf_dir), ALL_FILTERS)
+    return sessions.render_lists(found)
+
+
 @_query
 def filtered_sessions(spark, sf_dir):
     return sessions.render_lists(_filtered(spark, sf_dir))
@@ -170,6 +202,11 @@ def _sample(spark, sf_dir):
     return sampling.sample_sessions(_filtered(spark, sf_dir), SAMPLE_SIZE, SAMPLE_SEED)
 
 
+@_query
+def session_sample_large(spark, sf_dir):
+    return sampling.sample_sessions(_filtered(spark, sf_dir), LARGE_SAMPLE_SIZE, SAMPLE_SEED)
+
+
 @_query
 def session_sample(spark, sf_dir):
     return sampling.sample_report(sample_session_detail(spark, sf_dir))
@@ -211,20 +248,16 @@ def salted_category_count(spark, sf_dir):
 
 @_query
 def category_counts_joined(spark, sf_dir):
-    """The categories are the ids of the three counts, whose shuffles are used twice."""
-    detail = _detail(spark, sf_dir)
-    counts = [
-        categories.category_click_counts(detail),
-        categories.category_order_counts(detail),
-        categories.category_pay_counts(detail),
-    ]
-    clicked, ordered, paid = [found.select("category_id") for found in counts]
-    return categories.join_category_counts(clicked.union(ordered).union(paid).distinct(), *counts)
+    """The three counts are columns of one count of the log, and are joined by category."""
+    counted = kept(categories.category_counts(_detail(spark, sf_dir)))
+    names = ("click_count", "order_count", "pay_count")
+    counts = [counted.where(F.col(name) > 0).select("category_id", F.col(name).alias("n")) for name in names]
+    return categories.join_category_counts(counted.select("category_id"), *counts)
 
 
 @_query
 def category_ranking(spark, sf_dir):
-    return categories.rank_categories(categories.category_counts(_detail(spark, sf_dir)), RANKED_CATEGORIES)
+    return categories.rank_categories(categories.category_counts(_detail(spark, sf_dir)), kept)
 
 
 @_query
@@ -286,12 +319,12 @@ def page_convert_rate_text(spark, sf_dir):
 
 @_query
 def click_product_basic(spark, sf_dir):
-    return areas.click_product_basic(click_city_product(spark, sf_dir), fixtures.city_info(spark, sf_dir))
+    return areas.click_product_basic(_clicks(spark, sf_dir), fixtures.city_info(spark, sf_dir))
 
 
 @_query
 def area_product_clicks(spark, sf_dir):
-    return areas.area_product_clicks(click_city_product(spark, sf_dir), fixtures.city_info(spark, sf_dir))
+    return areas.area_product_clicks(_clicks(spark, sf_dir), fixtures.city_info(spark, sf_dir))
 
 
 @_query
@@ -308,7 +341,8 @@ def area_top3_products(spark, sf_dir):
 
 @_query
 def area_level(spark, sf_dir):
-    return click_product_basic(spark, sf_dir).select("area").distinct().select("area", areas.area_level().alias("area_level"))
+    cities = fixtures.city_info(spark, sf_dir)
+    return cities.select("area").distinct().select("area", areas.area_level().alias("area_level"))
 
 
 @_query
@@ -318,7 +352,7 @@ def product_status(spark, sf_dir):
 
 @_query
 def hot_keys(spark, sf_dir):
-    return skew.hot_keys(_actions(spark, sf_dir).select("user_id"), "user_id", HOT_KEYS, fraction=1.0)
+    return skew.hot_keys(_every_action(spark, sf_dir).select("user_id"), "user_id", HOT_KEYS)
 
 
 # Scalar functions over the tables
@@ -327,10 +361,14 @@ def hot_keys(spark, sf_dir):
 @_query
 def date_functions(spark, sf_dir):
     """Each action against the start of its session, joined so that no session is sorted whole."""
-    actions = _actions(spark, sf_dir).select("session_id", "action_id", "action_time")
-    starts = actions.groupBy("session_id").agg(F.min("action_time").alias("start_time"))
+    return _date_functions(_every_action(spark, sf_dir).select("session_id", "action_id", "action_time"))
+
+
+def _date_functions(actions):
+    starts = kept(actions.groupBy("session_id").agg(F.min(fn.parse_time("action_time")).alias("start_time"), F.count("*").alias("step_length")))
     later = F.col("start_time") + F.make_dt_interval(mins=F.lit(5))
-    return sessions.join_sessions(actions, starts).select(
+    joined = sessions.join_sessions(actions, starts.drop("step_length"), long=sessions.long_sessions(starts))
+    return joined.select(
         "action_id",
         fn.date_hour("action_time").alias("date_hour"),
         fn.format_time("action_time").alias("time_text"),
@@ -341,9 +379,17 @@ def date_functions(spark, sf_dir):
     )
 
 
+@_query
+def date_functions_text(spark, sf_dir):
+    """Times as text, with one-digit hours; every 97th is not a time."""
+    text = F.concat(F.date_format("action_time", "yyyy-MM-dd "), F.hour("action_time").cast("string"), F.date_format("action_time", ":mm:ss"))
+    shown = F.when(F.col("action_id") % 97 == 0, F.lit("soon")).otherwise(text)
+    return _date_functions(_every_action(spark, sf_dir).select("session_id", "action_id", shown.alias("action_time")))
+
+
 @_query
 def string_functions(spark, sf_dir):
-    return _actions(spark, sf_dir).select(
+    return _every_action(spark, sf_dir).select(
         "action_id",
         fn.is_empty("search_keyword").alias("is_empty"),
         fn.trim_comma(F.concat(F.lit(","), F.coalesce("order_category_ids", F.lit("")), F.lit(",,"))).alias("trimmed"),
@@ -352,7 +398,7 @@ def string_functions(spark, sf_dir):
 
 
 def _session_records(spark, sf_dir):
-    rendered = sessions.render_lists(sessions.aggregate_sessions(_actions(spark, sf_dir)))
+    rendered = sessions.render_lists(sessions.aggregate_sessions(_every_action(spark, sf_dir)))
     return rendered.select(
         "session_id",
         fn.concat_record(
@@ -381,23 +427,41 @@ def concat_field_set(spark, sf_dir):
 @_query
 def round_half_up(spark, sf_dir):
     """Share of each category in all clicks."""
-    actions = _actions(spark, sf_dir)
+    actions = _every_action(spark, sf_dir)
     clicks = actions.agg(F.count("click_category_id").alias("total")).scalar()
     counts = categories.category_click_counts(actions).withColumn("total", clicks)
     return counts.select("category_id", fn.ratio("n", "total").alias("share"))
 
 
+@_query
+def round_half_up_value(spark, sf_dir):
+    """Eighths of the product id: three places, half of them exactly between two of two places."""
+    eighth = F.expr("CAST(product_id AS DECIMAL(12, 0)) * CAST(0.125 AS DECIMAL(4, 3))")
+    return fixtures.product_info(spark, sf_dir).select("product_id", fn.round_half_up(eighth).cast("double").alias("value"))
+
+
+@_query
+def sql_functions(spark, sf_dir):
+    """The functions as SQL text calls them."""
+    fn.register_sql_functions(spark)
+    return spark.sql(
+        """SELECT product_id, concat_long_string(product_id, product_name, ':') AS info,
+             json_field(extend_info, 'product_status') AS status
+           FROM {products}""",
+        products=fixtures.product_info(spark, sf_dir),
+    )
+
+
 @_query
 def concat_long_string(spark, sf_dir):
-    cities = click_product_basic(spark, sf_dir).select("city_id", "city_name").distinct()
+    cities = fixtures.city_info(spark, sf_dir)
     return cities.select("city_id", fn.concat_long_string("city_id", "city_name").alias("city_info"))
 
 
 @_query
 def group_concat_distinct(spark, sf_dir):
     info = fn.concat_long_string("city_id", "city_name")
-    cities = click_product_basic(spark, sf_dir).select("area", "city_id", "city_name").distinct()
-    return cities.groupBy("area").agg(fn.group_concat_distinct(info).alias("city_infos"))
+    return fixtures.city_info(spark, sf_dir).groupBy("area").agg(fn.group_concat_distinct(info).alias("city_infos"))
 
 
 @_query
@@ -405,3 +469,23 @@ def json_field(spark, sf_dir):
     return fixtures.product_info(spark, sf_dir).select(
         "product_id", fn.json_field("extend_info", "product_status").alias("value")
     )
+
+
+# Result tables
+
+
+def _result(table: str, build):
+    def result(spark, sf_dir):
+        return result_rows(build(spark, sf_dir), table, TASK_ID)
+
+    _QUERIES[f"result_{table}"] = result
+
+
+_result("session_aggr_stat", session_aggr_stat)
+_result("session_random_extract", session_sample)
+_result("session_detail", sample_session_detail)
+_result("top10_category", top10_category)
+_result("top10_session", top10_session)
+_result("top10_session_detail", top10_session_detail)
+_result("page_split_convert_rate", page_convert_rate_text)
+_result("area_top3_product", area_top3_products)

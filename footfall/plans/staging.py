@@ -1,4 +1,4 @@
-"""Keeping a DataFrame that several actions read."""
+"""Keeping a DataFrame that several actions or branches of a plan read."""
 
 from __future__ import annotations
 
@@ -8,6 +8,21 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` computed once for several branches of one plan, for results that are returned unread.
+
+    A checkpoint in the shared folder of ``spark.checkpoint.dir``, which goes when nothing
+    refers to it any more; else rows on the executors, with their lineage.
+    """
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+    return df.checkpoint(eager=True)
+
+
 @contextmanager
 def staged(df: DataFrame):
     """``df`` computed once for several readers.
@@ -16,15 +31,8 @@ def staged(df: DataFrame):
     written there, so the loss of an executor costs nothing. Elsewhere they are kept on
     the executors with their lineage, and lost blocks are computed again.
     """
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(folder)
-        yield df.checkpoint(eager=True)
-        return
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = kept(df)
     try:
-        yield kept
+        yield rows
     finally:
-        kept.unpersist()
+        rows.unpersist()

@@ -23,7 +23,8 @@ class ParquetResults:
     """Result tables as Parquet folders ``root/table/task_id=N``.
 
     Writing a task again replaces its folder, also by an empty result, so a job may be
-    rerun after a failure.
+    rerun after a failure. The folder is emptied first: when a rerun fails, the result of
+    the run before is gone.
     """
 
     def __init__(self, root: str):
@@ -43,8 +44,12 @@ class JdbcResults:
 
     def __init__(self, options: dict[str, str], batch_size: int = 1000, connections: int = 10):
         self.options = {name: value for name, value in options.items() if name != "dbtable"}
+        self.connections = connections
         self.options |= {"batchsize": str(batch_size), "numPartitions": str(connections)}
 
     def write(self, df: DataFrame, table: str, task_id: int) -> None:
-        writer = result_rows(df, table, task_id).write.format("jdbc").mode("append")
+        # Spark would meet numPartitions by a coalesce, which takes the stage before it along: the log
+        # would be read by as many tasks. Dealing the result rows anew leaves that stage as it is.
+        rows = result_rows(df, table, task_id).repartition(self.connections)
+        writer = rows.write.format("jdbc").mode("append")
         writer.options(**self.options, dbtable=table).save()

@@ -28,13 +28,19 @@ def conform(df: DataFrame, schema: StructType, optional: tuple[str, ...] = ()) -
     return df.select(*[F.col(field.name).cast(field.dataType) for field in schema], *extra)
 
 
-def read_actions(spark: SparkSession, name_or_path: str) -> DataFrame:
+def read_actions(
+    spark: SparkSession, name_or_path: str, start_date: str | None = None, end_date: str | None = None
+) -> DataFrame:
     """The action log. Times may be stored as text, also with one-digit hours.
 
     Text that is not a time becomes NULL. Store the log partitioned by ``date``: a date
-    range then reads only its own folders.
+    range then reads only its own folders. Bounds that are given here are put on the dates
+    as they are stored, as text or as DATE, so they reach the scan of either.
     """
     df = read_table(spark, name_or_path)
+    if start_date and end_date and "date" in df.columns:
+        kind = df.schema["date"].dataType
+        df = df.where(F.col("date").between(*(F.lit(bound).cast(kind) for bound in (start_date, end_date))))
     if "action_time" in df.columns:
         df = df.withColumn("action_time", parse_time("action_time"))
     return conform(df, USER_VISIT_ACTION, (ACTION_ID,))

@@ -52,9 +52,26 @@ def right(spark):
     return spark.range(45).select((F.col("id") % 42).alias("k"), F.col("id").alias("w"))
 
 
-@pytest.mark.parametrize("n_hot, salts, fraction", [(1, 16, 0.1), (1, 1, 1.0), (5, 4, 1.0), (3, 7, 0.5), (100, 3, 1.0)])
-def test_skew_join_equals_join(left, right, n_hot, salts, fraction):
-    assert rows(skew.skew_join(left, right, "k", n_hot, salts, fraction)) == rows(left.join(right, "k"))
+@pytest.mark.parametrize("n_hot, salts, row_id", [(1, 16, None), (1, 1, "v"), (5, 4, None), (3, 7, "v"), (100, 3, None)])
+def test_skew_join_equals_join(left, right, n_hot, salts, row_id):
+    assert rows(skew.skew_join(left, right, "k", n_hot, salts, row_id)) == rows(left.join(right, "k"))
+
+
+def test_equal_rows_of_a_hot_key_are_spread(spark):
+    """All left rows are equal; the salt is read from the plan's exchange key by the partitions that have rows."""
+    left = spark.range(1000).select(F.lit(1).alias("k"), F.lit("x").alias("v"))
+    right = spark.createDataFrame([(1, "y")], "k int, w string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        joined = skew.skew_join(left, right, "k", salts=16)
+        used = joined.select(F.spark_partition_id().alias("p")).distinct().count()
+        assert joined.count() == 1000
+    finally:
+        for name, value in (("adaptive.enabled", "true"), ("autoBroadcastJoinThreshold", "10m"), ("shuffle.partitions", "4")):
+            spark.conf.set(f"spark.sql.{name}", value)
+    assert used >= 10
 
 
 def test_skew_join_keeps_columns(left, right):
@@ -65,10 +82,14 @@ def test_hot_keys(left):
     first = skew.hot_keys(left, "k", 1).collect()
     assert [row.k for row in first] == [0]
     assert skew.hot_keys(left, "k", 1).collect() == first
-    assert [tuple(row) for row in skew.hot_keys(left, "k", 2, fraction=1.0).collect()][0] == (
-        0,
-        left.where("k = 0").count(),
-    )
+    assert [tuple(row) for row in skew.hot_keys(left, "k", 2).collect()][0] == (0, left.where("k = 0").count())
+
+
+def test_hot_keys_of_equal_rows(left):
+    """A frame of the key alone: half of the rows are one value."""
+    for seed in range(5):
+        keys = left.sparkSession.range(400).select(F.when(F.col("id") % 2 == 0, seed).otherwise(F.col("id") + 1000).alias("k"))
+        assert [tuple(row) for row in skew.hot_keys(keys, "k").collect()] == [(seed, 200)]
 
 
 @pytest.mark.parametrize("salts", [1, 3, 10])

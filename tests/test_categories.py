@@ -63,11 +63,18 @@ def test_ranking_is_by_clicks_then_orders_then_pays_then_id(spark):
     counts = spark.createDataFrame(
         [(1, 5, 0, 9), (2, 5, 1, 0), (3, 5, 1, 2), (4, big, 0, 0), (5, 0, 0, 0), (6, 5, 1, 2), (7, 1, 0, 0)], COUNTS
     )
-    ranked = [(row["rank"], row.category_id) for row in categories.rank_categories(counts, 100).collect()]
+    ranked = [(row["rank"], row.category_id) for row in categories.rank_categories(counts).collect()]
     assert sorted(ranked) == list(enumerate([4, 3, 6, 2, 1, 7, 5], start=1))
     assert [row.category_id for row in categories.top_categories(counts, 3).collect()] == [4, 3, 6]
 
 
+def test_ranking_holds_every_category(spark):
+    counts = spark.range(250).selectExpr("id AS category_id", "id % 7 AS click_count", "id % 3 AS order_count", "0L AS pay_count")
+    expected = sorted(range(250), key=lambda n: (-(n % 7), -(n % 3), n))
+    ranked = sorted((row["rank"], row.category_id) for row in categories.rank_categories(counts).collect())
+    assert ranked == list(enumerate(expected, start=1))
+
+
 def test_top_sessions(spark):
     clicks = spark.createDataFrame(
         [(1, f"s{n:02}", n % 4) for n in range(20)] + [(2, "x", 1), (3, "y", 9)],

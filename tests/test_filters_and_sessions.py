@@ -2,7 +2,7 @@ import pytest
 from helpers import START, actions, rows, users
 from pyspark.sql import functions as F
 
-from footfall.operators import filters, sessions
+from footfall.operators import categories, filters, page_flow, sessions
 from footfall.params import TaskParams
 
 
@@ -110,18 +110,53 @@ def test_detail_of_long_sessions_equals_plain_join(spark):
     log = actions(spark, [{"session_id": s, "user_id": n} for n, s in enumerate("abcabacada" * 3)])
     wanted = spark.createDataFrame([("a",), ("c",), ("z",)], "session_id string")
     expected = rows(log.join(wanted, "session_id", "left_semi").select(*sessions.detail_columns(log)))
+    sizes = sessions.aggregate_sessions(log)
     for long_session in (0, 3, 8, 100):
-        assert rows(sessions.session_detail(log, wanted, long_session)) == expected
+        long = sessions.long_sessions(sizes, long_session)
+        assert rows(sessions.session_detail(log, wanted, long)) == expected
+    assert rows(sessions.session_detail(log, wanted)) == expected
     assert rows(sessions.detail_of_few(log, wanted, 3)) == expected
     assert rows(sessions.detail_of_few(log, wanted, 10**9)) == expected
 
 
 def test_join_of_long_sessions_equals_plain_join(spark):
     log = actions(spark, [{"session_id": s} for s in "aaaabbc"]).select("session_id", "action_id")
-    starts = log.groupBy("session_id").agg(F.max("action_id").alias("last"))
+    starts = log.groupBy("session_id").agg(F.max("action_id").alias("last"), F.count("*").alias("step_length"))
     expected = rows(log.join(starts, "session_id"))
+    assert rows(sessions.join_sessions(log, starts)) == expected
     for long_session in (0, 2, 3, 100):
-        assert rows(sessions.join_sessions(log, starts, long_session=long_session)) == expected
+        assert rows(sessions.join_sessions(log, starts, long=sessions.long_sessions(starts, long_session))) == expected
+
+
+def test_a_declared_size_is_checked(spark):
+    log = actions(spark, [{"session_id": s} for s in "abc"])
+    wanted = log.select("session_id").distinct()
+    with pytest.raises(Exception, match="more than the 2 rows"):
+        sessions.detail_of_few(log, wanted, 2).collect()
+
+
+def test_null_sessions_are_a_session_everywhere(spark):
+    log = actions(spark, [{"session_id": s, "click_category_id": 4} for s in ("a", None, None)])
+    found = sessions.aggregate_sessions(log)
+    assert found.count() == 2
+    assert sessions.session_detail(log, found).count() == 3
+    assert sessions.session_detail(log, found, sessions.long_sessions(found, 1)).count() == 3
+    assert sorted(r.click_count for r in categories.session_category_activity(log, found).collect()) == [1, 2]
+    assert page_flow.page_steps(log).count() == 3
+    assert page_flow.page_steps(log, 1).count() == 3
+
+
+@pytest.mark.parametrize("passes", [True, False])
+def test_a_hot_session_is_not_shuffled(spark, passes):
+    """A session with a third of the log: its rows stay in the tasks that read them, also where it fails the filter."""
+    log = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), (F.col("id") % 500).cast("string"))).alias("session_id"), F.col("id").alias("action_id"))
+    log = log.repartition(6, "action_id")
+    sizes = log.groupBy("session_id").agg(F.count("*").alias("step_length"))
+    wanted = sizes if passes else sizes.where("session_id <> 'hot'")
+    joined = sessions.join_sessions(log, wanted.select("session_id"), "left_semi", sessions.long_sessions(sizes, 100))
+    hot = joined.where("session_id = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert hot >= 6 if passes else hot == 0
+    assert joined.count() == (3000 if passes else 2000)
 
 
 EDGES = [0, 1, 3, 4, 6, 7, 9, 10, 30, 31, 60, 61, 180, 181, 600, 601, 1800, 1801]

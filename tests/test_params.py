@@ -20,7 +20,7 @@ def test_first_element_counts_and_gaps_are_null(spark):
     assert (rows[1].start_date, rows[1].start_age, rows[1].sex) == ("2024-01-01", None, "male")
     assert rows[1].target_page_flow == "1,2"
     assert set(rows[2][1:]) == set(rows[3][1:]) == {None}
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+    with pytest.raises(Exception, match="startage is not a number"):
         load_task(tasks, 4)
 
 
