@@ -31,14 +31,15 @@ class BlockMax:
         self.weight = [np.array([w for _, w in p], "f8") for p in postings]
         edges = np.arange(self.blocks + 1) * BLOCK
         self.begin = [np.searchsorted(a, edges) for a in self.at]
-        self.top = np.zeros((features, self.blocks), "f4")
+        self.top = np.zeros((features, self.blocks))
         for f in range(features):
-            np.maximum.at(self.top[f], self.at[f] // BLOCK, np.nextafter(self.weight[f].astype("f4"), np.float32(2)))
+            np.maximum.at(self.top[f], self.at[f] // BLOCK, self.weight[f])
 
     def nearest(self, query: dict[int, float], k: int, leave_out: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and similarities of the k nearest examples that share a feature with the query."""
         items = list(_unit(query).items())
-        bound = sum((w * self.top[f] for f, w in items), np.zeros(self.blocks, "f4"))
+        # Terms are added in the order in which similarities are, so that rounding can't put a bound below one.
+        bound = sum((w * self.top[f] for f, w in items), np.zeros(self.blocks))
         found, least = [], 0.0
         for block in np.argsort(-bound, kind="stable"):
             if bound[block] <= least:

@@ -233,8 +233,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def kept(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """docs with one row of each class: that of the smallest doc_id."""
-    rows = classes(docs, threshold).groupBy("label").agg(F.min(F.struct("_id", "_hash")).alias("_x")).select(F.col("_x._id").alias("_kept_id"), F.col("_x._hash").alias("_kept_hash"))
+    rows = classes(docs, threshold).groupBy("label").agg(F.min(F.struct("_id", "_hash")).alias("_x")).select(F.col("_x._id").alias("__dm_kept_id"), F.col("_x._hash").alias("__dm_kept_hash"))
     text = F.coalesce(docs["text"], F.lit(""))
-    marked = docs.withColumns({"_doc_id": F.col("doc_id").cast("long"), "_hash": F.xxhash64(text)})
-    found = marked.join(rows, F.expr("_doc_id <=> _kept_id") & F.expr("_hash = _kept_hash"), "left_semi")
-    return found.dropDuplicates(["_doc_id", "_hash"]).select(docs.columns)
+    marked = docs.withColumns({"__dm_id": F.col("doc_id").cast("long"), "__dm_hash": F.xxhash64(text)})
+    found = marked.join(rows, F.expr("__dm_id <=> __dm_kept_id") & F.expr("__dm_hash = __dm_kept_hash"), "left_semi")
+    return found.dropDuplicates(["__dm_id", "__dm_hash"]).select(docs.columns)

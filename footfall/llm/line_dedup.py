@@ -132,19 +132,19 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS, counts: bool = False) -> DataFrame:
     """docs without later copies; with `counts` also n_lines and n_removed of each row."""
-    marked = docs.withColumns({"_ld_id": F.col("doc_id").cast("long"), "_ld_hash": F.xxhash64("text")})
-    runs = later_copies(docs, min_words).select(F.col("_id").alias("_ld_i"), F.col("_hash").alias("_ld_h"), F.col("runs").alias("_ld_runs"))
-    both = marked.join(runs, F.expr("_ld_id <=> _ld_i and _ld_hash = _ld_h"), "left")
+    marked = docs.withColumns({"__ld_id": F.col("doc_id").cast("long"), "__ld_hash": F.xxhash64("text")})
+    runs = later_copies(docs, min_words).select(F.col("_id").alias("__ld_i"), F.col("_hash").alias("__ld_h"), F.col("runs").alias("__ld_runs"))
+    both = marked.join(runs, F.expr("__ld_id <=> __ld_i and __ld_hash = __ld_h"), "left")
     lines = F.split("text", "\n")
-    kept = F.filter(lines, lambda _, i: ~F.exists("_ld_runs", lambda r: (r["a"] <= i) & (i <= r["b"])))
-    text = F.when(F.col("_ld_runs").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    both = both.withColumn("_ld_text", text)
-    columns = {"text": F.col("_ld_text")}
+    kept = F.filter(lines, lambda _, i: ~F.exists("__ld_runs", lambda r: (r["a"] <= i) & (i <= r["b"])))
+    text = F.when(F.col("__ld_runs").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    both = both.withColumn("__ld_text", text)
+    columns = {"text": F.col("__ld_text")}
     if "n_chars" in docs.columns:
-        changed = F.when(F.col("_ld_runs").isNull(), F.col("n_chars")).otherwise(F.char_length("_ld_text"))
+        changed = F.when(F.col("__ld_runs").isNull(), F.col("n_chars")).otherwise(F.char_length("__ld_text"))
         columns["n_chars"] = changed.cast(docs.schema["n_chars"].dataType)
     out = [columns.get(c, F.col(c)).alias(c) for c in docs.columns]
     if counts:
-        removed = F.aggregate(F.coalesce("_ld_runs", F.array().cast("array<struct<a:int,b:int>>")), F.lit(0), lambda n, r: n + r["b"] - r["a"] + 1)
+        removed = F.aggregate(F.coalesce("__ld_runs", F.array().cast("array<struct<a:int,b:int>>")), F.lit(0), lambda n, r: n + r["b"] - r["a"] + 1)
         out += [F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"), removed.cast("long").alias("n_removed")]
     return both.select(*out)
