@@ -118,7 +118,7 @@ def _may_be_similar(x: str, y: str, threshold: float):
     other = COORDINATES * (1 - threshold)
     most = 2 * other + 6 * math.sqrt(other + 4 * other * threshold)
     n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
-    return (F.least(n, m) >= threshold * F.greatest(n, m)) & (differ <= most)
+    return (F.least(n, m) >= threshold * F.greatest(n, m) - 1e-9) & (differ <= most)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -171,9 +171,9 @@ def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
             out = {"a": [], "b": []}
             for a, b, x, y in zip(batch["a"], batch["b"], batch["x"], batch["y"], strict=True):
                 n, m = len(x) // 4, len(y) // 4
-                if min(n, m) >= threshold * max(n, m):
+                if min(n, m) >= threshold * max(n, m) - 1e-9:
                     both = len(np.intersect1d(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")))
-                    if both >= threshold * (n + m - both):
+                    if both >= threshold * (n + m - both) - 1e-9:
                         out["a"].append(a)
                         out["b"].append(b)
             yield out

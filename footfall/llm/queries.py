@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import bpe, dart_minhash, html_extract, license_scan, line_dedup, packing, posting_lists, secret_scan, spotsigs, toxicity
+from footfall.llm import bpe, dart_minhash, html_extract, license_scan, line_dedup, oracles, packing, posting_lists, secret_scan, spotsigs, toxicity
 from footfall.llm.common import table
 
 
@@ -60,4 +60,5 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL for the queries that SQL can express; tests compare the others with plain Python."""
+    return oracles.oracle_sql()
