@@ -10,15 +10,23 @@ from footfall.operators.sessions import LONG_SESSION, order_columns
 from footfall.schemas import ACTION_ID
 
 
+# Places where a long session may be cut by time, and a crowded instant by row id.
+_CUTS = 1024
+
+
 def page_steps(actions: DataFrame, long_session: int = LONG_SESSION) -> DataFrame:
     """Each action's page with the page before it in its session: prev_page, page.
 
     One row per action; prev_page is NULL for the first of a session. Sessions are
     ordered by window sorts. A session of more than ``long_session`` actions, which one
-    task should not sort, is cut into parts in order: one per second of the log, and
-    slices of a second that holds that many actions too. The first action of a part
-    takes its previous page from the last action of the part before, so the rows that
-    one task sees of such a session are one pair of pages per part.
+    task should not sort, is cut into parts in order, of at most about twice as many
+    actions each: at quantiles of the time, and, where one instant holds more, there at
+    quantiles of the row id. The first action of a part takes its previous page from the
+    last action of the part before, so the rows that one task sees of such a session are
+    one pair of pages per part.
+
+    In a log without row ids, actions of a long session that agree in time and page are
+    alike: they are one row with a count, and give pairs of that page with itself.
     """
     time, tie = order_columns(actions)
     rows = _mark_parts(actions, time, tie, long_session)
@@ -41,65 +49,83 @@ def page_steps(actions: DataFrame, long_session: int = LONG_SESSION) -> DataFram
         .agg(F.min_by("page_id", order).alias("page"), F.max_by("page_id", order).alias("last_page"))
     )
     by_part = Window.partitionBy("session_id").orderBy("part_time", "part_slice")
-    return inside.unionByName(ends.select(F.lag("last_page").over(by_part).alias("prev_page"), "page"))
+    steps = inside.unionByName(ends.select(F.lag("last_page").over(by_part).alias("prev_page"), "page"))
+    return steps if tie == ACTION_ID else steps.unionByName(_alike(rows.where("alike > 1")))
+
+
+def _alike(rows: DataFrame) -> DataFrame:
+    """The pairs within actions that are alike: one less than there are. Lists of repeats stay short."""
+    step = 100_000
+    blocks = rows.select("page_id", F.col("alike") - 1, F.explode(F.expr(f"sequence(0, (alike - 2) div {step})")).alias("block"))
+    blocks = blocks.toDF("page_id", "pairs", "block")
+    each = blocks.select("page_id", F.explode(F.expr(f"sequence(1, least({step}, pairs - block * {step}))")).alias("pair"))
+    return each.select(F.col("page_id").alias("prev_page"), F.col("page_id").alias("page"))
 
 
 def _mark_parts(actions: DataFrame, time: str, tie: str, long_session: int) -> DataFrame:
-    """Actions with is_long, and the part_time and part_slice of actions of long sessions.
+    """Actions with is_long, alike, and the part_time and part_slice of actions of long sessions.
 
     Both lookup tables list groups of more than ``long_session`` rows, so they hold
     fewer than one row per ``long_session`` actions of the log and are broadcast.
     """
-    rows = actions.select("session_id", "page_id", time, tie)
+    rows = actions.select("session_id", "page_id", time, tie if tie == ACTION_ID else F.lit(None).alias("__none")).drop("__none")
     sizes = rows.groupBy(F.col("session_id").alias("long_id")).agg(F.count("*").alias("n"))
-    long = sizes.where(F.col("n") > long_session).select("long_id")
+    long = F.broadcast(sizes.where(F.col("n") > long_session).select("long_id"))
     is_long_row = F.col("session_id").eqNullSafe(F.col("long_id"))
-    second = F.substring(F.col(time).cast("string"), 1, 19)
+    ordinary = rows.join(long, is_long_row, "left_anti").withColumn("alike", F.lit(1).cast("bigint"))
+    of_long = rows.join(long, is_long_row, "left_semi").withColumn("alike", F.lit(1).cast("bigint"))
+    if tie != ACTION_ID:
+        of_long = of_long.groupBy("session_id", "page_id", time).agg(F.sum("alike").alias("alike"))
+    instants = _crowded_instants(of_long, time, tie, long_session)
+    in_instant = F.col("session_id").eqNullSafe(F.col("crowd_id")) & (F.col(time) == F.col("crowd_time"))
+    cuts = F.broadcast(_time_cuts(of_long, instants, time, long_session))
     marked = (
-        rows.join(F.broadcast(long.withColumn("found", F.lit(True))), is_long_row, "left")
-        .withColumn("is_long", F.coalesce("found", F.lit(False)))
-        .withColumn("part_time", F.when(F.col("is_long"), second))
-        .drop("long_id", "found")
+        of_long.join(cuts, is_long_row)
+        .withColumn("part_time", F.coalesce(F.size(F.filter("cuts", lambda cut: cut < F.col(time))), F.lit(0)))
+        .join(F.broadcast(instants), in_instant, "left")
     )
-    of_long = rows.join(F.broadcast(long), is_long_row, "left_semi")
-    crowded = _crowded_seconds(of_long, second, time, tie, long_session)
-    in_crowd = F.col("session_id").eqNullSafe(F.col("crowd_id")) & (F.col("part_time") == F.col("crowd_time"))
-    position = F.when(F.col("by_time"), _fraction(time)).otherwise(_row_id(tie)) - F.col("low")
-    part_slice = F.floor(F.try_divide(position, F.col("width")))
-    return (
-        marked.join(F.broadcast(crowded), in_crowd, "left")
-        .withColumn("part_slice", F.coalesce(part_slice, F.lit(0).cast("bigint")))
-        .drop("crowd_id", "crowd_time", "by_time", "low", "width")
-    )
-
-
-def _crowded_seconds(rows: DataFrame, second: Column, time: str, tie: str, long_session: int) -> DataFrame:
-    """Seconds of a session with more than ``long_session`` actions, and how to slice them.
-
-    Slices are by the fraction of the second, or by row id when all have one time.
-    """
-    fraction, row_id = _fraction(time), _row_id(tie)
-    first, last = F.min(fraction), F.max(fraction)
-    return (
-        rows.groupBy(F.col("session_id").alias("crowd_id"), second.alias("crowd_time"))
-        .agg(
-            F.count("*").alias("n"),
-            (first < last).alias("by_time"),
-            F.when(first < last, first).otherwise(F.min(row_id)).alias("low"),
-            F.when(first < last, last).otherwise(F.max(row_id)).alias("high"),
-        )
-        .where(F.col("n") > long_session)
-        .selectExpr("crowd_id", "crowd_time", "by_time", "low", f"(high - low) * {long_session} / n AS width")
-    )
-
-
-def _fraction(time: str) -> Column:
-    return F.extract(F.lit("SECOND"), time).cast("double")
-
-
-def _row_id(tie: str) -> Column:
-    """Row id as a number; a log without row ids cannot be sliced by them."""
-    return F.col(tie).cast("double") if tie == ACTION_ID else F.lit(None).cast("double")
+    if tie == ACTION_ID:
+        slices = F.size(F.filter("slices", lambda cut: cut < F.col(tie)))
+        marked = marked.withColumn("part_slice", F.when(F.col("slices").isNull(), 0).otherwise(1 + F.coalesce(slices, F.lit(0))))
+    else:
+        marked = marked.withColumn("part_slice", F.lit(0))
+    none = F.lit(None).cast("int")
+    columns = [*ordinary.columns, "is_long", "part_time", "part_slice"]
+    ordinary = ordinary.withColumns({"is_long": F.lit(False), "part_time": none, "part_slice": none})
+    return ordinary.select(*columns).unionByName(marked.withColumn("is_long", F.lit(True)).select(*columns))
+
+
+def _quantiles(column: str) -> Column:
+    """Cut points of ``column``; the error of a rank is far below one part."""
+    return F.percentile_approx(column, [i / _CUTS for i in range(1, _CUTS)], 20 * _CUTS)
+
+
+def _thinned(cuts: str, rows: str, limit: int) -> Column:
+    """Of _CUTS cut points those that leave about ``limit`` of ``rows`` between two."""
+    parts = F.expr(f"CAST(least({_CUTS}, ceil({rows} / {max(1, limit)})) AS INT)")
+    taken = F.transform(F.when(parts > 1, F.sequence(F.lit(1), parts - 1)), lambda i: F.get(cuts, F.floor(i * _CUTS / parts).cast("int") - 1))
+    return F.coalesce(F.array_distinct(taken), F.array())
+
+
+def _crowded_instants(rows: DataFrame, time: str, tie: str, limit: int) -> DataFrame:
+    """Instants of a session with more than ``limit`` rows, and the row ids to cut them at."""
+    counts = rows.groupBy(F.col("session_id").alias("crowd_id"), F.col(time).alias("crowd_time")).agg(F.count("*").alias("n"))
+    crowded = counts.where(F.col("n") > limit)
+    if tie != ACTION_ID:
+        return crowded.select("crowd_id", "crowd_time")
+    here = F.col("session_id").eqNullSafe(F.col("crowd_id")) & F.col(time).eqNullSafe(F.col("crowd_time"))
+    of_crowded = rows.join(F.broadcast(crowded), here)
+    cut = of_crowded.groupBy("crowd_id", "crowd_time", "n").agg(_quantiles(tie).alias("ids"))
+    return cut.select("crowd_id", "crowd_time", _thinned("ids", "n", limit).alias("slices"))
+
+
+def _time_cuts(rows: DataFrame, instants: DataFrame, time: str, limit: int) -> DataFrame:
+    """The times at which each long session is cut: its quantiles, and every crowded instant."""
+    by_time = rows.groupBy(F.col("session_id").alias("long_id")).agg(F.count("*").alias("n"), _quantiles(time).alias("times"))
+    crowds = instants.groupBy("crowd_id").agg(F.collect_list("crowd_time").alias("more"))
+    both = by_time.join(crowds, F.col("long_id").eqNullSafe(F.col("crowd_id")), "left")
+    cuts = F.array_union(_thinned("times", "n", limit), F.coalesce("more", F.array()))
+    return both.select("long_id", cuts.alias("cuts"))
 
 
 def split_name(prev_page, page) -> str:

@@ -52,18 +52,45 @@ def test_fractions_of_a_second(spark, long_session):
     assert rows(page_flow.page_steps(actions(spark, log), long_session)) == brute_steps(log)
 
 
+def _largest_part(log, limit, tie="action_id"):
+    marked = page_flow._mark_parts(log, "action_time", tie, limit)
+    sizes = [row["count"] for row in marked.groupBy("part_time", "part_slice").count().collect()]
+    return max(sizes), sum(sizes)
+
+
 @pytest.mark.parametrize(
     "time_of",
     [lambda n: 0, lambda n: n / 80, lambda n: 0 if n < 40 else (n - 40) / 40 + 1, lambda n: n],
     ids=["one time", "one second", "two seconds", "a second each"],
 )
-def test_no_part_is_longer_than_a_long_session(spark, time_of):
-    """One session of 80 actions in parts of 8: by row id when a second has one time, else by time."""
+def test_no_part_is_longer_than_two_long_sessions(spark, time_of):
+    """One session of 80 actions in parts of 8: by row id when an instant is crowded, else by time."""
     log = actions(spark, [{"action_id": 1000 + n, "at": time_of(n)} for n in range(80)])
-    marked = page_flow._mark_parts(log, "action_time", "action_id", 8)
-    sizes = [row["count"] for row in marked.groupBy("part_time", "part_slice").count().collect()]
-    assert sum(sizes) == 80
-    assert max(sizes) <= 9
+    largest, total = _largest_part(log, 8)
+    assert total == 80
+    assert largest <= 16
+
+
+UNEVEN = {
+    "one instant and a few fractions": [{"action_id": n, "at": 0 if n < 1000 else n / 2000} for n in range(1010)],
+    "ids with gaps": [{"action_id": n if n < 990 else n * 10**9, "at": 0} for n in range(1000)],
+}
+
+
+@pytest.mark.parametrize("name", UNEVEN)
+def test_uneven_logs_are_cut_by_count(spark, name):
+    log = actions(spark, [{**row, "page_id": n % 7} for n, row in enumerate(UNEVEN[name])])
+    largest, total = _largest_part(log, 50)
+    assert total == len(UNEVEN[name])
+    assert largest <= 100
+    assert rows(page_flow.page_steps(log, 50)) == rows(page_flow.page_steps(log, 10**6))
+
+
+def test_a_crowded_instant_without_row_ids(spark):
+    log = actions(spark, [{"at": 0, "page_id": n % 3} for n in range(1000)]).drop("action_id")
+    largest, total = _largest_part(log, 50, "page_id")
+    assert (largest, total) == (3, 3)
+    assert rows(page_flow.page_steps(log, 50)) == rows(page_flow.page_steps(log, 10**6))
 
 
 @pytest.mark.parametrize("long_session", [0, 3, 1000])
