@@ -13,8 +13,10 @@ the ranks that matter are looked at, about COORDINATES * ln(COORDINATES) darts a
    bucket with a probability of 3 in 100,000.
 3. In a bucket each text is compared with the most central one, that whose buckets hold the
    most texts: of a group of edited copies, mostly the text that they were made from.
-4. Where a bucket then holds several components, every text outside the largest is compared
-   with all texts of other components, so no link within a bucket is lost.
+4. Where a bucket then holds several components, all its texts are compared with a few of it,
+   where it still does, with some more, and at last with all the rest; but never two texts of
+   one component. So no link within a bucket is lost, and large groups grow together before
+   many of their pairs are looked at.
 
 Before two texts are compared, their sizes must allow the threshold, and of 4 bits of each
 coordinate no more may differ than 6 standard deviations from what the threshold lets expect
@@ -45,6 +47,8 @@ from footfall.llm.words import mixed, shingles, unit, word_hashes
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 26, 5
 COORDINATES = BANDS * ROWS
+#: Texts of an open bucket, about, that all its others have been compared with after each round; the last takes all.
+ROUNDS = (8, 64, math.inf)
 #: Pairs with one text that a task is to have, about.
 SHARE = 2000
 
@@ -206,24 +210,32 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     sets = staged(_sets(docs, known.select("key", F.col("x._id").alias("wanted_id"), F.col("x._hash").alias("wanted_hash"))), "sets")
     edges = staged(_similar(pairs, sets, threshold), "similar")
 
-    # Buckets that still hold several components.
-    label = components(edges)
-    named = members.join(label.withColumnRenamed("node", "key"), "key", "left").select("bucket", "key", F.coalesce("label", "key").alias("label"))
-    sizes = named.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("x"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
-    open_ = staged(named.join(largest.select("bucket", F.col("x.label").alias("main")), "bucket").join(info, "key"), "open")
-    outside = open_.where("label <> main").select("bucket", F.col("key").alias("b"), F.col("label").alias("other"), F.col("info").alias("y"))
-    inside = open_.select("bucket", F.col("key").alias("a"), "label", "main", F.col("info").alias("x"))
-    # Two texts outside the largest component meet once, by order; one in it and one outside always.
-    met = F.expr("bucket = its and label <> other and (label = main or a > b)") & _may_be_similar("x", "y", threshold)
-    more = inside.join(outside.withColumnRenamed("bucket", "its"), met).select("a", "b").distinct()
-    rest = more.join(tried, ["a", "b"], "left_anti").join(tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-    found = staged(_similar(staged(rest, "rest"), sets, threshold), "similar")
-    if not found.isEmpty():
-        label = components(edges.union(found))
+    label, done = components(edges), 0.0
+    for until in ROUNDS:
+        named = members.join(label.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
+        several = named.groupBy("bucket").agg((F.min("label") < F.max("label")).alias("open")).where("open").select("bucket")
+        open_ = staged(named.join(several, "bucket").where(f"size > {done}").join(info, "key"), "open")
+        rest = _compared(open_, done, until, threshold).join(tried, ["a", "b"], "left_anti").join(tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
+        found = staged(_similar(staged(rest, "rest"), sets, threshold), "similar")
+        if not found.isEmpty():
+            edges = staged(edges.union(found), "similar")
+            label = components(edges)
+        done = until
     return sketches.join(label.withColumnRenamed("node", "key"), "key", "left").select("_id", "_hash", "key", F.coalesce("label", "key").alias("label"))
 
 
+def _compared(open_: DataFrame, done: float, until: float, threshold: float) -> DataFrame:
+    """Pairs (a, b) of a round. Of a bucket of n texts, b are those whose place by hash is from done/n to until/n, and
+    a those of other components from done/n on: pairs with earlier ones have been compared."""
+    place = (F.xxhash64("key") / F.lit(2.0**64) + 0.5) * F.col("size")
+    placed = open_.withColumn("place", place).where(f"place >= {done}")
+    last = F.lit(True) if until == math.inf else F.col("place") < until
+    b = placed.where(last).select(F.col("bucket").alias("its"), F.col("key").alias("b"), F.col("label").alias("other"), F.col("info").alias("y"))
+    a = placed.select("bucket", F.col("key").alias("a"), "label", last.alias("among"), F.col("info").alias("x"))
+    met = F.expr("bucket = its and label <> other and (not among or a > b)") & _may_be_similar("x", "y", threshold)
+    return a.join(b, met).select("a", "b").distinct()
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Per row: doc_id, class_id (the smallest doc_id of its class), class_size."""
     rows = staged(classes(docs, threshold).select("_id", "label"), "classes")
