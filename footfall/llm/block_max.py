@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Examples of a block.
-BLOCK = 64
+#: Examples of a block: few blocks, since each that is opened costs as much as hundreds of postings.
+BLOCK = 1024
 
 
 class BlockMax:

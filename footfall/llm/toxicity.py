@@ -34,8 +34,9 @@ from footfall.llm.common import map_columns, ship, staged
 from footfall.llm.words import plain
 
 EXAMPLES, NEIGHBOURS, REJECTED = 24_000, 15, 0.7
-#: A feature is kept that stands in LEAST texts or more, and in toxic ones by that many standard deviations more than chance.
-LEAST, DEVIATIONS, VOCABULARY = 5, 5.0, 4096
+#: A feature is kept that stands in LEAST texts or more, in toxic ones by that many standard deviations more than
+#: chance, and whose odds of a toxic text are that many times the odds of all texts.
+LEAST, DEVIATIONS, ODDS, VOCABULARY = 5, 5.0, 4.0, 4096
 STARTS = (4, 5, 6)
 
 
@@ -159,7 +160,8 @@ def fitted(docs: DataFrame, labels: DataFrame, bound: int = EXAMPLES) -> Scorer:
     n, k = total[0], total[1] or 0
     share = k / n if n else 0.0
     over = (F.col("k") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share) + 1)
-    kept = _counts(examples).where(F.col("n") >= LEAST).withColumn("z", over).where(f"z >= {DEVIATIONS}").orderBy(F.desc("z"), "feature").limit(VOCABULARY).collect()
+    odds = F.col("k") * (1 - share) >= ODDS * share * (F.col("n") - F.col("k"))
+    kept = _counts(examples).where((F.col("n") >= LEAST) & odds).withColumn("z", over).where(f"z >= {DEVIATIONS}").orderBy(F.desc("z"), "feature").limit(VOCABULARY).collect()
     vocabulary = {r.feature: i for i, r in enumerate(kept)}
     idf = np.array([math.log((n + 1) / (r.n + 1)) + 1 for r in kept])
     bare = Scorer(vocabulary, idf, [])
