@@ -194,7 +194,7 @@ def test_pages(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     found = Counter(tuple(r) for r in html_extract.extract(pages).collect())
     texts = {(i, t): n for (i, _, t, n), _ in found.items()}
-    assert texts[1, "T&T\na <b> c d\ne f"] == 15
+    assert texts[1, "T&T\na <b> c d\ne f"] == 17
     assert texts[2, ""] == 0 and texts[3, ""] == 0
     assert found[4, "x", "just text", 9] == 2
     for i in range(6):
