@@ -9,8 +9,10 @@ example itself out. A text without a feature of the vocabulary gets the share of
 among the examples without any. Evidence: the examples that voted, and the text's features.
 
 The examples are a sample of at most EXAMPLES labelled rows, half of each label where there
-are so many, in the order of a hash of doc_id; distinct texts count once. Every text is
-scored whole. Only `text` enters a score.
+are so many, in the order of a hash of doc_id; distinct texts count once. An example weighs
+as many labelled rows as it stands for (those of its label, divided by the sampled ones), in
+votes, calibration and document counts, so that the sample's mix of labels does not enter a
+score. Every text is scored whole. Only `text` enters a score.
 
 Defined results: a null text is empty; repeated rows get equal scores; a row with a null
 doc_id is not held out and has no label; where a doc_id has several labels the highest
@@ -49,16 +51,19 @@ def held_out(doc_id="doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("long").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def _examples(docs: DataFrame, labels: DataFrame, bound: int) -> DataFrame:
-    """text, toxic of the sample. Its labels are few by the bound, so they are broadcast to the texts."""
+def _examples(docs: DataFrame, labels: DataFrame, bound: int) -> tuple[DataFrame, tuple[float, float]]:
+    """doc_id, toxic, text of the sample, and how many labelled rows an other and a toxic example stand for.
+    The sample's labels are few by the bound, so they are broadcast to the texts."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     each = known.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    all_rows = each.agg(F.count_if(F.col("toxic") != 1), F.count_if(F.col("toxic") == 1)).first()
+    weights = tuple(max(1.0, n / max(1, bound // 2)) for n in all_rows)
     order = (F.xxhash64("_id"), F.col("_id"))
     toxic = each.where("toxic = 1").orderBy(*order).limit(bound // 2)
     other = each.where("toxic <> 1").orderBy(*order).limit(bound // 2)
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce("text", F.lit("")).alias("text"))
     sample = texts.join(F.broadcast(toxic.union(other)), "_id")
-    return sample.withColumn("_hash", F.xxhash64("text")).groupBy("_hash").agg(F.min("_id").alias("doc_id"), F.max("toxic").alias("toxic"), F.first("text").alias("text")).select("doc_id", "toxic", "text")
+    return sample.withColumn("_hash", F.xxhash64("text")).groupBy("_hash").agg(F.min("_id").alias("doc_id"), F.max("toxic").alias("toxic"), F.first("text").alias("text")).select("doc_id", "toxic", "text"), weights
 
 
 def _counts(examples: DataFrame) -> DataFrame:
@@ -88,26 +93,27 @@ def _counts(examples: DataFrame) -> DataFrame:
 class Scorer:
     """The index, its vocabulary, and the calibration; small by the bounds above."""
 
-    def __init__(self, vocabulary: dict[str, int], idf: np.ndarray, rows: list[tuple[int, int, dict[int, int]]]):
-        """rows: doc_id, toxic, counts of features."""
+    def __init__(self, vocabulary: dict[str, int], idf: np.ndarray, rows: list[tuple[int, int, dict[int, int]]], weights: tuple[float, float] = (1.0, 1.0)):
+        """rows: doc_id, toxic, counts of features; weights: of an other and of a toxic example."""
         self.vocabulary, self.idf, self.known = vocabulary, idf, {}
         bare = [toxic for _, toxic, counts in rows if not counts]
-        self.bare = (sum(t == 1 for t in bare) / (len(bare) + 1)) if bare else (sum(t == 1 for _, t, _ in rows) / len(rows) if rows else 0.0)
+        self.bare = _share(bare, weights) * len(bare) / (len(bare) + 1) if bare else _share([t for _, t, _ in rows], weights)
         held = sorted((r for r in rows if r[2]), key=lambda r: r[0])
         self.ids = np.array([r[0] for r in held], "i8")
         self.toxic = np.array([r[1] == 1 for r in held], "f8")
+        self.rows = np.where(self.toxic == 1, weights[1], weights[0])
         vectors = [self._vector(r[2]) for r in held]
         self.index = BlockMax(vectors, len(vocabulary))
         self.seen: dict[tuple, tuple] = {}
         picked = range(0, len(held), max(1, len(held) // 4000))
         votes = [self._vote(*self.index.nearest(vectors[i], NEIGHBOURS, i)) for i in picked]
-        self.at, self.value = _isotonic(np.array(votes), self.toxic[list(picked)])
+        self.at, self.value = _isotonic(np.array(votes), self.toxic[list(picked)], self.rows[list(picked)])
 
     def _vector(self, counts: dict[int, int]) -> dict[int, float]:
         return {f: (1 + math.log(n)) * self.idf[f] for f, n in counts.items()}
 
     def _vote(self, numbers: np.ndarray, sims: np.ndarray) -> float:
-        weight = sims**2
+        weight = sims**2 * self.rows[numbers]
         return float((weight * self.toxic[numbers]).sum() / weight.sum()) if len(numbers) else self.bare
 
     def counts(self, text: str) -> dict[int, int]:
@@ -138,24 +144,32 @@ class Scorer:
         return self.seen[key]
 
 
-def _isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Points of the non-decreasing function nearest to y; a block's value leans towards 1/2 by one row."""
+def _share(toxic: list[int], weights: tuple[float, float]) -> float:
+    """The weighted share of toxic ones; 0 of none."""
+    bad = sum(t == 1 for t in toxic)
+    return bad * weights[1] / (bad * weights[1] + (len(toxic) - bad) * weights[0]) if toxic else 0.0
+
+
+def _isotonic(x: np.ndarray, y: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Points of the non-decreasing function nearest to y, each of which stands for a number of rows; a block's value
+    leans towards 1/2 by one point."""
     if not len(x):
         return np.array([0.0, 1.0]), np.array([0.0, 1.0])
     order = np.argsort(x, kind="stable")
     blocks: list[list[float]] = []
-    for a, b in zip(x[order], y[order], strict=True):
-        blocks.append([a, a, b, 1])
+    for a, b, w in zip(x[order], y[order], rows[order], strict=True):
+        blocks.append([a, a, b * w, w, 1])
         while len(blocks) > 1 and (blocks[-2][2] / blocks[-2][3] >= blocks[-1][2] / blocks[-1][3] or blocks[-2][1] == blocks[-1][0]):
-            _, high, total, n = blocks.pop()
-            blocks[-1] = [blocks[-1][0], high, blocks[-1][2] + total, blocks[-1][3] + n]
+            _, high, *sums = blocks.pop()
+            blocks[-1] = [blocks[-1][0], high, *(own + more for own, more in zip(blocks[-1][2:], sums, strict=True))]
     at = np.array([v for b in blocks for v in b[:2]])
-    value = np.array([v for b in blocks for v in [(b[2] + 0.5) / (b[3] + 1)] * 2])
+    value = np.array([v for b in blocks for v in [(b[2] / b[3] * b[4] + 0.5) / (b[4] + 1)] * 2])
     return at, np.maximum.accumulate(value)
 
 
 def fitted(docs: DataFrame, labels: DataFrame, bound: int = EXAMPLES) -> Scorer:
-    examples = staged(_examples(docs, labels, bound), "examples")
+    sample, weights = _examples(docs, labels, bound)
+    examples = staged(sample, "examples")
     total = examples.agg(F.count(F.lit(1)), F.sum(F.when(F.col("toxic") == 1, 1).otherwise(0))).first()
     n, k = total[0], total[1] or 0
     share = k / n if n else 0.0
@@ -163,7 +177,9 @@ def fitted(docs: DataFrame, labels: DataFrame, bound: int = EXAMPLES) -> Scorer:
     odds = F.col("k") * (1 - share) >= ODDS * share * (F.col("n") - F.col("k"))
     kept = _counts(examples).where((F.col("n") >= LEAST) & odds).withColumn("z", over).where(f"z >= {DEVIATIONS}").orderBy(F.desc("z"), "feature").limit(VOCABULARY).collect()
     vocabulary = {r.feature: i for i, r in enumerate(kept)}
-    idf = np.array([math.log((n + 1) / (r.n + 1)) + 1 for r in kept])
+    # Rows of the table that hold the feature, and all of them.
+    held = lambda n, k: (n - k) * weights[0] + k * weights[1]
+    idf = np.array([math.log((held(n, k) + 1) / (held(r.n, r.k) + 1)) + 1 for r in kept])
     bare = Scorer(vocabulary, idf, [])
 
     def vectors(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
@@ -172,7 +188,7 @@ def fitted(docs: DataFrame, labels: DataFrame, bound: int = EXAMPLES) -> Scorer:
             yield {"doc_id": batch["doc_id"], "toxic": batch["toxic"], "features": [list(c) for c in found], "counts": [list(c.values()) for c in found]}
 
     rows = map_columns(examples.select("doc_id", "toxic", "text"), vectors, "doc_id long, toxic int, features array<int>, counts array<int>").collect()
-    return Scorer(vocabulary, idf, [(r.doc_id, r.toxic, dict(zip(r.features, r.counts, strict=True))) for r in rows])
+    return Scorer(vocabulary, idf, [(r.doc_id, r.toxic, dict(zip(r.features, r.counts, strict=True))) for r in rows], weights)
 
 
 def _shared(spark, scorer: Scorer):

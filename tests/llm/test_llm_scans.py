@@ -161,6 +161,23 @@ def test_toxicity_on_held_out_rows(spark):
     assert clean.count() == sum(not r.predicted for r in found)
 
 
+def test_toxic_scores_do_not_follow_the_mix_of_the_sample(spark):
+    # One text in ten is toxic. Each toxic text and one other in eight hold a word: P(toxic | word) is 0.47, and
+    # 0.9 where both labels have as many examples.
+    rows, labels = [], []
+    for i in range(3000):
+        toxic = i % 10 == 0
+        rows.append((i, prose(i, 30) + (" crapola" if toxic or i % 8 == 1 else "")))
+        labels.append((i, int(toxic)))
+    docs, known = documents(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    means = []
+    for bound in (10**6, 300):
+        found = [r for r in toxicity.scores(docs, known, bound).collect() if r.held_out and "crapola" in rows[r.doc_id][1]]
+        assert not any(r.predicted for r in found)
+        means.append(np.mean([r.score for r in found]))
+    assert abs(means[0] - means[1]) < 0.15
+
+
 def test_toxicity_without_labels_or_rows(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     docs = documents(spark, PLAIN)
