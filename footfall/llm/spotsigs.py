@@ -3,7 +3,9 @@
 A spot signature is a common word (the anchor) with the CHAIN content words that follow it.
 The fingerprint of a text is the set of its signatures, so that menus and other text without
 common words hardly count. Two fingerprints are compared by the Jaccard coefficient, which
-is at most the ratio of their sizes: sets whose sizes are too far apart are not compared.
+is at most the ratio of their sizes. `similar` finds all pairs that reach a threshold: it
+partitions fingerprints by ranges of set length, so that each range meets only itself and the
+next, joins on rare signatures, and compares no sets whose sizes are too far apart.
 
 Words stand between white space; letter case and all that is neither letter nor digit are
 dropped. Where no common word has come for GAP words, or none yet, each word is an anchor, so
@@ -20,6 +22,7 @@ next; an empty table gives no rows; other columns are not looked at.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,8 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from footfall.llm.common import map_columns, ship, tasks
+from footfall.llm.common import map_columns, ship, staged, tasks
 
+#: Jaccard coefficient from which on documents are similar.
+THRESHOLD = 0.5
 #: Content words of a chain.
 CHAIN = 2
 #: Words without an anchor after which each word is one.
@@ -174,3 +179,54 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     dealt = _neighbours(docs).repartition("bucket")
     ordered = dealt.sortWithinPartitions("bucket", "tail", F.asc_nulls_first("doc_id"), F.xxhash64("text"))
     return map_columns(ordered, compare, schema)
+
+
+def _ranges(longest: int, threshold: float) -> list[int]:
+    """The shortest length of each range; sets within the threshold's ratio are in one range or in neighbouring ones."""
+    cuts = [1]
+    while cuts[-1] <= longest:
+        cuts.append(math.floor(cuts[-1] / threshold + 1e-9) + 1)
+    return cuts
+
+
+def similar(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """a, b, likeness: pairs of documents whose fingerprints have a Jaccard coefficient of threshold (above 0) or more.
+
+    Documents of equal fingerprints are paired with one of them, the one of the smallest doc_id (null first), with
+    likeness 1, and only that one with others. Of a set of n signatures, the rarest first, n - ceil(threshold * n) + 1
+    hold one that a similar set has among its own first ones.
+    """
+    schema = "doc_id long, sigs array<long>"
+
+    def prints(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
+        for batch in batches:
+            yield {"doc_id": batch["doc_id"], "sigs": [fingerprint(text).tolist() for text in batch["text"]]}
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    each = staged(map_columns(texts, prints, schema).withColumn("row", F.monotonically_increasing_id()), "prints")
+    first = F.min(F.struct("doc_id", "row"))
+    sets = staged(each.groupBy("sigs").agg(first.alias("rep")).select("rep.row", "rep.doc_id", "sigs", F.size("sigs").alias("n")), "sets")
+    copies = each.join(sets.select("sigs", F.col("row").alias("rep"), F.col("doc_id").alias("a")), "sigs").where("row <> rep").select("a", F.col("doc_id").alias("b"), F.lit(1.0).alias("likeness"))
+
+    cuts = _ranges(sets.agg(F.max("n")).first()[0] or 0, threshold)
+    tokens = sets.select("row", "n", F.explode("sigs").alias("sig"))
+    counts = tokens.groupBy("sig").agg(F.count(F.lit(1)).alias("df"))
+    ordered = tokens.join(counts, "sig").groupBy("row", "n").agg(F.array_sort(F.collect_list(F.struct("df", "sig"))).alias("sigs"))
+    # 1e-9: rounding may make a prefix longer, never shorter.
+    prefix = (F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1).cast("int")
+    length_range = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: cut <= F.col("n")))
+    rare = staged(ordered.select("row", "n", length_range.alias("range"), F.explode(F.slice("sigs", F.lit(1), prefix)).alias("s")).select("row", "n", "range", F.col("s.sig").alias("sig")), "rare")
+    shorter = rare.select(F.col("row").alias("row_a"), F.col("n").alias("n_a"), "sig", F.explode(F.array("range", F.col("range") + 1)).alias("range"))
+    longer = rare.select(F.col("row").alias("row_b"), F.col("n").alias("n_b"), "sig", "range")
+    in_order = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("row_a") < F.col("row_b")))
+    met = shorter.join(longer, ["range", "sig"]).where(in_order & (F.col("n_a") >= threshold * F.col("n_b") - 1e-9)).select("row_a", "row_b").distinct()
+
+    side = lambda x: sets.select(F.col("row").alias(f"row_{x}"), F.col("doc_id").alias(x), F.col("sigs").alias(f"sigs_{x}"))
+
+    def compare(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
+        for batch in batches:
+            found = [likeness(np.array(x, "u4"), np.array(y, "u4"), threshold - 1e-9) for x, y in zip(batch["sigs_a"], batch["sigs_b"], strict=True)]
+            yield {"a": batch["a"], "b": batch["b"], "likeness": found}
+
+    pairs = met.join(side("a"), "row_a").join(side("b"), "row_b").select("a", "b", "sigs_a", "sigs_b")
+    return map_columns(pairs, compare, "a long, b long, likeness double").where(F.col("likeness") >= threshold).union(copies)

@@ -147,3 +147,25 @@ def test_fingerprints_at_the_edges(spark):
     a, b = spotsigs.fingerprint(prose(1, 300)), spotsigs.fingerprint(prose(2, 300))
     assert spotsigs.likeness(a, b) < 0.1
     assert spotsigs.likeness(a, a[: len(a) // 3], at_least=0.5) == 0.0
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.5, 0.8])
+def test_similar_documents_equal_brute_force(spark, threshold):
+    base = [prose(i, 150).split() for i in range(12)]
+    rng = random.Random(5)
+    rows = [(100 * i + j, " ".join(rng.choice(base[i]) if rng.random() < j / 60 else w for w in base[i][: 150 - 9 * j])) for i in range(12) for j in range(8)]
+    rows += [(9000, rows[3][1]), (9001, rows[3][1]), (9002, ""), (9003, None), (9004, "ab"), (None, "ab"), (None, prose(77, 90))]
+    prints, reps, expected = [(i, spotsigs.fingerprint(t or "")) for i, t in rows], {}, Counter()
+    for i, own in sorted(prints, key=lambda x: (x[0] is not None, x[0] or 0)):
+        if own.tobytes() in reps:
+            expected[frozenset([reps[own.tobytes()][0], i]), 1.0] += 1
+        else:
+            reps[own.tobytes()] = i, own
+    reps = list(reps.values())
+    for at, (i, x) in enumerate(reps):
+        for j, y in reps[:at]:
+            if spotsigs.likeness(x, y) >= threshold:
+                expected[frozenset([i, j]), spotsigs.likeness(x, y)] += 1
+    assert len(expected) >= 20
+    assert Counter((frozenset([r.a, r.b]), r.likeness) for r in spotsigs.similar(documents(spark, rows), threshold).collect()) == expected
+    assert spotsigs.similar(documents(spark, rows).limit(0)).count() == 0
