@@ -126,6 +126,22 @@ def test_the_network_learns_and_its_gradients_are_right():
     assert (net.score(x[y == 0]) >= net.threshold).mean() <= 0.05
 
 
+def test_every_key_like_run_is_a_candidate_and_words_come_from_whole_texts():
+    key = "qWxZkVbNpLtRsDfGhJ"
+    assert secret_scan.candidates(f"key {key} and", []) == [(4, 4 + len(key))]
+    text = "word " * 1000 + f"password=abcdef12345 {'late-words ' * 300}"
+    labels, shown = secret_scan._samples(text, secret_scan.base_spans(text), [])
+    assert any(label == 0 and w[charnet.LEFT :].startswith("late-words") for label, w in zip(labels, shown, strict=True))
+
+
+def test_the_threshold_keeps_the_recall_below_one_half():
+    rng = np.random.default_rng(0)
+    shown = [charnet.windows("of " + "".join(rng.choice(list("abc123"), 20)), 3, 23) for _ in range(400)]
+    x, y = charnet.codes(shown), np.arange(400) % 4 == 0  # nothing tells the labels apart
+    net = charnet.CharNet().calibrate(x, y.astype("i8"), 0.98)
+    assert (net.score(x[y]) >= net.threshold).mean() >= 0.98
+
+
 def toxic_rows():
     rows, labels = [], []
     for i in range(900):
