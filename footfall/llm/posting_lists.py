@@ -6,7 +6,9 @@ them is searched in memory. Every vector is put on the list of its nearest centr
 where it lies near a border, on those of up to REPLICAS centroids in other directions. A query
 reads the lists whose centroid is at most a ratio farther than its nearest one. That ratio is
 measured: PROBED queries are answered by brute force over all vectors, and the smallest ratio
-is taken with which the lists hold the share RECALL of their neighbours.
+is taken with which the lists hold the share RECALL of their neighbours. Where these lists are
+the nearest ones of fewer than k + 1 vectors, a query reads further lists, by distance and in the
+end all, until they are; so it gets k rows, or all others if there are fewer.
 
 Lists and the queries that read them are dealt in blocks of bounded size, whatever a list's
 length. Equal vectors are one on the lists; of them only the k + 1 smallest ids can be among
@@ -76,10 +78,30 @@ class Index:
             out.append(taken)
         return out
 
-    def read(self, q: np.ndarray) -> list[list[int]]:
-        """The lists that each query reads."""
-        at, far = self.graph.search(self.flat(q), self.beam)
-        return [numbers[(ds <= self.ratio * ds[0]) | (ds == ds[0])].tolist() for numbers, ds in zip(at, far, strict=True)]
+    def read(self, q: np.ndarray, sizes: np.ndarray, least: int) -> list[list[int]]:
+        """The lists that each query reads: those within the ratio, and more until they are home to `least` vectors;
+        sizes: the vectors that each list is home to."""
+        x, out, beam = self.flat(q), [[] for _ in q], self.beam
+        waiting = np.arange(len(q))
+        while len(waiting):
+            whole = beam >= len(self.graph.centroids)
+            found = map(self._all, x[waiting]) if whole else zip(*self.graph.search(x[waiting], beam), strict=True)
+            later = []
+            for i, (numbers, ds) in zip(waiting, found, strict=True):
+                numbers, ds = numbers[np.isfinite(ds)], ds[np.isfinite(ds)]
+                near = int(((ds <= self.ratio * ds[0]) | (ds == ds[0])).sum())
+                n = max(near, int(np.searchsorted(np.cumsum(sizes[numbers]), least)) + 1)
+                out[i] = numbers[:n].tolist()
+                if n >= len(numbers):  # there may be more behind what the search saw
+                    later.append(i)
+            waiting, beam = np.array([] if whole else later, "i8"), 2 * beam
+        return out
+
+    def _all(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All centroids by distance."""
+        far = ((self.graph.centroids - x) ** 2).sum(1)
+        order = np.argsort(far, kind="stable")
+        return order, far[order]
 
     def bound(self, q: np.ndarray, lists: list[list[int]], k: int) -> np.ndarray:
         """A similarity that k vectors of the sample on a query's lists reach, a little lowered for rounding."""
@@ -162,14 +184,19 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, recall: float = RECALL) -
                 ids, x = batch["id"][i : i + 512], np.array(batch["v"][i : i + 512], "f8")
                 lists, bounds = of(shared.value, x)
                 put = [(n, j) for j, own in enumerate(lists) for n in own]
-                yield {"list": [n for n, _ in put], "id": [ids[j] for _, j in put], "x": [x[j].tobytes() for _, j in put], "bound": [float(bounds[j]) for _, j in put]}
+                home = [n == lists[j][0] for n, j in put]
+                yield {"list": [n for n, _ in put], "id": [ids[j] for _, j in put], "x": [x[j].tobytes() for _, j in put], "bound": [float(bounds[j]) for _, j in put], "home": home}
+
+    schema = "list int, id long, x binary, bound double, home boolean"
+    postings = staged(map_columns(reps, lambda b: placed(b, lambda i, x: (i.lists(x), np.zeros(len(x)))), schema), "postings")
+    sizes = np.zeros(len(index.graph.centroids), "i8")
+    for r in postings.where("home").groupBy("list").count().collect():
+        sizes[r["list"]] = r["count"]
 
     def read(own: Index, q: np.ndarray):
-        lists = own.read(q)
+        lists = own.read(q, sizes, k + 1)  # one of them may be the query's own vector
         return lists, own.bound(q, lists, k + 1)
 
-    schema = "list int, id long, x binary, bound double"
-    postings = staged(map_columns(reps, lambda b: placed(b, lambda i, x: (i.lists(x), np.zeros(len(x)))), schema), "postings")
     probes = staged(map_columns(queries, lambda b: placed(b, read), schema), "probes")
 
     def blocks(df: DataFrame, size: int) -> DataFrame:

@@ -264,6 +264,16 @@ def test_nearest_neighbours(spark, unit):
     assert hits >= 0.9 * 20 * len(by_query)
 
 
+def test_queries_in_small_far_clusters_get_all_their_rows(spark, monkeypatch):
+    monkeypatch.setattr(posting_lists, "LIST", 32)
+    rng = np.random.default_rng(6)
+    centres = 10 * rng.normal(size=(8, 16))
+    x = np.concatenate([np.repeat(centres[:5], 400, 0), np.repeat(20 * centres[5:], 10, 0)]) + 0.01 * rng.normal(size=(2030, 16))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    rows = Counter(r.query_id for r in posting_lists.nearest(table, lambda i: i % 20 == 0).collect())
+    assert rows == {i: 20 for i in range(0, 2030, 20)}
+
+
 def test_vectors_that_take_no_part(spark):
     rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (20, [0.0, 1.0]), (40, [0.0, 0.0]), (60, None), (80, [None, 1.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [math.nan, 1.0]), (4, [1.0]), (None, [1.0, 1.0])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
