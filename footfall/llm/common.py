@@ -58,12 +58,6 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def map_pandas(df: DataFrame, step, schema: str) -> DataFrame:
-    """mapInPandas with this package at hand in the workers."""
-    ship(df.sparkSession)
-    return df.mapInPandas(step, schema)
-
-
 def map_columns(df: DataFrame, step, schema: str) -> DataFrame:
     """mapInArrow over columns as Python lists: step takes and gives iterators of dicts of lists."""
     import pyarrow as pa

@@ -2,12 +2,14 @@
 
 Bounded-space online best-fit: a fixed number of bins is open, in a bitset keyed by free
 space; a piece goes to the open bin with the least free space that still holds it, and where
-one bin too many is open the fullest closes first. Pieces arrive the longest first, in
-chunks of a bounded number of pieces, so that tasks pack side by side; a chunk leaves at
-most a few bins that are not full.
-
-Defined results: a null or empty text is the end id alone; repeated rows are packed each on
-their own; an empty table gives no rows; other columns of the input are not looked at.
+one bin too many is open the fullest closes first. Pieces are dealt to chunks of a bounded
+number of pieces, so that tasks pack side by side. A chunk's pieces arrive in waves, each the
+longest first, and its bins stay open from wave to wave: the long pieces of a wave open bins
+that its short ones fill, so few bins are open and those that close are nearly full.
+
+Defined results: a null or empty text is the end id alone; a null doc_id stays null; repeated
+rows are packed each on their own; an empty table gives no rows; other columns of the input
+are not looked at.
 """
 
 from __future__ import annotations
@@ -16,18 +18,17 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import map_pandas, staged
+from footfall.llm.common import map_columns, staged
 from footfall.llm.encoding import encoder
 
 CAPACITY = 2048
 #: Bins open at a time.
-OPEN_BINS = 8192
-#: Pieces of a chunk, on average.
-CHUNK = 16_000
+OPEN_BINS = 512
+#: Pieces of a chunk and of a wave, on average.
+CHUNK, WAVE = 16_000, 1000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
@@ -39,32 +40,22 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     Of a document that is cut, the first piece takes what is left over after whole ones.
     """
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
         encode, end = encoder(tokenizer_path).encode, np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"].array, batch["text"], strict=True):
+            out = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": []}
+            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 ids = encode(text) + end
                 n, start = len(ids) // 4, 0
                 for piece in range(-(-n // capacity)):
                     stop = start + ((n % capacity or capacity) if piece == 0 else capacity)
-                    rows.append((doc_id, piece, start, stop - start, zlib.crc32(ids[4 * start : 4 * stop])))
+                    for column, value in zip(out.values(), (doc_id, piece, start, stop - start, zlib.crc32(ids[4 * start : 4 * stop])), strict=True):
+                        column.append(value)
                     start = stop
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            out["doc_id"] = pd.array(out["doc_id"], dtype="Int64")
             yield out
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return map_pandas(texts, _nullable(cut), PIECES)
-
-
-def _nullable(step):
-    """Keep integers whole where a doc_id is null (pandas would make them floats)."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        return step(b.assign(doc_id=pd.array([None if pd.isna(x) else int(x) for x in b["doc_id"]], dtype="Int64")) for b in batches)
-
-    return run
+    return map_columns(texts, cut, PIECES)
 
 
 class Bins:
@@ -105,23 +96,29 @@ def best_fit(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_
     `pieces` has a `length` of 1 to capacity and is read twice: stage it first. The columns
     sequence_id and offset are added.
     """
-    chunks = max(1, round(pieces.count() / chunk))
+    count = pieces.count()
+    chunks = max(1, round(count / chunk))
+    waves = max(1, round(count / chunks / WAVE))
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
         now, bins = None, None
         for batch in batches:
-            ids, offsets = np.empty(len(batch), "i8"), np.empty(len(batch), "i8")
-            for i, (c, length) in enumerate(zip(batch["_chunk"].tolist(), batch["length"].tolist(), strict=True)):
+            ids, offsets = [], []
+            for c, length in zip(batch.pop("_chunk"), batch["length"], strict=True):
                 if c != now:
                     now, bins = c, Bins(capacity, open_bins)
-                at, offsets[i] = bins.put(length)
-                ids[i] = (c << 40) + at
-            yield batch.drop(columns="_chunk").assign(sequence_id=ids, offset=offsets)
+                at, offset = bins.put(length)
+                ids.append((c << 40) + at)
+                offsets.append(offset)
+            del batch["_wave"]
+            yield batch | {"sequence_id": ids, "offset": offsets}
 
     # A written table is read in the same order again, so a chunk is the same when a task is run anew.
-    dealt = pieces.withColumn("_chunk", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(chunks)))
-    in_order = dealt.repartition(chunks, "_chunk").sortWithinPartitions("_chunk", F.desc("length"), "doc_id", "piece", "ids_crc32")
-    return map_pandas(in_order, _nullable(pack), PACKED)
+    place = F.monotonically_increasing_id()
+    wave = F.pmod(F.xxhash64(place, F.lit("wave")), F.lit(waves))
+    dealt = pieces.withColumns({"_chunk": F.pmod(F.xxhash64(place), F.lit(chunks)), "_wave": wave})
+    in_order = dealt.repartition(chunks, "_chunk").sortWithinPartitions("_chunk", "_wave", F.desc("length"), "doc_id", "piece", "ids_crc32")
+    return map_columns(in_order, pack, PACKED)
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, open_bins: int = OPEN_BINS) -> DataFrame:

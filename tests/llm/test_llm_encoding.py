@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import pytest
 from corpora import PLAIN, documents, prose
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from footfall.llm import bpe, encoding, packing
@@ -82,6 +83,25 @@ def test_packing_is_whole_gapless_and_tight(spark):
     assert len(sequences) <= -(-sum(r.length for r in found) // 2048) + 1
 
 
+def test_large_ids_next_to_a_null_one_stay_whole(spark):
+    rows = [(10**17 + 1, "a b"), (None, "c"), (2**53 + 1, "d"), (2**63 - 1, None)]
+    found = packing.pack_documents(documents(spark, rows).coalesce(1), BYTES).collect()
+    assert Counter(r.doc_id for r in found) == Counter(i for i, _ in rows)
+
+
+def test_a_fixed_number_of_open_bins_costs_little(spark):
+    lengths = [1 + (i * 7919) % 2048 for i in range(20_000)]
+    pieces = spark.createDataFrame([(i, 0, 0, n, 0) for i, n in enumerate(lengths)], packing.PIECES)
+    found = packing.best_fit(pieces).agg(F.countDistinct("sequence_id"), F.sum("length")).first()
+    assert found[1] == sum(lengths)
+    assert found[0] <= 1.01 * sum(lengths) / 2048
+    bins, most = packing.Bins(2048, packing.OPEN_BINS), 0
+    for length in sorted(lengths, reverse=True):
+        bins.put(length)
+        most = max(most, bins.count)
+    assert most == packing.OPEN_BINS  # in one wave the bound binds
+
+
 def test_bins_close_the_fullest_first():
     bins = packing.Bins(10, 2)
     assert [bins.put(n) for n in (6, 5)] == [(0, 0), (1, 0)]
