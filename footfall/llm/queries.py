@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import bpe, dart_minhash, html_extract, license_scan, line_dedup, oracles, packing, posting_lists, secret_scan, spotsigs, toxicity
+from footfall.llm import bpe, dart_minhash, html_extract, license_scan, line_dedup, mask_search, oracles, oracles_words, packing
+from footfall.llm import posting_lists, quality, secret_scan, spotsigs, toxicity, variants
 from footfall.llm.common import table
 
 
@@ -55,10 +56,22 @@ def op10_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_mask_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mask_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that SQL can express; tests compare the others with plain Python."""
-    return oracles.oracle_sql()
+    return oracles.oracle_sql() | oracles_words.oracle_sql()
