@@ -6,126 +6,75 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.functions import ratio
-from footfall.operators.sessions import LONG_SESSION, order_columns
+from footfall.operators.sessions import order_columns
 from footfall.schemas import ACTION_ID
 
 
-# Places where a long session may be cut by time, and a crowded instant by row id.
-_CUTS = 1024
+def step_counts(actions: DataFrame, parts: int | None = None) -> DataFrame:
+    """How often each page follows another within a session: prev_page, page, n.
 
+    prev_page is NULL for the first action of a session; n adds up to the number of actions.
 
-def page_steps(actions: DataFrame, long_session: int = LONG_SESSION) -> DataFrame:
-    """Each action's page with the page before it in its session: prev_page, page.
-
-    One row per action; prev_page is NULL for the first of a session. Sessions are
-    ordered by window sorts. A session of more than ``long_session`` actions, which one
-    task should not sort, is cut into parts in order, of at most about twice as many
-    actions each: at quantiles of the time, and, where one instant holds more, there at
-    quantiles of the row id. The first action of a part takes its previous page from the
-    last action of the part before, so the rows that one task sees of such a session are
-    one pair of pages per part.
-
-    In a log without row ids, actions of a long session that agree in time and page are
-    alike: they are one row with a count, and give pairs of that page with itself.
-    """
-    time, tie = order_columns(actions)
-    rows = _mark_parts(actions, time, tie, long_session)
-    part = ["session_id", "part_time", "part_slice"]
-    in_part = Window.partitionBy(*part).orderBy(time, tie)
-    inside = (
-        rows.select(
-            "is_long",
-            "page_id",
-            F.lag("page_id").over(in_part).alias("prev_page"),
-            F.row_number().over(in_part).alias("position"),
-        )
-        .where("NOT is_long OR position > 1")
-        .select("prev_page", F.col("page_id").alias("page"))
-    )
-    order = F.struct(time, tie)
-    ends = (
-        rows.where("is_long")
-        .groupBy(*part)
-        .agg(F.min_by("page_id", order).alias("page"), F.max_by("page_id", order).alias("last_page"))
-    )
-    by_part = Window.partitionBy("session_id").orderBy("part_time", "part_slice")
-    steps = inside.unionByName(ends.select(F.lag("last_page").over(by_part).alias("prev_page"), "page"))
-    return steps if tie == ACTION_ID else steps.unionByName(_alike(rows.where("alike > 1")))
-
-
-def _alike(rows: DataFrame) -> DataFrame:
-    """The pairs within actions that are alike: one less than there are. Lists of repeats stay short."""
-    step = 100_000
-    blocks = rows.select("page_id", F.col("alike") - 1, F.explode(F.expr(f"sequence(0, (alike - 2) div {step})")).alias("block"))
-    blocks = blocks.toDF("page_id", "pairs", "block")
-    each = blocks.select("page_id", F.explode(F.expr(f"sequence(1, least({step}, pairs - block * {step}))")).alias("pair"))
-    return each.select(F.col("page_id").alias("prev_page"), F.col("page_id").alias("page"))
-
+    The log is dealt to ``parts`` ranges (as many as there are shuffle partitions) of session,
+    time and row id, so a session of any length is cut where its share of the rows is full, also
+    within one instant, and sessions of NULL times or the NULL session are cut like others. Each
+    session's run of actions in a range is summed up as its pairs of neighbouring pages, counted,
+    and the pages at its ends; the ends of runs of one session that follow each other are the
+    pairs that are left. What crosses a task after the ranges is a count for each pair of pages
+    and one row for each run; the log is read once, and once for Spark's sample of the ranges.
 
-def _mark_parts(actions: DataFrame, time: str, tie: str, long_session: int) -> DataFrame:
-    """Actions with is_long, alike, and the part_time and part_slice of actions of long sessions.
-
-    Both lookup tables list groups of more than ``long_session`` rows, so they hold
-    fewer than one row per ``long_session`` actions of the log and are broadcast.
+    In a log without row ids, actions of a session that agree in time and page are alike: they
+    are one row with a count, and give pairs of that page with itself.
     """
-    rows = actions.select("session_id", "page_id", time, tie if tie == ACTION_ID else F.lit(None).alias("__none")).drop("__none")
-    sizes = rows.groupBy(F.col("session_id").alias("long_id")).agg(F.count("*").alias("n"))
-    long = F.broadcast(sizes.where(F.col("n") > long_session).select("long_id"))
-    is_long_row = F.col("session_id").eqNullSafe(F.col("long_id"))
-    ordinary = rows.join(long, is_long_row, "left_anti").withColumn("alike", F.lit(1).cast("bigint"))
-    of_long = rows.join(long, is_long_row, "left_semi").withColumn("alike", F.lit(1).cast("bigint"))
-    if tie != ACTION_ID:
-        of_long = of_long.groupBy("session_id", "page_id", time).agg(F.sum("alike").alias("alike"))
-    instants = _crowded_instants(of_long, time, tie, long_session)
-    in_instant = F.col("session_id").eqNullSafe(F.col("crowd_id")) & (F.col(time) == F.col("crowd_time"))
-    cuts = F.broadcast(_time_cuts(of_long, instants, time, long_session))
-    marked = (
-        of_long.join(cuts, is_long_row)
-        .withColumn("part_time", F.coalesce(F.size(F.filter("cuts", lambda cut: cut < F.col(time))), F.lit(0)))
-        .join(F.broadcast(instants), in_instant, "left")
-    )
-    if tie == ACTION_ID:
-        slices = F.size(F.filter("slices", lambda cut: cut < F.col(tie)))
-        marked = marked.withColumn("part_slice", F.when(F.col("slices").isNull(), 0).otherwise(1 + F.coalesce(slices, F.lit(0))))
+    order = order_columns(actions)
+    rows = actions.select("session_id", "page_id", *[name for name in order if name != "page_id"])
+    if ACTION_ID in order:
+        rows = rows.withColumn("alike", F.lit(1).cast("bigint"))
     else:
-        marked = marked.withColumn("part_slice", F.lit(0))
-    none = F.lit(None).cast("int")
-    columns = [*ordinary.columns, "is_long", "part_time", "part_slice"]
-    ordinary = ordinary.withColumns({"is_long": F.lit(False), "part_time": none, "part_slice": none})
-    return ordinary.select(*columns).unionByName(marked.withColumn("is_long", F.lit(True)).select(*columns))
-
-
-def _quantiles(column: str) -> Column:
-    """Cut points of ``column``; the error of a rank is far below one part."""
-    return F.percentile_approx(column, [i / _CUTS for i in range(1, _CUTS)], 20 * _CUTS)
-
-
-def _thinned(cuts: str, rows: str, limit: int) -> Column:
-    """Of _CUTS cut points those that leave about ``limit`` of ``rows`` between two."""
-    parts = F.expr(f"CAST(least({_CUTS}, ceil({rows} / {max(1, limit)})) AS INT)")
-    taken = F.transform(F.when(parts > 1, F.sequence(F.lit(1), parts - 1)), lambda i: F.get(cuts, F.floor(i * _CUTS / parts).cast("int") - 1))
-    return F.coalesce(F.array_distinct(taken), F.array())
-
+        rows = rows.groupBy(*rows.columns).agg(F.count("*").alias("alike"))
+    parts = parts or int(actions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The number of a range is read in the stage that reads it, once: nothing else deals by it.
+    ranges = rows.repartitionByRange(parts, "session_id", *order).withColumn("part", F.spark_partition_id())
+    runs = _runs(ranges, order)
+    in_order = Window.partitionBy("session_id", "pair").orderBy("part")
+    before = F.when(F.col("pair").isNull(), F.lag("last_page").over(in_order)).otherwise(F.col("prev_page"))
+    return runs.select(before.alias("prev_page"), "page", "n").groupBy("prev_page", "page").agg(F.sum("n").alias("n"))
+
+
+def _runs(ranges: DataFrame, order: list[str]) -> DataFrame:
+    """prev_page, page, n of the pairs within runs, summed over a range's sessions; and of each run one row
+    with session_id, part, its first page, its last_page, and no pair. ``pair`` deals the summed pairs."""
+    run = Window.partitionBy("part", "session_id").orderBy(*order)
+    whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    placed = ranges.select(
+        "part", "session_id", "alike",
+        F.col("page_id").alias("page"),
+        F.lag("page_id").over(run).alias("prev_page"),
+        F.row_number().over(run).alias("position"),
+        F.last("page_id").over(whole).alias("last_page"),
+    )
+    opens = F.col("position") == 1
+    step = F.struct(F.col("prev_page"), F.col("page"), F.lit(1).cast("bigint").alias("n"), opens.alias("opens"))
+    again = F.struct(F.col("page").alias("prev_page"), F.col("page"), (F.col("alike") - 1).alias("n"), F.lit(False).alias("opens"))
+    each = placed.select("part", "session_id", "last_page", F.inline(F.when(F.col("alike") > 1, F.array(step, again)).otherwise(F.array(step))))
+    of_run = {name: F.when(F.col("opens"), F.col(name)) for name in ("session_id", "part", "last_page")}
+    keyed = each.withColumns({**of_run, "pair": F.when(~F.col("opens"), F.xxhash64("prev_page", "page"))})
+    return keyed.groupBy("session_id", "pair", "part", "prev_page", "page", "last_page").agg(F.sum("n").alias("n"))
+
+
+def page_steps(actions: DataFrame, parts: int | None = None) -> DataFrame:
+    """Each action's page with the page before it in its session: prev_page, page.
 
-def _crowded_instants(rows: DataFrame, time: str, tie: str, limit: int) -> DataFrame:
-    """Instants of a session with more than ``limit`` rows, and the row ids to cut them at."""
-    counts = rows.groupBy(F.col("session_id").alias("crowd_id"), F.col(time).alias("crowd_time")).agg(F.count("*").alias("n"))
-    crowded = counts.where(F.col("n") > limit)
-    if tie != ACTION_ID:
-        return crowded.select("crowd_id", "crowd_time")
-    here = F.col("session_id").eqNullSafe(F.col("crowd_id")) & F.col(time).eqNullSafe(F.col("crowd_time"))
-    of_crowded = rows.join(F.broadcast(crowded), here)
-    cut = of_crowded.groupBy("crowd_id", "crowd_time", "n").agg(_quantiles(tie).alias("ids"))
-    return cut.select("crowd_id", "crowd_time", _thinned("ids", "n", limit).alias("slices"))
+    One row per action, from ``step_counts``; lists of repeats stay short.
+    """
+    step = 100_000
+    counts = step_counts(actions, parts).select("prev_page", "page", "n", F.explode(F.expr(f"sequence(0, (n - 1) div {step})")).alias("block"))
+    return counts.select("prev_page", "page", F.explode(F.expr(f"sequence(1, least({step}, n - block * {step}))"))).select("prev_page", "page")
 
 
-def _time_cuts(rows: DataFrame, instants: DataFrame, time: str, limit: int) -> DataFrame:
-    """The times at which each long session is cut: its quantiles, and every crowded instant."""
-    by_time = rows.groupBy(F.col("session_id").alias("long_id")).agg(F.count("*").alias("n"), _quantiles(time).alias("times"))
-    crowds = instants.groupBy("crowd_id").agg(F.collect_list("crowd_time").alias("more"))
-    both = by_time.join(crowds, F.col("long_id").eqNullSafe(F.col("crowd_id")), "left")
-    cuts = F.array_union(_thinned("times", "n", limit), F.coalesce("more", F.array()))
-    return both.select("long_id", cuts.alias("cuts"))
+def _views(steps: DataFrame) -> Column:
+    """The actions that a row stands for: one, or a count."""
+    return F.col("n") if "n" in steps.columns else F.lit(1).cast("bigint")
 
 
 def split_name(prev_page, page) -> str:
@@ -138,15 +87,15 @@ def flow_splits(flow: list[int]) -> list[tuple[int, int]]:
 
 
 def page_split_views(steps: DataFrame, flow: list[int]) -> DataFrame:
-    """Views of each step of ``flow`` that occurs: split (``from_to``), pv."""
+    """Views of each step of ``flow`` that occurs: split (``from_to``), pv. Steps are rows or counts."""
     names = sorted({split_name(*pair) for pair in flow_splits(flow)})
     split = F.concat_ws("_", "prev_page", "page")
     return (
         steps.where(F.col("prev_page").isin(flow) & F.col("page").isin(flow))
-        .select(split.alias("split"))
+        .select(split.alias("split"), _views(steps).alias("n"))
         .where(F.col("split").isin(names))
         .groupBy("split")
-        .agg(F.count("*").alias("pv"))
+        .agg(F.sum("n").alias("pv"))
     )
 
 
@@ -169,7 +118,8 @@ def page_convert_rate(steps: DataFrame, flow: list[int]) -> DataFrame:
         return steps.sparkSession.createDataFrame([], "step int, split string, pv bigint, prev_pv bigint, rate double")
     tests = {"start": f"page = {flow[0]}"}
     tests |= {split_name(*pair): f"prev_page = {pair[0]} AND page = {pair[1]}" for pair in pairs}
-    counts = steps.agg(*[F.expr(f"count_if({test}) AS `{name}`") for name, test in tests.items()])
+    views = _views(steps)
+    counts = steps.agg(*[F.coalesce(F.sum(F.when(F.expr(test), views)), F.lit(0)).alias(name) for name, test in tests.items()])
     names = ["start", *[split_name(*pair) for pair in pairs]]
     rows = [
         f"struct({step} AS step, '{names[step]}' AS split, `{names[step]}` AS pv, `{names[step - 1]}` AS prev_pv)"

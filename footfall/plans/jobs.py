@@ -48,7 +48,7 @@ def _write_rankings(actions: DataFrame, activity: DataFrame, task_id: int, resul
 def page_convert_rates(actions: DataFrame, params: TaskParams) -> DataFrame:
     """Conversion of each step of the task's page flow."""
     actions = action_date_range(actions, *params.date_range())
-    return page_flow.page_convert_rate(page_flow.page_steps(actions), params.page_flow())
+    return page_flow.page_convert_rate(page_flow.step_counts(actions), params.page_flow())
 
 
 def run_page_flow(actions: DataFrame, params: TaskParams, task_id: int, results) -> None:

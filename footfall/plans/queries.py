@@ -291,7 +291,7 @@ def top10_session_detail(spark, sf_dir):
 
 
 def _steps(spark, sf_dir):
-    return page_flow.page_steps(_actions(spark, sf_dir))
+    return page_flow.step_counts(_actions(spark, sf_dir))
 
 
 @_query

@@ -143,7 +143,7 @@ def test_null_sessions_are_a_session_everywhere(spark):
     assert sessions.session_detail(log, found, sessions.long_sessions(found, 1)).count() == 3
     assert sorted(r.click_count for r in categories.session_category_activity(log, found).collect()) == [1, 2]
     assert page_flow.page_steps(log).count() == 3
-    assert page_flow.page_steps(log, 1).count() == 3
+    assert page_flow.page_steps(log, 2).count() == 3
 
 
 @pytest.mark.parametrize("passes", [True, False])

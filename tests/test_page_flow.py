@@ -2,6 +2,7 @@ import random
 
 import pytest
 from helpers import actions, rows
+from pyspark.sql import functions as F
 
 from footfall.operators import page_flow
 
@@ -32,69 +33,65 @@ def random_log(seed, sessions="abc", size=80, times=12):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("long_session", [0, 1, 2, 5, 20, 30, 1000])
-def test_steps_do_not_depend_on_the_parts(spark, seed, long_session):
+@pytest.mark.parametrize("parts", [1, 2, 5, 20, 80])
+def test_steps_do_not_depend_on_the_parts(spark, seed, parts):
     log = random_log(seed)
-    assert rows(page_flow.page_steps(actions(spark, log), long_session)) == brute_steps(log)
+    assert rows(page_flow.page_steps(actions(spark, log), parts)) == brute_steps(log)
 
 
-@pytest.mark.parametrize("long_session", [3, 1000])
-def test_many_actions_at_one_time(spark, long_session):
+@pytest.mark.parametrize("parts", [1, 20])
+def test_many_actions_at_one_time(spark, parts):
     log = random_log(5, sessions="aaab", times=1)
-    assert rows(page_flow.page_steps(actions(spark, log), long_session)) == brute_steps(log)
+    assert rows(page_flow.page_steps(actions(spark, log), parts)) == brute_steps(log)
 
 
-@pytest.mark.parametrize("long_session", [0, 3, 10, 1000])
-def test_fractions_of_a_second(spark, long_session):
+@pytest.mark.parametrize("parts", [1, 7, 80])
+def test_fractions_of_a_second(spark, parts):
     log = random_log(6, sessions="aaab", times=40)
     for row in log:
         row["at"] /= 16
-    assert rows(page_flow.page_steps(actions(spark, log), long_session)) == brute_steps(log)
-
-
-def _largest_part(log, limit, tie="action_id"):
-    marked = page_flow._mark_parts(log, "action_time", tie, limit)
-    sizes = [row["count"] for row in marked.groupBy("part_time", "part_slice").count().collect()]
-    return max(sizes), sum(sizes)
-
-
-@pytest.mark.parametrize(
-    "time_of",
-    [lambda n: 0, lambda n: n / 80, lambda n: 0 if n < 40 else (n - 40) / 40 + 1, lambda n: n],
-    ids=["one time", "one second", "two seconds", "a second each"],
-)
-def test_no_part_is_longer_than_two_long_sessions(spark, time_of):
-    """One session of 80 actions in parts of 8: by row id when an instant is crowded, else by time."""
-    log = actions(spark, [{"action_id": 1000 + n, "at": time_of(n)} for n in range(80)])
-    largest, total = _largest_part(log, 8)
-    assert total == 80
-    assert largest <= 16
+    assert rows(page_flow.page_steps(actions(spark, log), parts)) == brute_steps(log)
 
 
 UNEVEN = {
-    "one instant and a few fractions": [{"action_id": n, "at": 0 if n < 1000 else n / 2000} for n in range(1010)],
-    "ids with gaps": [{"action_id": n if n < 990 else n * 10**9, "at": 0} for n in range(1000)],
+    "one time": [{"action_id": 1000 + n, "at": 0} for n in range(2000)],
+    "one instant and a few fractions": [{"action_id": n, "at": 0 if n < 1990 else n / 2000} for n in range(2000)],
+    "ids with gaps": [{"action_id": n if n < 1990 else n * 10**9, "at": 0} for n in range(2000)],
+    "no times": [{"action_id": 1000 + n, "at": None} for n in range(2000)],
+    "the NULL session": [{"session_id": None, "action_id": n, "at": n % 3} for n in range(2000)],
 }
 
 
 @pytest.mark.parametrize("name", UNEVEN)
-def test_uneven_logs_are_cut_by_count(spark, name):
+def test_one_session_is_cut_by_count(spark, name):
+    """All actions are of one session; no task sorts more than about twice its share of them."""
     log = actions(spark, [{**row, "page_id": n % 7} for n, row in enumerate(UNEVEN[name])])
-    largest, total = _largest_part(log, 50)
-    assert total == len(UNEVEN[name])
-    assert largest <= 100
-    assert rows(page_flow.page_steps(log, 50)) == rows(page_flow.page_steps(log, 10**6))
+    ranges = log.repartitionByRange(8, "session_id", "action_time", "action_id").groupBy(F.spark_partition_id()).count()
+    sizes = [row["count"] for row in ranges.collect()]
+    assert sum(sizes) == 2000 and max(sizes) <= 500
+    counted = rows(page_flow.step_counts(log, 8))
+    assert counted == rows(page_flow.step_counts(log, 1))
+    assert sum(n for _, _, n in counted) == 2000 and [n for before, _, n in counted if before is None] == [1]
 
 
 def test_a_crowded_instant_without_row_ids(spark):
-    log = actions(spark, [{"at": 0, "page_id": n % 3} for n in range(1000)]).drop("action_id")
-    largest, total = _largest_part(log, 50, "page_id")
-    assert (largest, total) == (3, 3)
-    assert rows(page_flow.page_steps(log, 50)) == rows(page_flow.page_steps(log, 10**6))
+    log = actions(spark, [{"at": 0, "page_id": n % 3} for n in range(1000)] + [{"at": 1, "page_id": 7}]).drop("action_id")
+    expected = [(0, 0, 333), (0, 1, 1), (1, 1, 332), (1, 2, 1), (2, 2, 332), (2, 7, 1), (None, 0, 1)]
+    for parts in (1, 3, 8):
+        assert rows(page_flow.step_counts(log, parts)) == expected
+    assert page_flow.page_steps(log).count() == 1001
+
+
+def test_the_log_is_read_once(spark, tmp_path):
+    actions(spark, random_log(1)).write.parquet(f"{tmp_path}/log")
+    counts = page_flow.step_counts(spark.read.parquet(f"{tmp_path}/log"))
+    initial = counts._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert initial.count("FileScan") == 1
+    assert "rangepartitioning(session_id" in initial and "SinglePartition" not in initial
 
 
-@pytest.mark.parametrize("long_session", [0, 3, 1000])
-def test_missing_times_and_sessions(spark, long_session):
+@pytest.mark.parametrize("parts", [1, 3, 6])
+def test_missing_times_and_sessions(spark, parts):
     log = actions(
         spark,
         [
@@ -103,13 +100,13 @@ def test_missing_times_and_sessions(spark, long_session):
         ],
     )
     expected = [(1, 3), (3, None), (4, 5), (None, 1), (None, 2), (None, 4)]
-    assert rows(page_flow.page_steps(log, long_session)) == expected
+    assert rows(page_flow.page_steps(log, parts)) == expected
 
 
-@pytest.mark.parametrize("long_session", [2, 1000])
-def test_log_without_row_ids(spark, long_session):
+@pytest.mark.parametrize("parts", [1, 4])
+def test_log_without_row_ids(spark, parts):
     log = [{"session_id": "a", "page_id": p, "at": t} for p, t in [(3, 1), (1, 1), (2, 0), (5, 2), (4, 2)]]
-    steps = page_flow.page_steps(actions(spark, log).drop("action_id"), long_session)
+    steps = page_flow.page_steps(actions(spark, log).drop("action_id"), parts)
     assert rows(steps) == [(1, 3), (2, 1), (3, 4), (4, 5), (None, 2)]
 
 
