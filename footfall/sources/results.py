@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from footfall.schemas import RESULT_COLUMNS
@@ -22,17 +22,23 @@ def result_rows(df: DataFrame, table: str, task_id: int) -> DataFrame:
 class ParquetResults:
     """Result tables as Parquet folders ``root/table/task_id=N``.
 
-    Writing a task again replaces its folder, also by an empty result, so a job may be
-    rerun after a failure. The folder is emptied first: when a rerun fails, the result of
-    the run before is gone.
+    Writing a task again replaces its folder, also by an empty result, so a job may be rerun
+    after a failure. The rows are written aside, and only when all of them are there does Spark
+    put them in the place of the folder (a dynamic partition overwrite): a run that fails leaves
+    the result of the run before, and the results of other tasks are not touched.
     """
 
     def __init__(self, root: str):
         self.root = root.rstrip("/")
 
     def write(self, df: DataFrame, table: str, task_id: int) -> None:
-        rows = result_rows(df, table, task_id).drop("task_id")
-        rows.write.mode("overwrite").parquet(f"{self.root}/{table}/task_id={int(task_id)}")
+        rows, written = result_rows(df, table, task_id), Observation()
+        counted = rows.observe(written, F.count(F.lit(1)).alias("n"))
+        swap = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        swap.partitionBy("task_id").parquet(f"{self.root}/{table}")
+        if not written.get.get("n"):
+            # No row names the folder, so it was left; nothing is computed for this write.
+            rows.limit(0).drop("task_id").write.mode("overwrite").parquet(f"{self.root}/{table}/task_id={int(task_id)}")
 
 
 class JdbcResults:
