@@ -10,8 +10,8 @@ from footfall.operators.sessions import aggregate_sessions, detail_of_few, rende
 
 DEFAULT_SAMPLE_SIZE = 100
 
-# Sessions of an hour that one task ranks, about.
-_RANKED_TOGETHER = 1_000_000
+# Slices of the draws of an hour: by their first three hexadecimal digits.
+_SLICES, _DIGITS = 4096, 3
 
 
 def _with_start_hour(sessions: DataFrame) -> DataFrame:
@@ -23,8 +23,8 @@ def session_hour_counts(sessions: DataFrame) -> DataFrame:
     return _with_start_hour(sessions).groupBy("date", "hour").agg(F.count("*").alias("sessions"))
 
 
-def session_sample_quota(hour_counts: DataFrame, total: int = DEFAULT_SAMPLE_SIZE) -> DataFrame:
-    """Sessions to draw from each hour.
+def session_sample_quota(hour_counts: DataFrame, total: int = DEFAULT_SAMPLE_SIZE, more: tuple[str, ...] = ()) -> DataFrame:
+    """Sessions to draw from each hour; columns named in ``more`` are kept.
 
     Each day with sessions gets ``total`` divided by the number of days, rounded down;
     each hour its share of that by sessions, rounded down and at most all of them.
@@ -38,28 +38,41 @@ def session_sample_quota(hour_counts: DataFrame, total: int = DEFAULT_SAMPLE_SIZ
     return (
         hour_counts.withColumns({"day_sessions": F.sum("sessions").over(in_day), "opens_day": opens_day})
         .withColumn("days", F.count_if("opens_day").over(everything))
-        .select("date", "hour", "sessions", "day_sessions", F.least(share, F.col("sessions")).alias("quota"))
+        .select("date", "hour", "sessions", "day_sessions", F.least(share, F.col("sessions")).alias("quota"), *more)
     )
 
 
 def sample_sessions(sessions: DataFrame, total: int = DEFAULT_SAMPLE_SIZE, seed: int = 42) -> DataFrame:
     """Ids of the sampled sessions, drawn in each hour by the hash of session id and seed.
 
-    The same sessions, total and seed always give the same sample. The quota table has
-    at most 24 rows a day and is broadcast. A crowded hour is ranked in parts by its number
-    of sessions, and each part is cut to the hour's quota before the hour is ranked.
+    The same sessions, total and seed always give the same sample: in each hour the sessions of
+    the smallest draws. An hour's draws are counted in slices, in the map tasks; the slice in
+    which the quota is reached is its cut. Sessions below the cut are in the sample, those above
+    are not, and only the sessions of that slice, one in ``_SLICES``, are put in order. The cuts
+    have at most 24 rows a day and are broadcast.
     """
-    quota = session_sample_quota(session_hour_counts(sessions), total).where("quota > 0")
-    candidates = _with_start_hour(sessions).select(
-        "date", "hour", "session_id", F.md5(F.concat("session_id", F.lit(str(seed))).cast("binary")).alias("draw")
-    )
-    candidates = candidates.join(F.broadcast(quota.select("date", "hour", "quota", "sessions")), ["date", "hour"])
-    parts = F.ceil(F.col("sessions") / _RANKED_TOGETHER)
-    candidates = candidates.withColumn("part", F.pmod(F.xxhash64("session_id"), parts)).drop("sessions")
-    for group in (["date", "hour", "part"], ["date", "hour"]):
-        place = F.row_number().over(Window.partitionBy(*group).orderBy("draw", "session_id"))
-        candidates = candidates.withColumn("position", place).where("position <= quota").drop("position")
-    return candidates.select("session_id")
+    draw = F.md5(F.concat("session_id", F.lit(str(seed))).cast("binary"))
+    # A session without an id has no draw, and comes first.
+    piece = F.coalesce(F.conv(F.substring("draw", 1, _DIGITS), 16, 10).cast("int"), F.lit(-1))
+    drawn = _with_start_hour(sessions).select("date", "hour", "session_id", draw.alias("draw")).withColumn("slice", piece)
+    cuts = F.broadcast(_sample_cuts(drawn, total))
+    below = drawn.join(cuts, ["date", "hour"]).where("slice <= cut")
+    # Each session below the cut is a group of its own.
+    alone = F.when(F.col("slice") < F.col("cut"), F.xxhash64("session_id"))
+    in_slice = Window.partitionBy("date", "hour", alone).orderBy("draw", "session_id")
+    place = F.when(F.col("slice") == F.col("cut"), F.row_number().over(in_slice)).otherwise(F.lit(0))
+    return below.withColumn("place", place).where("place <= rest").select("session_id")
+
+
+def _sample_cuts(drawn: DataFrame, total: int) -> DataFrame:
+    """Of each hour with a quota: the slice in which it is reached (cut), and what is left of it there (rest)."""
+    slices = drawn.groupBy("date", "hour", "slice").agg(F.count("*").alias("n"))
+    hours = slices.groupBy("date", "hour").agg(F.sum("n").alias("sessions"), F.collect_list(F.struct("slice", "n")).alias("slices"))
+    quota = session_sample_quota(hours, total, ("slices",)).where("quota > 0")
+    upto = F.sum("n").over(Window.partitionBy("date", "hour").orderBy("slice"))
+    counted = quota.select("date", "hour", "quota", F.inline("slices")).withColumn("upto", upto)
+    reached = counted.where("upto - n < quota AND quota <= upto")
+    return reached.select("date", "hour", F.col("slice").alias("cut"), F.expr("quota - (upto - n)").alias("rest"))
 
 
 def sampled_detail(actions: DataFrame, sampled: DataFrame, total: int = DEFAULT_SAMPLE_SIZE) -> DataFrame:
