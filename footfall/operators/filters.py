@@ -5,9 +5,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from footfall.operators.hints import small
 from footfall.params import TaskParams
 
 
@@ -57,19 +58,35 @@ def session_predicates(params: TaskParams) -> list[Column]:
     )
 
 
-def action_predicates(params: TaskParams) -> dict[str, Column]:
-    """Filters of ``params`` that a session passes by one of its actions, by name."""
-    tests = {
-        "by_keyword": in_list("search_keyword", params.keywords),
-        "by_category": _in_numbers("click_category_id", params.category_ids),
-    }
-    return {name: test for name, test in tests.items() if test is not None}
+def listed(spark: SparkSession, values: list, column: str, element_type: str = "string") -> DataFrame:
+    """A parameter list as a table of its distinct values; what is not of the type is left out."""
+    texts = sorted({str(value) for value in values if value is not None})
+    table = spark.createDataFrame([(text,) for text in texts], "value string")
+    typed = table.select(F.col("value").try_cast(element_type).alias(column)).where(F.col(column).isNotNull())
+    return small(typed.distinct(), len(texts))
 
 
-def _in_numbers(column: str, values: list | None) -> Column | None:
-    if not values:
-        return None
-    return F.coalesce(F.col(column).isin(*[F.lit(value).try_cast("bigint") for value in values]), F.lit(False))
+def keep_listed(df: DataFrame, column: str, values: list | None, element_type: str = "string") -> DataFrame:
+    """Rows whose value is in a list of any length; all rows where there is no list."""
+    return df.join(listed(df.sparkSession, values, column, element_type), column, "left_semi").select(*df.columns) if values else df
+
+
+def mark_listed(df: DataFrame, column: str, values: list, flag: str) -> DataFrame:
+    """df with a flag: whether the value is in a list of any length; a missing value is not."""
+    table = listed(df.sparkSession, values, "__listed", df.schema[column].dataType.simpleString())
+    return df.join(table, F.col(column) == F.col("__listed"), "left").withColumn(flag, F.col("__listed").isNotNull()).drop("__listed")
+
+
+def action_lists(params: TaskParams) -> dict[str, tuple[str, list]]:
+    """Filters of ``params`` that a session passes by one of its actions: flag -> column and list."""
+    lists = {"by_keyword": ("search_keyword", params.keywords), "by_category": ("click_category_id", params.category_ids)}
+    return {name: (column, values) for name, (column, values) in lists.items() if values}
+
+
+def filter_users(users: DataFrame, params: TaskParams) -> DataFrame:
+    """Users that pass the filters of ``params``; lists are semi-joined."""
+    users = keep_all(users, _present(in_range("age", params.start_age, params.end_age), equals("sex", params.sex)))
+    return keep_listed(keep_listed(users, "professional", params.professionals), "city", params.cities)
 
 
 def _present(*filters: Column | None) -> list[Column]:

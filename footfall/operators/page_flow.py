@@ -62,6 +62,12 @@ def _runs(ranges: DataFrame, order: list[str]) -> DataFrame:
     return keyed.groupBy("session_id", "pair", "part", "prev_page", "page", "last_page").agg(F.sum("n").alias("n"))
 
 
+def steps_in_buckets(actions: DataFrame) -> DataFrame:
+    """``page_steps`` for a log bucketed by session, whose sessions each fit a task: no shuffle."""
+    in_order = Window.partitionBy("session_id").orderBy(*order_columns(actions))
+    return actions.select(F.lag("page_id").over(in_order).alias("prev_page"), F.col("page_id").alias("page"))
+
+
 def page_steps(actions: DataFrame, parts: int | None = None) -> DataFrame:
     """Each action's page with the page before it in its session: prev_page, page.
 

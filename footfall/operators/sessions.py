@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.functions import comma_list, is_not_empty, ratio, seconds_between
-from footfall.operators.filters import action_predicates, keep_all, user_predicates
+from footfall.operators.filters import action_lists, filter_users, keep_all, mark_listed
 from footfall.operators.hints import small
 from footfall.params import TaskParams
 from footfall.schemas import (
@@ -97,15 +97,20 @@ def filtered_sessions(actions: DataFrame, users: DataFrame, params: TaskParams)
 
 
 def flagged_sessions(actions: DataFrame, params: TaskParams) -> DataFrame:
-    """All sessions, with a flag for each filter of ``params`` that one of their actions decides."""
-    tests = action_predicates(params)
-    return aggregate_sessions(actions, **{name: F.coalesce(F.bool_or(test), F.lit(False)) for name, test in tests.items()})
+    """All sessions, with a flag for each list of ``params`` that one of their actions decides.
+
+    The lists are tables that the log is joined with, so a plan does not grow with them.
+    """
+    lists = action_lists(params)
+    for name, (column, values) in lists.items():
+        actions = mark_listed(actions, column, values, name)
+    return aggregate_sessions(actions, **{name: F.coalesce(F.bool_or(name), F.lit(False)) for name in lists})
 
 
 def matching_sessions(flagged: DataFrame, users: DataFrame, params: TaskParams) -> DataFrame:
     """``filtered_sessions`` from the result of ``flagged_sessions``."""
-    flags = list(action_predicates(params))
-    return keep_all(join_users(flagged, users), [*user_predicates(params), *[F.col(name) for name in flags]]).drop(*flags)
+    flags = list(action_lists(params))
+    return join_users(keep_all(flagged, [F.col(name) for name in flags]), filter_users(users, params)).drop(*flags)
 
 
 def render_lists(sessions: DataFrame) -> DataFrame:
@@ -150,6 +155,18 @@ def _on_session(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
     return left.join(named, F.expr("session_id <=> __session"), how).drop("__session")
 
 
+def join_in_buckets(actions: DataFrame, sessions: DataFrame, how: str = "inner") -> DataFrame:
+    """``join_sessions`` for a log bucketed by session and sessions that were aggregated from it: no shuffle.
+
+    The NULL session is joined by itself; only its bucket is read for that.
+    """
+    named = sessions.withColumnRenamed("session_id", "__session")
+    known = actions.join(named, F.col("session_id") == F.col("__session"), how).drop("__session")
+    null_rows, null_session = actions.where("session_id IS NULL"), named.where("__session IS NULL")
+    unknown = null_rows.join(small(null_session, 1), F.col("session_id").isNull() == F.col("__session").isNull(), how).drop("__session")
+    return known.unionByName(unknown)
+
+
 def session_detail(actions: DataFrame, sessions: DataFrame, long: DataFrame | None = None) -> DataFrame:
     """Actions of the given sessions, each once; ``long`` as in ``join_sessions``."""
     detail = actions.select(*detail_columns(actions))
@@ -184,16 +201,29 @@ def step_length_histogram(sessions: DataFrame) -> DataFrame:
     return _histogram(sessions, "step_length", STEP_BUCKETS)
 
 
+def stat_counts() -> list[Column]:
+    """The counts that ``session_aggr_stat`` is made of: aggregates over sessions."""
+    tests = [_in_bucket("visit_length", *bounds) for bounds in VISIT_BUCKETS.values()]
+    tests += [_in_bucket("step_length", *bounds) for bounds in STEP_BUCKETS.values()]
+    names = [*VISIT_RATIOS, *STEP_RATIOS]
+    return [F.count("*").alias("session_count"), *[F.expr(f"count_if({test})").alias(name) for name, test in zip(names, tests)]]
+
+
+def stat_shares(counts: DataFrame) -> DataFrame:
+    """The row of ``stat_counts`` as counts of all sessions and shares of each bucket."""
+    return counts.select("session_count", *[ratio(name, "session_count").alias(name) for name in [*VISIT_RATIOS, *STEP_RATIOS]])
+
+
 def session_aggr_stat(sessions: DataFrame) -> DataFrame:
     """One row: the number of sessions and the share of each bucket, rounded to 2 places.
 
     Shares are NULL when there is no session.
     """
-    tests = [_in_bucket("visit_length", *bounds) for bounds in VISIT_BUCKETS.values()]
-    tests += [_in_bucket("step_length", *bounds) for bounds in STEP_BUCKETS.values()]
-    names = [*VISIT_RATIOS, *STEP_RATIOS]
-    counts = sessions.agg(
-        F.count("*").alias("session_count"),
-        *[F.expr(f"count_if({test}) AS {name}") for name, test in zip(names, tests)],
-    )
-    return counts.select("session_count", *[ratio(name, "session_count").alias(name) for name in names])
+    return stat_shares(sessions.agg(*stat_counts()))
+
+
+def stat_of_totals(spark: SparkSession, totals: dict) -> DataFrame:
+    """``session_aggr_stat`` from the values of ``stat_counts``, as they were observed."""
+    names = ["session_count", *VISIT_RATIOS, *STEP_RATIOS]
+    values = [tuple(totals.get(name, 0) for name in names)]
+    return stat_shares(spark.createDataFrame(values, ", ".join(f"{name} bigint" for name in names)))

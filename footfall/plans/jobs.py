@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from footfall.operators import areas, categories, page_flow, sampling, sessions
 from footfall.params import TaskParams
-from footfall.plans.staging import staged
+from footfall.plans.staging import counted, staged
 from footfall.sources.tables import action_date_range
 
 
@@ -21,13 +21,14 @@ def run_session_analysis(
 ) -> None:
     """Statistics, sample, top categories and top sessions of the sessions that match ``params``.
 
-    The matching sessions are computed once, and so are their counts by category; the
-    rankings read only those counts. Nothing but the parameters is on the driver.
+    The matching sessions are computed once, and the statistics are counted as they are written;
+    so are their counts by category, and the rankings read only those counts. Nothing but the parameters is on the driver.
     """
     actions = action_date_range(actions, *params.date_range())
     matching = sessions.filtered_sessions(actions, users, params)
-    with staged(matching.select("session_id", "start_time", "visit_length", "step_length")) as matching:
-        results.write(sessions.session_aggr_stat(matching), "session_aggr_stat", task_id)
+    matching = matching.select("session_id", "start_time", "visit_length", "step_length")
+    with counted(matching, sessions.stat_counts()) as (matching, totals):
+        results.write(sessions.stat_of_totals(actions.sparkSession, totals), "session_aggr_stat", task_id)
         with staged(sampling.sample_sessions(matching, sample_size, seed)) as sampled:
             detail = sampling.sampled_detail(actions, sampled, sample_size)
             results.write(sampling.sample_report(detail), "session_random_extract", task_id)

@@ -299,6 +299,10 @@ _RESULTS = {
     "product_status": """
       SELECT product_id, product_name, CASE WHEN status = 0 THEN '自营' ELSE '第三方' END AS product_status
       FROM product_info""",
+    "heavy_keys": "SELECT user_id, count(*) AS n FROM every_action GROUP BY user_id ORDER BY n DESC, user_id LIMIT 5",
+    "bucketed_session_aggregate": "SELECT * FROM session",
+    "bucketed_session_detail": f"SELECT {_DETAIL} FROM detail",
+    "bucketed_page_split_pv": "SELECT * FROM split_n",
     "hot_keys": "SELECT user_id, count(*) AS n FROM every_action GROUP BY user_id ORDER BY n DESC, user_id LIMIT 5",
     "date_functions": """
       SELECT

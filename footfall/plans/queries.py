@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from footfall.params import TaskParams
 from footfall.plans import jobs
 from footfall.plans.staging import kept
 from footfall.schemas import SESSION_COLUMNS, USER_COLUMNS
-from footfall.sources import fixtures, tables
+from footfall.sources import fixtures, layout, tables
 from footfall.sources.results import result_rows
 
 PARAMS = TaskParams(
@@ -28,6 +29,8 @@ PROFESSIONALS = [f"professional{n}" for n in (1, 2, 3, 5, 8, 13, 21, 34, 55, 89)
 KEYWORDS = ["kw1", "kw4", "kw7"]
 SAMPLE_SIZE, LARGE_SAMPLE_SIZE, SAMPLE_SEED = 900, 6000, 42
 HOT_KEYS = 5
+SESSIONS_PER_PART = 8
+BUCKETS = 8
 TASK_ID = 7
 # A range that leaves rows out at both ends.
 PART_OF_THE_LOG = "2024-01-05", "2024-01-20"
@@ -125,7 +128,7 @@ def session_full_info(spark, sf_dir):
 def skew_join_sessions(spark, sf_dir):
     aggregated = sessions.aggregate_sessions(_actions(spark, sf_dir))
     users = fixtures.user_info(spark, sf_dir).select("user_id", *USER_COLUMNS)
-    joined = skew.skew_join(aggregated, users, "user_id", HOT_KEYS, row_id="session_id")
+    joined = skew.skew_join(aggregated, users, "user_id", SESSIONS_PER_PART, row_id="session_id")
     return sessions.render_lists(joined.select(*SESSION_COLUMNS, *USER_COLUMNS))
 
 
@@ -355,6 +358,39 @@ def hot_keys(spark, sf_dir):
     return skew.hot_keys(_every_action(spark, sf_dir).select("user_id"), "user_id", HOT_KEYS)
 
 
+@_query
+def heavy_keys(spark, sf_dir):
+    return skew.heavy_keys(_every_action(spark, sf_dir).select("user_id"), "user_id", HOT_KEYS)
+
+
+# A log that is bucketed by session
+
+
+def _bucketed(spark, sf_dir):
+    """The actions of all dates as a table of this application, written once."""
+    name = "by_session_" + hashlib.md5(f"{spark.sparkContext.applicationId} {sf_dir}".encode()).hexdigest()
+    if not spark.catalog.tableExists(name):
+        layout.write_by_session(_actions(spark, sf_dir), name, BUCKETS)
+    return layout.read_by_session(spark, name)
+
+
+@_query
+def bucketed_session_aggregate(spark, sf_dir):
+    return sessions.render_lists(sessions.aggregate_sessions(_bucketed(spark, sf_dir)))
+
+
+@_query
+def bucketed_session_detail(spark, sf_dir):
+    actions = _bucketed(spark, sf_dir)
+    matching = sessions.filtered_sessions(actions, fixtures.user_info(spark, sf_dir), PARAMS)
+    return sessions.join_in_buckets(actions.select(*sessions.detail_columns(actions)), matching.select("session_id"), "left_semi")
+
+
+@_query
+def bucketed_page_split_pv(spark, sf_dir):
+    return page_flow.page_split_views(page_flow.steps_in_buckets(_bucketed(spark, sf_dir)), PARAMS.page_flow())
+
+
 # Scalar functions over the tables
 
 

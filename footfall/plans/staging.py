@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def kept(df: DataFrame) -> DataFrame:
@@ -36,3 +38,30 @@ def staged(df: DataFrame):
         yield rows
     finally:
         rows.unpersist()
+
+
+@contextmanager
+def counted(df: DataFrame, totals: list[Column]) -> Iterator[tuple[DataFrame, dict]]:
+    """``df`` computed once for several readers, and the aggregates ``totals`` of all its rows, by name.
+
+    The rows are written to the shared folder, and the totals are observed by the tasks that
+    write them: no second read, and a task that is run again counts once, as its file does.
+    Without a shared folder the rows are kept on the executors and the totals read from them.
+    """
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        with staged(df) as rows:
+            yield rows, rows.agg(*totals).first().asDict()
+        return
+    seen, path = Observation(), f"{folder.rstrip('/')}/footfall-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.observe(seen, *totals).write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path), seen.get
+    finally:
+        _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

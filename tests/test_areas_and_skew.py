@@ -52,9 +52,23 @@ def right(spark):
     return spark.range(45).select((F.col("id") % 42).alias("k"), F.col("id").alias("w"))
 
 
-@pytest.mark.parametrize("n_hot, salts, row_id", [(1, 16, None), (1, 1, "v"), (5, 4, None), (3, 7, "v"), (100, 3, None)])
-def test_skew_join_equals_join(left, right, n_hot, salts, row_id):
-    assert rows(skew.skew_join(left, right, "k", n_hot, salts, row_id)) == rows(left.join(right, "k"))
+@pytest.mark.parametrize("rows_per_part, row_id", [(1, None), (3, "v"), (10, None), (50, "v"), (1000, None)])
+def test_skew_join_equals_join(left, right, rows_per_part, row_id):
+    assert rows(skew.skew_join(left, right, "k", rows_per_part, row_id)) == rows(left.join(right, "k"))
+
+
+def test_parts_follow_the_sizes_of_keys(spark):
+    """40 hot keys of 1,000 to 40,000 rows and 2,000 small ones: no part is twice as large as asked for."""
+    sizes = {key: 1000 * (key + 1) for key in range(40)} | {key: 2 for key in range(100, 2100)}
+    table = spark.createDataFrame(list(sizes.items()), "k int, n int")
+    left = table.select("k", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("v")).repartition(4, "v")
+    parts = skew.key_parts(left, "k", 2000)
+    assert {row.k: row.parts for row in parts.collect()} == {key: -(-n // 2000) for key, n in sizes.items() if n > 2000}
+    for row_id in ("v", None):
+        found = skew.dealt(left, parts, "k", row_id).groupBy("k", "__part").count().collect()
+        assert max(row["count"] for row in found) <= 4000
+        assert len(found) == sum(-(-n // 2000) for n in sizes.values())
+        assert sum(row["count"] for row in found) == sum(sizes.values())
 
 
 def test_equal_rows_of_a_hot_key_are_spread(spark):
@@ -65,7 +79,7 @@ def test_equal_rows_of_a_hot_key_are_spread(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.shuffle.partitions", "64")
     try:
-        joined = skew.skew_join(left, right, "k", salts=16)
+        joined = skew.skew_join(left, right, "k", 63)
         used = joined.select(F.spark_partition_id().alias("p")).distinct().count()
         assert joined.count() == 1000
     finally:
@@ -92,6 +106,37 @@ def test_hot_keys_of_equal_rows(left):
         assert [tuple(row) for row in skew.hot_keys(keys, "k").collect()] == [(seed, 200)]
 
 
+def _no_full_count(monkeypatch):
+    def fail(*_):
+        raise AssertionError("all keys were counted")
+
+    monkeypatch.setattr(skew, "hot_keys", fail)
+
+
+def test_heavy_keys_that_stand_out_are_found_by_the_summary(spark, monkeypatch):
+    """Three heavy keys among 60,000 others, more than the summary keeps; ties go to the smaller key."""
+    heavy = F.when(F.col("id") % 10 < 2, -1).when(F.col("id") % 10 < 3, -3).when(F.col("id") % 10 < 4, -2)
+    keys = spark.range(100_000).select(F.coalesce(heavy, F.col("id")).alias("k"))
+    expected = [tuple(row) for row in skew.hot_keys(keys, "k", 3).collect()]
+    assert expected == [(-1, 20_000), (-3, 10_000), (-2, 10_000)]
+    _no_full_count(monkeypatch)
+    assert [tuple(row) for row in skew.heavy_keys(keys, "k", 3, kept=1024).collect()] == expected
+
+
+def test_heavy_keys_of_few_values(spark, monkeypatch):
+    keys = spark.range(1000).select(F.concat(F.lit("k"), F.floor(F.sqrt("id"))).alias("k"))
+    expected = [tuple(row) for row in skew.hot_keys(keys, "k", 4).collect()]
+    assert [tuple(row) for row in skew.heavy_keys(keys, "k", 4).collect()] == expected
+    # Fewer keys than asked for, and none at all.
+    assert skew.heavy_keys(keys, "k", 40).count() == 32
+    assert skew.heavy_keys(keys.where("k IS NULL"), "k", 3).count() == 0
+
+
+def test_heavy_keys_of_uniform_data_are_counted(spark):
+    keys = spark.range(30_000).select((F.col("id") % 15_000).alias("k"))
+    assert [tuple(row) for row in skew.heavy_keys(keys, "k", 3, kept=64).collect()] == [(0, 2), (1, 2), (2, 2)]
+
+
 @pytest.mark.parametrize("salts", [1, 3, 10])
 def test_salted_count_equals_count(left, salts):
     plain = left.groupBy("k").agg(F.count("*").alias("n"))

@@ -5,10 +5,12 @@ import json
 import pytest
 from helpers import rows
 from pyspark import StorageLevel
+from pyspark.sql import functions as F
 
 from footfall.__main__ import parser, run
+from footfall.operators import sessions
 from footfall.plans import jobs, queries
-from footfall.plans.staging import staged
+from footfall.plans.staging import counted, staged
 from footfall.schemas import RESULT_COLUMNS, TASK
 from footfall.sources import fixtures
 from footfall.sources.results import ParquetResults
@@ -102,3 +104,30 @@ def test_results_do_not_depend_on_the_number_of_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_totals_are_observed_while_rows_are_written(spark, monkeypatch):
+    df = spark.range(1000).repartition(5).selectExpr("id", "id % 7 AS visit_length", "id % 9 AS step_length")
+    expected = rows(sessions.session_aggr_stat(df))
+    with counted(df, sessions.stat_counts()) as (kept, totals):
+        assert rows(sessions.stat_of_totals(spark, totals)) == expected
+        assert kept.count() == 1000
+        assert "FileScan parquet" in kept._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(Exception, match="(?i)path|file"):
+        kept.count()  # deleted with its last reader
+
+
+def test_totals_without_a_folder_are_counted(spark, monkeypatch):
+    real = spark.conf
+
+    class Unset:
+        def get(self, name, *default):
+            return None if name == "spark.checkpoint.dir" else real.get(name, *default)
+
+    df = spark.range(9).selectExpr("id", "id AS visit_length", "id AS step_length").where("id < 0")
+    monkeypatch.setitem(vars(df.sparkSession), "conf", Unset())
+    with counted(df, [F.count("*").alias("session_count")]) as (kept, totals):
+        assert totals == {"session_count": 0} and kept.count() == 0
+    monkeypatch.undo()
+    found = sessions.stat_of_totals(spark, totals).first()
+    assert found.session_count == 0 and found[1] is None
