@@ -13,15 +13,22 @@ the ranks that matter are looked at, about COORDINATES * ln(COORDINATES) darts a
    bucket with a probability of 3 in 100,000.
 3. In a bucket each text is compared with the most central one, that whose buckets hold the
    most texts: of a group of edited copies, mostly the text that they were made from.
-4. Where a bucket then holds several components, all its texts are compared with a few of it,
-   where it still does, with some more, and at last with all the rest; but never two texts of
-   one component. So no link within a bucket is lost, and large groups grow together before
-   many of their pairs are looked at.
+4. Where a bucket then holds several components, the shingles of its texts are counted. A text's
+   own shingles, that no other such text has, can't be shared: a text with too many of them to
+   reach the threshold with any size of text in the bucket leaves it. This is exact and linear,
+   and of a group of edited copies it takes out those that are too far from all the others.
+5. What is left is compared with the few texts of the bucket that have the fewest shingles of
+   their own, which are the nearest to what a group was made from; where there still are several
+   components with some more of them, and at last with all the rest; but never two texts of one
+   component, or two whose own shingles rule the threshold out. So no link within a bucket is
+   lost, and groups grow together before many of their pairs are looked at. Only texts that link
+   to none of the 64 nearest to the origin, and yet have few shingles of their own, are compared
+   with each other; their pairs grow with the square of their number.
 
 Before two texts are compared, their sizes must allow the threshold, and of 4 bits of each
 coordinate no more may differ than 6 standard deviations from what the threshold lets expect
 (a pair at the threshold fails this once in a billion). Exact weighted Jaccard then decides.
-5. Components are the classes.
+6. Components are the classes.
 
 Pairs of a text that is compared very often are dealt over several tasks. Texts of fewer
 than five words have one shingle; texts without a word are compared as they stand, so that
@@ -37,7 +44,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.llm.common import map_columns, staged
@@ -47,7 +54,7 @@ from footfall.llm.words import mixed, shingles, unit, word_hashes
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 26, 5
 COORDINATES = BANDS * ROWS
-#: Texts of an open bucket, about, that all its others have been compared with after each round; the last takes all.
+#: Texts of an open bucket that all its others have been compared with after each round; the last takes all.
 ROUNDS = (8, 64, math.inf)
 #: Pairs with one text that a task is to have, about.
 SHARE = 2000
@@ -160,7 +167,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             for text in batch["_text"]:
                 found, counts = weighted(word_hashes(text))
                 number = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-                out.append(np.sort(mixed(np.repeat(found, counts) + number.astype("u8") * _ROW) >> np.uint64(32)).astype("u4").tobytes())
+                out.append(np.sort(mixed(np.repeat(found, counts) + number.astype("u8") * _ROW) ).astype("<u8").tobytes())
             yield {"key": batch["key"], "items": out}
 
     texts = _texts(docs).join(wanted, F.expr("_id <=> wanted_id") & F.expr("_hash = wanted_hash")).select("key", "_text")
@@ -174,9 +181,9 @@ def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
         for batch in batches:
             out = {"a": [], "b": []}
             for a, b, x, y in zip(batch["a"], batch["b"], batch["x"], batch["y"], strict=True):
-                n, m = len(x) // 4, len(y) // 4
+                n, m = len(x) // 8, len(y) // 8
                 if min(n, m) >= threshold * max(n, m) - 1e-9:
-                    both = len(np.intersect1d(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")))
+                    both = len(np.intersect1d(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), assume_unique=True))
                     if both >= threshold * (n + m - both) - 1e-9:
                         out["a"].append(a)
                         out["b"].append(b)
@@ -198,8 +205,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     shared = texts.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = staged(texts.join(shared, "bucket"), "members")
     keys = members.groupBy("key").agg(F.sum("size").alias("central"))
-    one = sketches.join(keys, "key").groupBy("key", "central").agg(F.min(F.struct("_id", "_hash")).alias("x"), F.min(F.struct("n", "bits")).alias("info"))
-    known = staged(one, "texts")
+    one = sketches.groupBy("key").agg(F.min(F.struct("_id", "_hash")).alias("x"), F.min(F.struct("n", "bits")).alias("info"))
+    known = staged(one.join(keys, "key"), "texts")
     info = known.select("key", "info")
 
     hubs = members.join(known.select("key", "central"), "key").groupBy("bucket").agg(F.max(F.struct("central", "key")).alias("hub"))
@@ -210,12 +217,11 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     sets = staged(_sets(docs, known.select("key", F.col("x._id").alias("wanted_id"), F.col("x._hash").alias("wanted_hash"))), "sets")
     edges = staged(_similar(pairs, sets, threshold), "similar")
 
-    label, done = components(edges), 0.0
+    label = components(edges)
+    rows = staged(_open_rows(_named(members, label).join(info, "key"), sets, threshold), "open")
+    done = 0
     for until in ROUNDS:
-        named = members.join(label.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
-        several = named.groupBy("bucket").agg((F.min("label") < F.max("label")).alias("open")).where("open").select("bucket")
-        open_ = staged(named.join(several, "bucket").where(f"size > {done}").join(info, "key"), "open")
-        rest = _compared(open_, done, until, threshold).join(tried, ["a", "b"], "left_anti").join(tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
+        rest = _compared(_several(_named(rows, label)), done, until, threshold).join(tried, ["a", "b"], "left_anti").join(tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
         found = staged(_similar(staged(rest, "rest"), sets, threshold), "similar")
         if not found.isEmpty():
             edges = staged(edges.union(found), "similar")
@@ -224,15 +230,57 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return sketches.join(label.withColumnRenamed("node", "key"), "key", "left").select("_id", "_hash", "key", F.coalesce("label", "key").alias("label"))
 
 
-def _compared(open_: DataFrame, done: float, until: float, threshold: float) -> DataFrame:
-    """Pairs (a, b) of a round. Of a bucket of n texts, b are those whose place by hash is from done/n to until/n, and
-    a those of other components from done/n on: pairs with earlier ones have been compared."""
-    place = (F.xxhash64("key") / F.lit(2.0**64) + 0.5) * F.col("size")
-    placed = open_.withColumn("place", place).where(f"place >= {done}")
-    last = F.lit(True) if until == math.inf else F.col("place") < until
-    b = placed.where(last).select(F.col("bucket").alias("its"), F.col("key").alias("b"), F.col("label").alias("other"), F.col("info").alias("y"))
-    a = placed.select("bucket", F.col("key").alias("a"), "label", last.alias("among"), F.col("info").alias("x"))
-    met = F.expr("bucket = its and label <> other and (not among or a > b)") & _may_be_similar("x", "y", threshold)
+def _named(rows: DataFrame, label: DataFrame) -> DataFrame:
+    """rows of keys with the label of their component."""
+    return rows.join(label.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
+
+
+def _several(rows: DataFrame) -> DataFrame:
+    """The rows of buckets that hold several components."""
+    open_ = rows.groupBy("bucket").agg((F.min("label") < F.max("label")).alias("open")).where("open").select("bucket")
+    return rows.join(open_, "bucket")
+
+
+def _open_rows(named: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """bucket, key, info, own, rank of the texts that can have a link to another component of a bucket.
+
+    own is the number of shingles that no other text of an open bucket has, rank the place among
+    the bucket's texts by it, up to the last but one of ROUNDS.
+    """
+    rows = staged(_several(named), "open").select("bucket", "key", "info")
+    shared = threshold / (1 + threshold)
+
+    def each(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
+        for batch in batches:
+            for key, items in zip(batch["key"], batch["items"], strict=True):
+                values = np.frombuffer(items, "<i8").tolist()
+                yield {"key": [key] * len(values), "item": values}
+
+    items = map_columns(sets.join(rows.select("key").distinct(), "key"), each, "key binary, item long")
+    alone = items.groupBy("item").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("key")).where("n = 1")
+    own = alone.groupBy("key").agg(F.count(F.lit(1)).alias("own"))
+    counted = rows.join(own, "key", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    sizes = rows.groupBy("bucket").agg(F.collect_set("info.n").alias("sizes"))
+    n = F.col("info.n")
+    least = F.array_min(F.filter("sizes", lambda m: m >= threshold * n - 1e-9))
+    able = staged(counted.join(sizes, "bucket").where(n - F.col("own") >= shared * (n + least) - 1e-9).drop("sizes"), "able")
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy("own", "key"))
+    first = able.select("bucket", "key", "own").withColumn("rank", place).where(F.col("rank") <= ROUNDS[-2]).select("bucket", "key", "rank")
+    return able.join(first, ["bucket", "key"], "left").withColumn("rank", F.coalesce("rank", F.lit(2**31 - 1)))
+
+
+def _compared(rows: DataFrame, done: int, until: float, threshold: float) -> DataFrame:
+    """Pairs (a, b) of a round. Of a bucket, b are the texts of ranks above done and up to until, and a those of
+    other components of ranks above done: pairs with earlier ones have been compared."""
+    shared = threshold / (1 + threshold)
+    placed = staged(rows, "round").where(F.col("rank") > done)
+    last = F.lit(True) if until == math.inf else F.col("rank") <= until
+    named = lambda *names: [F.col("info").alias(names[0]), F.col("own").alias(names[1])]
+    b = placed.where(last).select(F.col("bucket").alias("its"), F.col("key").alias("b"), F.col("label").alias("other"), *named("y", "own_y"))
+    a = placed.select("bucket", F.col("key").alias("a"), "label", last.alias("among"), *named("x", "own_x"))
+    n, m = F.col("x.n"), F.col("y.n")
+    reach = F.least(n - F.col("own_x"), m - F.col("own_y")) >= shared * (n + m) - 1e-9
+    met = F.expr("bucket = its and label <> other and (not among or a > b)") & reach & _may_be_similar("x", "y", threshold)
     return a.join(b, met).select("a", "b").distinct()
 
 

@@ -169,3 +169,48 @@ def test_similar_documents_equal_brute_force(spark, threshold):
     assert len(expected) >= 20
     assert Counter((frozenset([r.a, r.b]), r.likeness) for r in spotsigs.similar(documents(spark, rows), threshold).collect()) == expected
     assert spotsigs.similar(documents(spark, rows).limit(0)).count() == 0
+
+
+def edited_copies(count, edits, with_base):
+    rng, base = random.Random(4), prose(99, 150).split()
+    texts = [" ".join(base)] if with_base else []
+    for i in range(count):
+        words = list(base)
+        for place in rng.sample(range(150), rng.choice(edits)):
+            words[place] = f"new{i}at{place}"
+        texts.append(" ".join(words))
+    return texts
+
+
+def classes_of(texts, threshold):
+    """Components by all pairs, from a matrix of texts by shingles."""
+    grams = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    number = {g: i for i, g in enumerate(sorted(set().union(*grams)))}
+    held = np.zeros((len(texts), len(number)), "f4")
+    for i, found in enumerate(grams):
+        held[i, [number[g] for g in found]] = 1
+    shared, sizes = held @ held.T, held.sum(1)
+    near = shared >= threshold * (sizes[:, None] + sizes[None] - shared) - 1e-3
+    label = np.arange(len(texts))
+    while True:
+        least = np.where(near, label[None], len(texts)).min(1)
+        if (least == label).all():
+            return label
+        label = least
+
+
+@pytest.mark.parametrize("count, edits, with_base, most", [(300, (3,), False, 45_000), (2000, (1, 2, 3, 4, 5, 6), True, 60_000)])
+def test_a_large_group_of_edited_copies(spark, monkeypatch, count, edits, with_base, most):
+    """Copies of which most are under 0.8 to each other: whole classes, and for 2,000 far fewer pairs than there are."""
+    texts, compared, plain = edited_copies(count, edits, with_base), [], dart_minhash._similar
+
+    def watched(pairs, *rest):
+        compared.append(pairs.count())
+        return plain(pairs, *rest)
+
+    monkeypatch.setattr(dart_minhash, "_similar", watched)
+    found = dart_minhash.near_duplicates(documents(spark, list(enumerate(texts)), clashing=False)).collect()
+    expected = classes_of(texts, 0.8)
+    assert {r.doc_id: r.class_id for r in found} == dict(enumerate(expected.tolist()))
+    assert 1 < len(set(expected.tolist())) < count
+    assert sum(compared) < most
