@@ -6,13 +6,14 @@ import html
 import re
 from typing import NamedTuple
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|$)|[^<]+|<""", re.S)
+_TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)(?:>|$)|[^<]++|<""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _WORD = re.compile(r"[a-z]+")
 
 # Elements of the HTML standard by kind.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title noembed noframes xmp iframe".split())
+_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*+(?:>|$)", re.I) for tag in _RAW}
 _INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 _CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
@@ -78,13 +79,10 @@ def blocks(page: str) -> tuple[list[Block], dict[str, int]]:
             out.append(Block(owner.path, text, min(links, len(text)), owner.outside or title_part, owner.main))
         words, links = [], 0
 
-    raw = None
-    for m in _TOKEN.finditer(page):
+    at = 0
+    while m := _TOKEN.match(page, at):
+        at = m.end()
         closing, tag, attributes = m[1], m[2], m[3]
-        if raw:
-            if tag and closing and tag.lower() == raw:
-                raw = None
-            continue
         if tag is None:
             if m[0][0] != "<" or m[0] == "<":
                 top = stack[-1]
@@ -123,7 +121,9 @@ def blocks(page: str) -> tuple[list[Block], dict[str, int]]:
         if tag not in _INLINE:
             paths[new.path] = paths.get(new.path, 0) + 1
         if tag in _RAW and not attributes.rstrip().endswith("/"):
-            raw = tag
+            # Nothing in it is markup but its end tag; without one it goes on to the end of the page.
+            end = _END[tag].search(page, at)
+            at = end.end() if end else len(page)
         elif tag not in _VOID:
             stack.append(new)
     end_block()

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from corpora import CLASHING, PLAIN, documents, prose
 
-from footfall.llm import charnet, html_extract, license_scan, posting_lists, secret_scan, toxicity
+from footfall.llm import charnet, html_blocks, html_extract, license_scan, posting_lists, secret_scan, toxicity
 from footfall.llm.block_max import BlockMax
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -280,3 +280,30 @@ def test_vectors_that_take_no_part(spark):
     found = sorted(tuple(r) for r in posting_lists.nearest(table, lambda i: i % 20 == 0).collect())
     assert found == [(0, 1, 1, 1.0), (0, 2, 2, 1.0), (0, 3, 20, 0.0), (20, 1, 0, 0.0), (20, 2, 1, 0.0), (20, 3, 2, 0.0)]
     assert posting_lists.nearest(table.limit(0), lambda i: i % 20 == 0).count() == 0
+
+
+@pytest.mark.parametrize(
+    "script",
+    [
+        "for(i=0;i<n;i++){a[i]=1}", "if(a<b)x()", "x='</div><article>no'", "<!-- a<b 'c", "var s=\"it's <p>\"", "a</scriptx>b", "x < y && \"",
+    ],
+)
+def test_scripts_do_not_swallow_the_page(script):
+    page = f"<html><body><nav>menu</nav><script>{script}</script><article><p>The text.</p></article><style>a<b{{}}</style><p>end</p></body></html>"
+    found, _ = html_blocks.blocks(page)
+    assert [b.text for b in found if not b.outside] == ["The text.", "end"]
+    unclosed, _ = html_blocks.blocks(f"<p>Before</p><script>{script}")
+    assert [b.text for b in unclosed] == ["Before"]
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<a b='", "<script>", "<!--", "<", "<p>x", "</", "<a \"'"])
+def test_broken_pages_take_linear_time(piece):
+    import time
+
+    def seconds(n):
+        start = time.process_time()
+        html_blocks.blocks(piece * n + "'")
+        return time.process_time() - start
+
+    seconds(1000)
+    assert seconds(400_000 // len(piece)) < 20 * max(0.05, seconds(40_000 // len(piece)))
