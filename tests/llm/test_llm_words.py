@@ -217,3 +217,11 @@ def test_search_in_empty_tables(spark):
     table = spark.createDataFrame(items, "item_id long, text string")
     assert mask_search.ranked(documents(spark, rows).limit(0), table).count() == 0
     assert mask_search.ranked(documents(spark, rows), table.limit(0)).count() == 0
+
+
+def test_a_bound_on_labels_takes_a_sample_of_both_kinds(spark):
+    table = spark.createDataFrame([(i, i % 2) for i in range(4000)], "doc_id long, quality int")
+    every, some = (quality._labels(table, bound).collect() for bound in (4000, 1000))
+    assert len(every) == 4000 and 850 < len(some) < 1150
+    assert set(map(tuple, some)) <= set(map(tuple, every))
+    assert min(Counter((r.trusted, r.teaches) for r in some).values()) > 150
