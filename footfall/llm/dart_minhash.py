@@ -64,6 +64,12 @@ SHARE = 2000
 #: Bits of the texts that are compared in rounds.
 LONG_BITS = 2048
 
+#: Darts that are thrown at once, about.
+DARTS = 60_000
+
+#: Darts below the first rank tried: all coordinates have one but in a case of 20.
+_EXPECTED = COORDINATES * (math.log(COORDINATES) + 3)
+
 #: Longs that hold 4 bits of each coordinate.
 _LONGS = -(-COORDINATES // 16)
 
@@ -75,8 +81,10 @@ def weighted(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(shingles(hashes, SHINGLE), return_counts=True)
 
 
-def _darts(elements: np.ndarray, weights: np.ndarray, until: float):
-    """Coordinate, rank and id of all darts of rank below `until` that lie below the weights."""
+def _darts(elements: np.ndarray, weights: np.ndarray, until: np.ndarray, step: int):
+    """Element, coordinate, rank and id of all darts that lie below the weights, of a rank below the element's `until`.
+
+    `step` darts of a region are thrown at a time."""
     layers = np.where(weights > 1, np.ceil(np.log2(np.maximum(weights, 1))), 0).astype("i8") + 1
     owner = np.repeat(np.arange(len(elements)), layers)
     layer = np.arange(len(owner)) - np.repeat(np.cumsum(layers) - layers, layers)
@@ -84,50 +92,78 @@ def _darts(elements: np.ndarray, weights: np.ndarray, until: float):
     width = np.maximum(low, 1.0)
     seed = mixed(elements[owner] + layer.astype("u8") * _ROW)
     rank, number, found = np.zeros(len(owner)), 0, []
-    step = max(1, math.ceil(1.3 * until))
     while len(owner):
         numbers = (np.arange(number + 1, number + step + 1).astype("u8") * _STEP)[None]
         dart = mixed(seed[:, None] + numbers)
         ranks = rank[:, None] + np.cumsum(-np.log(unit(dart)), 1) / width[:, None]
-        place = mixed(dart + _ROW)
-        hit = (ranks < until) & (low[:, None] + width[:, None] * unit(place) <= weights[owner][:, None])
-        found.append((ranks[hit], place[hit]))
+        row, column = np.nonzero(ranks < until[owner][:, None])
+        place = mixed(dart[row, column] + _ROW)
+        hit = low[row] + width[row] * unit(place) <= weights[owner[row]]
+        row, column, place = row[hit], column[hit], place[hit]
+        found.append((owner[row], ranks[row, column], place))
         number += step
-        on = ranks[:, -1] < until
+        on = ranks[:, -1] < until[owner]
         owner, low, width, seed, rank = owner[on], low[on], width[on], seed[on], ranks[on, -1]
-    ranks, places = (np.concatenate([f[i] for f in found]) for i in range(2))
+    owners, ranks, places = (np.concatenate([f[i] for f in found]) for i in range(3))
     ids = mixed(places + _STEP)
-    return (ids % np.uint64(COORDINATES)).astype("i8"), ranks, ids
+    return owners, (ids % np.uint64(COORDINATES)).astype("i8"), ranks, ids
+
+
+def _together(sets: list[tuple[np.ndarray, np.ndarray]], more: float) -> np.ndarray:
+    """Signatures of a few sets of about the same weight."""
+    elements, weights = (np.concatenate([s[i] for s in sets]) for i in range(2))
+    owner = np.repeat(np.arange(len(sets)), [len(s[0]) for s in sets])
+    until = more * _EXPECTED / np.bincount(owner, weights)
+    element, coordinate, ranks, ids = _darts(elements, weights, until[owner], max(1, math.ceil(1.3 * until.max())))
+    # Written from the latest to the earliest: the earliest stays.
+    order = np.argsort(ranks)[::-1]
+    first = np.full(len(sets) * COORDINATES, -1)
+    first[(owner[element] * COORDINATES + coordinate)[order]] = order
+    out, whole = ids[first].reshape(-1, COORDINATES), (first >= 0).reshape(-1, COORDINATES).all(1)
+    for i in np.flatnonzero(~whole):
+        out[i] = _together([sets[i]], 2 * more)[0]
+    return out
+
+
+def signatures(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The earliest dart of each coordinate, a row for each set of (elements, weights); none may be empty.
+
+    Sets of about the same weight are thrown at together, DARTS darts or one set at a time."""
+    out = np.empty((len(sets), COORDINATES), "u8")
+    total = np.array([weights.sum() for _, weights in sets])
+    batch: list[int] = []
+    darts = 0.0
+    for i in np.argsort(total, kind="stable"):
+        # Most darts are thrown where all sets of a batch are as light as its first.
+        thrown = len(sets[i][0]) * max(1.0, _EXPECTED / total[batch[0] if batch else i])
+        if batch and darts + thrown > DARTS:
+            out[batch], batch, darts = _together([sets[j] for j in batch], 1), [], 0.0
+        batch.append(i)
+        darts += thrown
+    if batch:
+        out[batch] = _together([sets[j] for j in batch], 1)
+    return out
 
 
 def signature(elements: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """The earliest dart of each coordinate."""
-    until = COORDINATES * (math.log(COORDINATES) + 3) / weights.sum()
-    while True:
-        coordinate, ranks, ids = _darts(elements, weights, until)
-        # Written from the latest to the earliest: the earliest stays.
-        order = np.argsort(ranks)[::-1]
-        first = np.full(COORDINATES, -1)
-        first[coordinate[order]] = order
-        if (first >= 0).all():
-            return ids[first]
-        until *= 2
+    """The signature of one set."""
+    return signatures([(elements, weights)])[0]
 
 
 def bands(found: np.ndarray) -> np.ndarray:
-    """One bucket for each band, different for different bands."""
-    rows = found.reshape(BANDS, ROWS)
+    """Of each signature one bucket for each band, different for different bands."""
+    rows = found.reshape(-1, BANDS, ROWS)
     out = np.arange(1, BANDS + 1).astype("u8") * _ROW
     for i in range(ROWS):
-        out = mixed(out + rows[:, i])
+        out = mixed(out + rows[:, :, i])
     return out.view("i8")
 
 
 def four_bits(found: np.ndarray) -> np.ndarray:
-    """The lowest 4 bits of each coordinate, 16 to a long."""
-    low = np.zeros(16 * _LONGS, "u8")
-    low[: len(found)] = found & np.uint64(15)
-    return (low.reshape(_LONGS, 16) << (np.arange(16, dtype="u8") * np.uint64(4))).sum(1, dtype="u8").view("i8")
+    """Of each signature the lowest 4 bits of each coordinate, 16 to a long."""
+    low = np.zeros((len(found), 16 * _LONGS), "u8")
+    low[:, :COORDINATES] = found & np.uint64(15)
+    return (low.reshape(-1, _LONGS, 16) << (np.arange(16, dtype="u8") * np.uint64(4))).sum(2, dtype="u8").view("i8")
 
 
 def one_bits(items: np.ndarray) -> np.ndarray:
@@ -170,15 +206,17 @@ def _sketch(docs: DataFrame) -> DataFrame:
 
     def sketch(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
         for batch in batches:
-            keys, sizes, bits, buckets = [], [], [], []
+            keys, sets = [], []
             for text in batch["_text"]:
                 hashes = word_hashes(text)
                 keys.append(hashlib.blake2b(hashes.tobytes() if len(hashes) else b"text" + text.encode(), digest_size=16).digest())
-                elements, weights = weighted(hashes)
-                found = signature(elements, weights) if len(elements) else None
-                sizes.append(int(weights.sum()))
-                bits.append(four_bits(found).tolist() if found is not None else None)
-                buckets.append(bands(found).tolist() if found is not None else [])
+                sets.append(weighted(hashes))
+            sizes = [int(weights.sum()) for _, weights in sets]
+            some = [i for i, n in enumerate(sizes) if n]
+            found = signatures([sets[i] for i in some])
+            bits, buckets = [None] * len(sets), [[]] * len(sets)
+            for i, b, places in zip(some, four_bits(found).tolist(), bands(found).tolist(), strict=True):
+                bits[i], buckets[i] = b, places
             yield {"_id": batch["_id"], "_hash": batch["_hash"], "key": keys, "n": sizes, "bits": bits, "buckets": buckets}
 
     return map_columns(_texts(docs), sketch, schema)
