@@ -13,7 +13,8 @@ def hash64(raw: bytes) -> int:
 
 def plain(raw: str) -> str:
     """Letters and digits of a word, in lower case."""
-    return "".join(filter(str.isalnum, raw.lower()))
+    low = raw.lower()
+    return low if low.isalnum() else "".join(filter(str.isalnum, low))
 
 
 class _Known(dict):
