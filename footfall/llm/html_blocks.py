@@ -21,7 +21,8 @@ _HOLDS = frozenset("table ul ol dl article section div body main aside blockquot
 _OUTSIDE = frozenset("head script style noscript template nav footer aside form button select textarea iframe svg object canvas dialog menu title option".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _MAIN = frozenset(("article", "main"))
-# Words in class, id and role that mark what is not the article.
+# Words that mark what is not the article. As a whole class name, id or role they decide;
+# as a part of one (related-work, site-sidebar) they are a hint that the host's template confirms.
 _MARKS = frozenset(
     """ad ads advert adverts advertisement advertising sponsored sponsor promo promotion sidebar menu nav navigation navbar topnav breadcrumb breadcrumbs
     footer header masthead comment comments respond disqus replies cookie cookies consent gdpr notice notices banner alert popup modal newsletter subscribe
@@ -36,6 +37,7 @@ class Block(NamedTuple):
     links: int  # characters of its links
     outside: bool  # in an element that is never part of an article
     main: bool  # in an article or main element
+    marked: str  # path of the first element above it that a part of a class name, id or role speaks against; empty if none
 
 
 class _Open(NamedTuple):
@@ -45,27 +47,32 @@ class _Open(NamedTuple):
     main: bool
     link: bool
     header: bool
+    marked: str
 
 
 def _opened(tag: str, attributes: str, above: _Open) -> _Open:
     found = {k.lower(): (v or "").strip("\"'").lower() for k, v in _ATTRIBUTE.findall(attributes)} if attributes.strip() else {}
-    marks = set(_WORD.findall(" ".join(found.get(k, "") for k in ("class", "id", "role"))))
+    names = found.get("class", "").split()
+    against = _ARTICLE_MARKS if tag in _MAIN else _MARKS
+    said = {*names, found.get("id", ""), found.get("role", "")}
     outside = above.outside or tag in _OUTSIDE or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
-    if tag in _MAIN:
-        outside = outside or bool(marks & _ARTICLE_MARKS)
-    elif tag not in ("html", "body") and tag not in _HEADINGS and not (tag in _INLINE and above.main):
-        outside = outside or bool(marks & _MARKS)
+    listens = tag in _MAIN or not (tag in ("html", "body") or tag in _HEADINGS or (tag in _INLINE and above.main))
+    outside = outside or (listens and bool(said & against))
+    hinted = listens and any(against.intersection(_WORD.findall(x)) for x in said)
     header = tag == "header" or above.header
     if tag == "header" and not above.main:
         outside = True
-    name = tag + "".join(f".{x}" for x in sorted(set(found.get("class", "").split()))[:3])
-    inline = tag in _INLINE
-    return _Open(tag, above.path if inline else f"{above.path}/{name}", outside, (above.main or tag in _MAIN) and not outside, above.link or tag == "a", header)
+    name = tag + "".join(f".{x}" for x in sorted(set(names))).replace("/", "_")
+    path = above.path if tag in _INLINE else f"{above.path}/{name}"
+    # An inline element has no path of its own: what speaks against it counts at once.
+    outside = outside or (hinted and tag in _INLINE)
+    marked = above.marked or (path if hinted else "")
+    return _Open(tag, path, outside, (above.main or tag in _MAIN) and not outside, above.link or tag == "a", header, marked)
 
 
 def blocks(page: str) -> tuple[list[Block], dict[str, int]]:
     """Blocks in page order, and how often each path of block elements stands in the page."""
-    stack = [_Open("", "", False, False, False, False)]
+    stack = [_Open("", "", False, False, False, False, "")]
     out: list[Block] = []
     paths: dict[str, int] = {}
     words: list[str] = []
@@ -76,7 +83,7 @@ def blocks(page: str) -> tuple[list[Block], dict[str, int]]:
         text = " ".join("".join(words).split()) if words else ""
         if text:
             title_part = owner.header and owner.main and not any(o.tag in _HEADINGS for o in stack)
-            out.append(Block(owner.path, text, min(links, len(text)), owner.outside or title_part, owner.main))
+            out.append(Block(owner.path, text, min(links, len(text)), owner.outside or title_part, owner.main, owner.marked))
         words, links = [], 0
 
     at = 0
