@@ -216,11 +216,13 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, recall: float = RECALL) -
                 x = np.frombuffer(b"".join(r["x"] for r in own), "f8").reshape(len(own), -1)
                 q = np.frombuffer(b"".join(r["x"] for r in asked), "f8").reshape(len(asked), -1)
                 sims, out = q @ x.T, {"query_id": [], "rep": [], "score": []}
+                # What rounding can change in a product of vectors of this length, and more.
+                rounding = 1e-12 * np.sqrt((q**2).sum(1) * (x**2).sum(1).max())
                 for i, r in enumerate(asked):
                     # k + 1: one of them may be the query's own vector.
                     hits = np.flatnonzero(sims[i] >= r["bound"])
                     if len(hits) > k + 1:
-                        hits = hits[sims[i][hits] >= np.partition(sims[i][hits], -k - 1)[-k - 1] - 1e-12]
+                        hits = hits[sims[i][hits] >= np.partition(sims[i][hits], -k - 1)[-k - 1] - rounding[i]]
                     out["query_id"] += [r["id"]] * len(hits)
                     out["rep"] += [own[j]["id"] for j in hits]
                     out["score"] += (q[i] * x[hits]).sum(1).tolist()
