@@ -87,8 +87,10 @@ def _license_scan() -> str:
     import re
 
     phrases = ", ".join(f"({_list(p.split())}, '{label}')" for p, label in PHRASES.items())
-    templates = []
-    for label, text in TEMPLATES:
+    templates, widths = [], []
+    for i, (label, text) in enumerate(TEMPLATES):
+        words = [w for w in re.split(SEPARATORS, text.lower()) if w]
+        widths.append(f"({i}, '{label}', {_list(sorted(set(words)))}, {len(words)})")
         templates.append(f"({_list(sorted(set(filter(None, re.split(SEPARATORS, text.lower())))))}, '{label}')")
     return f"""
 WITH phrase AS (SELECT * FROM (VALUES {phrases}) AS t(p, label)),
@@ -121,7 +123,30 @@ b AS (
   FROM base GROUP BY doc_id
 ),
 m AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM named GROUP BY doc_id),
-s AS (SELECT doc_id, max(share) AS share FROM best GROUP BY doc_id)
+s AS (SELECT doc_id, max(share) AS share FROM best GROUP BY doc_id),
+kind AS (
+  SELECT k, label, width, len(ws) AS t, unnest(ws) AS word
+  FROM (VALUES {", ".join(widths)}) AS t(k, label, ws, width)
+),
+run AS (
+  SELECT doc_id, k, label, width, t, pos, count(DISTINCT word) OVER (
+    PARTITION BY doc_id, k ORDER BY pos RANGE BETWEEN CURRENT ROW AND width - 1 FOLLOWING
+  ) AS n
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS pos FROM doc) JOIN kind USING (word)
+),
+notice AS (
+  SELECT doc_id, label, n / t AS share, pos AS low, pos + width - 1 AS high FROM run WHERE 5 * n >= 4 * t
+  QUALIFY row_number() OVER (PARTITION BY doc_id, k ORDER BY n DESC, pos) = 1
+),
+wide AS (
+  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS share, min(low) AS low
+  FROM notice AS a
+  WHERE NOT EXISTS (
+    SELECT 1 FROM notice AS b
+    WHERE a.doc_id = b.doc_id AND b.share > a.share AND b.low <= a.high AND a.low <= b.high
+  )
+  GROUP BY doc_id
+)
 SELECT
   doc.doc_id,
   CAST(len(w) AS BIGINT) AS n_words,
@@ -130,8 +155,11 @@ SELECT
   b.high AS last_word,
   coalesce(b.labels, '') AS base_labels,
   coalesce(m.labels, '') AS labels,
-  CASE WHEN b.n > 0 THEN 1.0::DOUBLE ELSE coalesce(s.share, 0.0)::DOUBLE END AS score
-FROM doc LEFT JOIN b USING (doc_id) LEFT JOIN m USING (doc_id) LEFT JOIN s USING (doc_id)"""
+  CASE WHEN b.n > 0 THEN 1.0::DOUBLE ELSE coalesce(s.share, 0.0)::DOUBLE END AS score,
+  coalesce(wide.labels, '') AS notice_labels,
+  coalesce(wide.share, 0.0)::DOUBLE AS notice_score,
+  wide.low AS first_notice
+FROM doc LEFT JOIN b USING (doc_id) LEFT JOIN m USING (doc_id) LEFT JOIN s USING (doc_id) LEFT JOIN wide USING (doc_id)"""
 
 
 def oracle_sql() -> dict[str, str]:

@@ -2,7 +2,9 @@
 
 import hashlib
 import math
+import random
 import re
+import textwrap
 from collections import Counter
 
 import numpy as np
@@ -41,13 +43,46 @@ def brute_scan(doc_id, text):
     return doc_id, len(words), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(labels)), ",".join(sorted(more)), 1.0 if at else best
 
 
+def brute_notices(doc_id, text):
+    """Every run of as many words as a template has, at every start."""
+    words, best = [w for w in re.split(license_scan.SEPARATORS, (text or "").translate(LOWER)) if w], []
+    for label, template in license_scan.TEMPLATES:
+        own = [w for w in re.split(license_scan.SEPARATORS, template.lower()) if w]
+        runs = [(len(set(own) & set(words[i : i + len(own)])), -i) for i in range(len(words)) if words[i] in own]
+        n, back = max(runs, default=(0, 0))
+        if n >= math.ceil(0.8 * len(set(own)) - 1e-9):
+            best.append((n / len(set(own)), label, -back, -back + len(own) - 1))
+    kept = [x for x in best if not any(y[0] > x[0] and y[2] <= x[3] and x[2] <= y[3] for y in best)]
+    return ",".join(sorted({x[1] for x in kept})), max((x[0] for x in kept), default=0.0), min((x[2] for x in kept), default=None)
+
+
+MIT, BSD, GPL = (license_scan.TEMPLATES[i][1] for i in (1, 8, 6))
+WRAPPED = [textwrap.fill(t, 60, initial_indent="# ", subsequent_indent="# ") for t in (MIT, BSD, GPL)]
+
+
 def test_license_scan_equals_brute_force(spark):
     rows = PLAIN + [(100 + i, t) for i, t in enumerate(NOTICES)] + [(200, f"{prose(1, 50)}\n{NOTICES[5]} {prose(2, 5)}\n{prose(3, 50)}")]
+    rows += [(300 + i, f"{prose(i, 30)}\n{t}\n{prose(i + 9, 30)}") for i, t in enumerate(WRAPPED)] + [(400, "\n".join(WRAPPED + NOTICES))]
+    draw, pool = random.Random(3), [w for t in (MIT, BSD, *NOTICES) for w in t.split()]
+    rows += [(500 + i, " ".join(draw.choices(pool, k=300))) for i in range(20)]
+    for i in range(40):  # notices with words lost, moved and repeated
+        words = draw.choice([MIT, BSD, GPL, *NOTICES]).split()
+        words = [w for w in words if draw.random() > 0.12]
+        words.insert(draw.randrange(len(words) + 1), draw.choice(pool))
+        rows.append((600 + i, prose(i, 5) + "\n" + "\n".join(words) + " " + draw.choice(NOTICES)))
     found = license_scan.scan(documents(spark, rows))
-    assert Counter(tuple(r) for r in found.collect()) == Counter(brute_scan(*r) for r in rows)
+    assert Counter(tuple(r) for r in found.collect()) == Counter(brute_scan(*r) + brute_notices(*r) for r in rows)
     assert license_scan.scan(documents(spark, rows).limit(0)).count() == 0
 
 
+def test_wrapped_and_neighbouring_notices_get_their_labels(spark):
+    rows = list(enumerate(WRAPPED)) + [(3, "Licensed under the Apache License, Version 2.0. Released under the MIT License."), (4, f"{MIT} {BSD}")]
+    rows += [(5, "This work is licensed under a Creative Commons\nAttribution-NonCommercial 4.0 International License."), (6, "the license of this work")]
+    found = {r.doc_id: r for r in license_scan.scan(documents(spark, rows)).collect()}
+    assert [found[i].notice_labels for i in range(7)] == ["mit", "bsd", "gpl", "apache-2,mit", "bsd,mit", "cc-by-nc", ""]
+    assert [found[i].notice_score for i in range(7)] == [1.0] * 6 + [0.0]
+
+
 def secret_rows():
     rng = np.random.default_rng(1)
     hexes = lambda n: "".join(rng.choice(list("0123456789abcdef"), n))
