@@ -17,9 +17,10 @@ n-grams between two multinomials, one of trusted texts and one of the raw corpus
    the scores that it divides; of equal ones the lowest. Texts that fail the base rules don't
    take part. Where no cut tells the two apart, or one of them is lacking, none is made.
 
-Of more than LABELLED labels a sample by the hash of their ids teaches and sets the threshold, so
-they can be sent to every task and no text is shuffled; the raw multinomial counts every text, and
-every text is scored.
+All labels teach or set the threshold, however many they are. The texts of the half that teaches are
+dealt by doc_id to the labels, by a join that keeps only labels in memory, and counted for both
+multinomials at once; the other half of the texts is counted where it is read. The threshold needs
+no text: scored rows, of a few numbers each, are written once and joined with the labels that judge.
 
 A text is kept where it does not fail the base rules and its score is at or above the threshold;
 every text is decided by its own row. All counts are aggregates that merge in the map tasks;
@@ -50,8 +51,6 @@ BUCKETS = 65_536
 UNIT = 1_000_000
 #: Width of the scores that one threshold tells apart.
 STEP = 1000
-#: Labelled documents that the target counts and the threshold are learned from, about, at most.
-LABELLED = 100_000
 LEAST_WORDS, WINDOW, MOST_REPEATED = 20, 8, 30
 
 
@@ -60,8 +59,8 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _texts(docs: DataFrame, *more: str) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *more, F.coalesce("text", F.lit("")).alias("_text"))
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("_text"))
 
 
 def repeated_words(words: Column) -> Column:
@@ -90,14 +89,13 @@ def repeated_words(words: Column) -> Column:
     return let(hashes, counted)
 
 
-def base_rules(docs: DataFrame, *more: str) -> DataFrame:
-    """doc_id, the columns named in more, _text, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed of each row."""
+def base_rules(docs: DataFrame) -> DataFrame:
+    """doc_id, _text, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed of each row."""
     text = F.col("_text")
     lines = F.filter(F.split(text, "\n"), lambda line: F.rlike(line, F.lit(WORD)))
     words = F.filter(F.split(text, SPACE), lambda w: w != "")
-    counted = _texts(docs, *more).select(
+    counted = _texts(docs).select(
         "doc_id",
-        *more,
         "_text",
         let(words, lambda w: F.struct(
             F.size(w).cast("long").alias("n"), F.char_length(F.array_join(w, "")).cast("long").alias("chars"), repeated_words(w).alias("again"),
@@ -108,7 +106,7 @@ def base_rules(docs: DataFrame, *more: str) -> DataFrame:
     n, again = F.col("words.n"), F.col("words.again")
     failed = (n < LEAST_WORDS) | (100 * again > MOST_REPEATED * n)
     return counted.select(
-        "doc_id", *more, "_text", n.alias("n_words"), F.col("words.chars").alias("word_chars"), "n_symbols", "n_dup_lines", again.alias("n_repeat_words"), failed.alias("base_failed")
+        "doc_id", "_text", n.alias("n_words"), F.col("words.chars").alias("word_chars"), "n_symbols", "n_dup_lines", again.alias("n_repeat_words"), failed.alias("base_failed")
     )
 
 
@@ -134,34 +132,41 @@ def _rows_of_tokens(texts: DataFrame) -> DataFrame:
     return each.select(*others, _bucket(a).alias("one"), _bucket(F.concat(a, F.lit(" "), b)).alias("two"))
 
 
-def _labels(labels: DataFrame, bound: int = LABELLED) -> DataFrame:
-    """_id, trusted and teaches, one row per labelled document, written; about `bound` of them at most, by a hash."""
+def _teaches(doc_id: Column) -> Column:
+    """Whether a document is of the half that teaches; false for null."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 2 == 0, F.lit(False))
+
+
+def _labels(labels: DataFrame, bound: int | None = None) -> DataFrame:
+    """_id, trusted and teaches, one row per labelled document, written; all of them, or about `bound` by a hash."""
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("_id"))
     one = staged(known.agg((F.max("quality") == 1).alias("trusted")), "labels")
-    count = one.count()
-    if count > bound:
+    if bound and (count := one.count()) > bound:
         one = one.where(F.xxhash64("_id", F.lit("labelled")) < F.lit(int(-(2**63) + 2**64 * bound / count)))
-    return one.withColumn("teaches", F.crc32(F.col("_id").cast("string").cast("binary")) % 2 == 0)
+    return one.withColumn("teaches", _teaches(F.col("_id")))
 
 
-def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that have one of the labels, with its columns. No text is shuffled: the labels are bounded."""
-    return docs.join(F.broadcast(labels), F.col("doc_id") == F.col("_id"))
+def _labelled(rows: DataFrame, labels: DataFrame, how: str) -> DataFrame:
+    """rows joined with labels by doc_id. Both are dealt by it; a task holds its labels only, and no rows are sorted."""
+    return rows.join(labels.hint("shuffle_hash"), F.col("doc_id") == F.col("_id"), how)
 
 
-def _counted(texts: DataFrame) -> dict[int, int]:
-    """How many n-grams of texts (doc_id, _text) are in each bucket."""
-    both = _rows_of_tokens(texts.select("_text")).select(F.explode(F.array("one", "two")).alias("bucket")).where("bucket IS NOT NULL")
-    return {r.bucket: r.n for r in both.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
+def _counted(texts: DataFrame, labels: DataFrame) -> dict[int, tuple[int, int]]:
+    """How many n-grams of texts (doc_id, _text) are in each bucket: of all texts, and of the trusted ones that teach."""
+    teaches = _teaches(F.col("doc_id"))
+    target = F.coalesce("trusted", F.lit(False)).alias("target")
+    half = _labelled(texts.where(teaches), labels.where("trusted AND teaches"), "left").select("_text", target)
+    rows = _rows_of_tokens(half.unionAll(texts.where(~teaches).select("_text", F.lit(False).alias("target"))))
+    both = rows.select("target", F.explode(F.array("one", "two")).alias("bucket")).where("bucket IS NOT NULL")
+    return {r.bucket: (r.n, r.k) for r in both.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.count_if("target").alias("k")).collect()}
 
 
 def weights(docs: DataFrame, labels: DataFrame) -> list[int]:
     """The weight of each bucket, in millionths, from all texts and the rows of _labels."""
-    raw = _counted(_texts(docs))
-    target = _counted(_labelled(_texts(docs), labels.where("trusted AND teaches")))
-    raws, targets = BUCKETS + sum(raw.values()), BUCKETS + sum(target.values())
-    shares = ((target.get(b, 0) + 1) * raws / ((raw.get(b, 0) + 1) * targets) for b in range(BUCKETS))
-    return [math.floor(UNIT * math.log(x) + 0.5) for x in shares]
+    found = _counted(_texts(docs), labels)
+    raws, targets = (BUCKETS + sum(x[i] for x in found.values()) for i in range(2))
+    each = (found.get(b, (0, 0)) for b in range(BUCKETS))
+    return [math.floor(UNIT * math.log((k + 1) * raws / ((n + 1) * targets)) + 0.5) for n, k in each]
 
 
 def scored(texts: DataFrame, model: list[int]) -> DataFrame:
@@ -179,14 +184,13 @@ def scored(texts: DataFrame, model: list[int]) -> DataFrame:
     return summed.select(*columns, mean.alias("score"))
 
 
-def threshold(docs: DataFrame, labels: DataFrame, model: list[int]) -> int | None:
-    """The score that divides the labelled texts best, half way between those that it divides; None where none
-    does better than to keep all."""
-    judges = _labelled(docs.select("doc_id", "text"), labels.where("NOT teaches"))
-    steps = scored(base_rules(judges, "trusted").select("trusted", "base_failed", "_text"), model).withColumn("step", F.floor(F.col("score") / STEP))
-    passed = ~F.col("base_failed")
-    found = steps.groupBy("step").agg(F.count_if(passed & F.col("trusted")).alias("good"), F.count_if(passed & ~F.col("trusted")).alias("bad"))
-    found = sorted(tuple(r) for r in found.where("good + bad > 0").collect())
+def threshold(ruled: DataFrame, labels: DataFrame) -> int | None:
+    """The score that divides the labelled rows of ruled (doc_id, base_failed, score) best, half way between those that
+    it divides; None where none does better than to keep all."""
+    passed = ruled.where(~F.col("base_failed") & ~_teaches(F.col("doc_id"))).select("doc_id", F.floor(F.col("score") / STEP).alias("step"))
+    judges = _labelled(passed, labels.where("NOT teaches"), "inner")
+    found = judges.groupBy("step").agg(F.count_if("trusted").alias("good"), F.count_if(~F.col("trusted")).alias("bad"))
+    found = sorted(tuple(r) for r in found.collect())
     good, bad = (sum(x[i] for x in found) for i in (1, 2))
     best, cut, below, good_below, bad_below = 0, None, None, 0, 0
     for step, g, b in found:
@@ -200,8 +204,7 @@ def threshold(docs: DataFrame, labels: DataFrame, model: list[int]) -> int | Non
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, the columns of the base rules, score (in millionths) and kept, of each row."""
     labels = _labels(labels)
-    model = weights(docs, labels)
-    ruled = scored(base_rules(docs), model)
-    cut = threshold(docs, labels, model)
+    ruled = staged(scored(base_rules(docs), weights(docs, labels)), "ruled")
+    cut = threshold(ruled, labels)
     passes = F.lit(True) if cut is None else F.col("score") >= cut
     return ruled.withColumn("kept", ~F.col("base_failed") & passes)

@@ -9,6 +9,7 @@ from collections import Counter
 import pytest
 import regex
 from corpora import PLAIN, documents, prose
+from pyspark.sql import functions as F
 
 from footfall.llm import mask_search, quality, variants
 
@@ -225,3 +226,12 @@ def test_a_bound_on_labels_takes_a_sample_of_both_kinds(spark):
     assert len(every) == 4000 and 850 < len(some) < 1150
     assert set(map(tuple, some)) <= set(map(tuple, every))
     assert min(Counter((r.trusted, r.teaches) for r in some).values()) > 150
+
+
+def test_every_label_teaches_or_judges_however_many_there_are(spark):
+    rows, labels = quality_rows()
+    more = spark.range(1_000_000, 1_160_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    table = spark.createDataFrame(labels, "doc_id long, quality int").union(more)
+    assert quality._labels(table).count() == 160_000 + len({i for i, q in labels if i is not None and q is not None})
+    found = quality.judged(documents(spark, rows), table)
+    assert Counter(tuple(r) for r in found.collect()) == brute_verdicts(rows, labels)
