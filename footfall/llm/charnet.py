@@ -34,8 +34,26 @@ class CharNet:
             "out": rng.normal(0, 0.2, _FILTERS),
             "out_bias": np.zeros(1),
         }
+        # Adam's means of gradients, and of their squares, and its steps.
+        self.mean, self.square = ({k: np.zeros_like(v) for k, v in self.p.items()} for _ in range(2))
+        self.step = 0.0
         self.slope, self.shift, self.threshold = 1.0, 0.0, 0.5
 
+    def state(self) -> np.ndarray:
+        """All that training changes, as one vector; squares as their roots, so that a mean is never large beside them."""
+        return np.concatenate([*(v.ravel() for part in (self.p, self.mean) for v in part.values()), *(np.sqrt(v).ravel() for v in self.square.values()), [self.step]])
+
+    def resume(self, state: np.ndarray) -> CharNet:
+        """The network with a vector of `state`, or a mean of such vectors."""
+        at = 0
+        for part in (self.p, self.mean, self.square):
+            for k, v in part.items():
+                part[k] = state[at : at + v.size].reshape(v.shape).copy()
+                at += v.size
+        self.square = {k: v**2 for k, v in self.square.items()}
+        self.step = float(state[at])
+        return self
+
     def _forward(self, x: np.ndarray):
         inside = np.zeros((len(x), WIDTH, 1))
         inside[:, LEFT : LEFT + INSIDE] = (x[:, LEFT : LEFT + INSIDE] > 0)[..., None]
@@ -50,17 +68,20 @@ class CharNet:
         return np.concatenate([self._forward(x[i : i + 256])[3] for i in range(0, len(x), 256)] or [np.zeros(0)])
 
     def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 12, batch: int = 64, rate: float = 0.01, seed: int = 0) -> CharNet:
-        rng, mean, square, step = np.random.default_rng(seed), {}, {}, 0
-        weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
+        rng, weight = np.random.default_rng(seed), balanced(y, (y == 0).sum(), (y == 1).sum())
         for _ in range(epochs):
-            order = rng.permutation(len(x))
-            for i in range(0, len(x), batch):
-                rows = order[i : i + batch]
-                step += 1
-                for k, g in self._gradients(x[rows], y[rows], weight[rows]).items():
-                    mean[k] = 0.9 * mean.get(k, 0) + 0.1 * g
-                    square[k] = 0.999 * square.get(k, 0) + 0.001 * g * g
-                    self.p[k] -= rate * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.999**step)) + 1e-8)
+            self.train(x, y, weight, rng.permutation(len(x)), batch, rate)
+        return self
+
+    def train(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray, order: np.ndarray, batch: int = 64, rate: float = 0.01) -> CharNet:
+        """One pass over the rows, by Adam."""
+        for i in range(0, len(x), batch):
+            rows = order[i : i + batch]
+            self.step += 1
+            for k, g in self._gradients(x[rows], y[rows], weight[rows]).items():
+                self.mean[k] = 0.9 * self.mean[k] + 0.1 * g
+                self.square[k] = 0.999 * self.square[k] + 0.001 * g * g
+                self.p[k] -= rate * (self.mean[k] / (1 - 0.9**self.step)) / (np.sqrt(self.square[k] / (1 - 0.999**self.step)) + 1e-8)
         return self
 
     def _gradients(self, x, y, weight) -> dict[str, np.ndarray]:
@@ -78,16 +99,32 @@ class CharNet:
 
     def calibrate(self, x: np.ndarray, y: np.ndarray, recall: float, groups: np.ndarray | None = None) -> CharNet:
         """Platt scaling on rows not trained on; the threshold is the highest that keeps the recall in each group."""
-        z = self.logits(x)
-        a, b = 1.0, 0.0
-        for _ in range(300):
-            e = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30))) - y
-            a, b = a - 0.05 * ((e * z).mean() + 1e-3 * (a - 1)), b - 0.05 * e.mean()
+        return self.calibrate_counted(self.logits(x), np.ones(len(x)), y, recall, y if groups is None else groups)
+
+    def calibrate_counted(self, z: np.ndarray, n: np.ndarray, y: np.ndarray, recall: float, groups: np.ndarray, width: float = 0.0) -> CharNet:
+        """The same for n rows each whose logits lie from z to z + width."""
+        a, b, middle = 1.0, 0.0, z + width / 2
+        for _ in range(300 if len(z) else 0):
+            e = (1 / (1 + np.exp(-np.clip(a * middle + b, -30, 30))) - y) * n / n.sum()
+            a, b = a - 0.05 * ((e * middle).sum() + 1e-3 * (a - 1)), b - 0.05 * e.sum()
         self.slope, self.shift = a, b
-        own, of = self.score(x[y == 1]), (y if groups is None else groups)[y == 1]
-        if len(own):
-            self.threshold = min(float(np.sort(own[of == g])[int((1 - recall) * (of == g).sum())]) for g in np.unique(of))
+        low = np.minimum(self._likely(z), self._likely(z + width))
+        cuts = []
+        for g in np.unique(groups[y == 1]):
+            of = np.flatnonzero((groups == g) & (y == 1))
+            of = of[np.argsort(low[of], kind="stable")]
+            cuts.append(low[of[np.searchsorted(np.cumsum(n[of]), int((1 - recall) * n[of].sum()), "right")]])
+        if cuts:
+            self.threshold = float(min(cuts))
         return self
 
+    def _likely(self, z: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.slope * z + self.shift, -30, 30)))
+
     def score(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * self.logits(x) + self.shift, -30, 30)))
+        return self._likely(self.logits(x))
+
+
+def balanced(y: np.ndarray, others: int, found: int) -> np.ndarray:
+    """Weights under which both labels weigh the same, where there are so many of each."""
+    return np.where(y == 1, 0.5 / max(1, found), 0.5 / max(1, others)) * (others + found)

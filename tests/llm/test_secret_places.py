@@ -63,3 +63,35 @@ def test_keys_of_alphabets_that_no_pattern_knows_are_found_and_words_are_not(spa
     found = {r.doc_id: r.spans for r in secret_scan.find_secrets(documents(spark, rows)).collect()}
     assert sum("model:" in found[i] for i in hidden) >= 12
     assert sum("model:" in found[i] for i in range(1000, 1600)) <= 12
+
+
+def test_every_window_is_trained_on_in_shards_of_bounded_size(spark, monkeypatch):
+    draw = random.Random(6)
+    key = lambda letters, n: "".join(draw.choices(letters, k=n))
+    shown = [(int(i % 3 == 0), "of the " + key("abcdef0123456789" if i % 3 == 0 else "aeinrst", 32)) for i in range(12_000)]
+    rows = [([label], [charnet.windows(text, 7, 39)]) for label, text in shown]
+    scanned = spark.createDataFrame(rows, "labels array<int>, samples array<string>").repartition(4)
+    monkeypatch.setattr(secret_scan, "SHARD", 2048)
+    monkeypatch.setattr(secret_scan, "PASSES", 3)
+    written, shards = [], secret_scan._shards
+    monkeypatch.setattr(secret_scan, "_shards", lambda *x: written.append(shards(*x)) or written[0])
+    nets = secret_scan.trained(scanned)
+    found = [(r.half, [(x.labels, x.samples) for x in r.rows]) for r in written[0].collect()]
+    assert sorted(x for _, x in found for x in x) == sorted((label[0], text[0]) for label, text in rows)
+    assert len(found) == 6 and max(len(x) for _, x in found) < 2400
+    # Each network judges the windows that the other learned from.
+    assert all(secret_scan._half([s])[0] == 1 - half for half, x in found for _, s in x[:50])
+    kept = secret_scan._added(nets, [text[0] for _, text in rows])
+    y = np.array([label[0] for label, _ in rows], bool)
+    assert kept[y].mean() >= 0.95 and kept[~y].mean() <= 0.05
+    again = secret_scan.trained(scanned.repartition(3))
+    assert all((a.state() == b.state()).all() and a.threshold == b.threshold for a, b in zip(nets, again, strict=True))
+
+
+def test_calibration_by_counts_keeps_the_recall():
+    draw = np.random.default_rng(2)
+    z, y = draw.normal(0, 2, 5000), (draw.random(5000) < 0.4).astype("i8")
+    step, n = np.unique(np.stack([np.floor(z / 0.1), y]), axis=1, return_counts=True)
+    net = charnet.CharNet().calibrate_counted(step[0] * 0.1, n, step[1].astype("i8"), 0.9, step[1], 0.1)
+    kept = (net._likely(z) >= net.threshold)[y == 1].mean()
+    assert 0.9 <= kept < 0.93
