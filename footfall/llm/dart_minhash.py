@@ -64,6 +64,9 @@ SHARE = 2000
 #: Bits of the texts that are compared in rounds.
 LONG_BITS = 2048
 
+#: Places of the bitmap that tells texts that nobody wants before they are shuffled: 4 MB, whatever the tables' size.
+PLACES = 2**25
+
 #: Darts that are thrown at once, about.
 DARTS = 60_000
 
@@ -222,6 +225,15 @@ def _sketch(docs: DataFrame) -> DataFrame:
     return map_columns(_texts(docs), sketch, schema)
 
 
+def _perhaps_wanted(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """texts (_id, _hash, _text) without most of those whose _hash no row of wanted has; all others stay."""
+    place = lambda column: F.pmod(F.col(column), F.lit(PLACES)) + 1
+    bitmap = wanted.groupBy(F.bitmap_bucket_number(place("wanted_hash")).alias("_slot")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place("wanted_hash"))).alias("_bitmap"))
+    both = texts.withColumns({"_at": F.bitmap_bucket_number(place("_hash")), "_bit": F.bitmap_bit_position(place("_hash"))}).join(F.broadcast(bitmap), F.expr("_at = _slot"))
+    byte = F.conv(F.hex(F.expr("substring(_bitmap, cast(_bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    return both.where(F.getbit(byte, (F.col("_bit") % 8).cast("int")) == 1).select(texts.columns)
+
+
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """key, items of each wanted text (key, _id, _hash): hashes of (shingle, number of its occurrence), sorted."""
 
@@ -234,7 +246,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 out.append(np.sort(mixed(np.repeat(found, counts) + number.astype("u8") * _ROW) ).astype("<u8").tobytes())
             yield {"key": batch["key"], "items": out}
 
-    texts = _texts(docs).join(wanted, F.expr("_id <=> wanted_id") & F.expr("_hash = wanted_hash")).select("key", "_text")
+    texts = _perhaps_wanted(_texts(docs), wanted).join(wanted, F.expr("_id <=> wanted_id") & F.expr("_hash = wanted_hash")).select("key", "_text")
     return map_columns(texts, items, "key binary, items binary").dropDuplicates(["key"])
 
 

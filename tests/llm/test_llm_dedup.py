@@ -214,3 +214,15 @@ def test_a_large_group_of_edited_copies(spark, monkeypatch, count, edits, with_b
     assert {r.doc_id: r.class_id for r in found} == dict(enumerate(expected.tolist()))
     assert 1 < len(set(expected.tolist())) < count
     assert sum(compared) < most
+
+
+def test_texts_that_nobody_wants_are_dropped_before_the_shuffle_and_no_wanted_one_is(spark):
+    texts = spark.range(20_000).select(F.col("id").alias("_id"), F.xxhash64("id").alias("_hash"), F.lit("x").alias("_text"))
+    wanted = texts.where("_id % 10 = 3").select(F.col("_id").alias("wanted_id"), F.col("_hash").alias("wanted_hash"))
+    found = dart_minhash._perhaps_wanted(texts, wanted)
+    assert found.columns == texts.columns
+    ids = {r._id for r in found.collect()}
+    assert {i for i in range(20_000) if i % 10 == 3} <= ids and len(ids) < 2_010
+    assert dart_minhash._perhaps_wanted(texts, wanted.limit(0)).count() == 0
+    edges = spark.createDataFrame([(i, h, "x") for i, h in enumerate([-(2**63), -1, 0, 1, 2**63 - 1])], texts.schema)
+    assert dart_minhash._perhaps_wanted(edges, edges.select(F.col("_id").alias("wanted_id"), F.col("_hash").alias("wanted_hash"))).count() == 5
