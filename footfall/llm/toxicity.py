@@ -40,6 +40,8 @@ EXAMPLES, NEIGHBOURS, REJECTED = 24_000, 15, 0.7
 #: chance, and whose odds of a toxic text are that many times the odds of all texts.
 LEAST, DEVIATIONS, ODDS, VOCABULARY = 5, 5.0, 4.0, 4096
 STARTS = (4, 5, 6)
+#: Words and texts whose features and scores a worker remembers, at most: workers live on through later stages.
+KNOWN, SEEN = 100_000, 2_000
 
 
 def features(raw: str) -> list[str]:
@@ -118,7 +120,7 @@ class Scorer:
 
     def counts(self, text: str) -> dict[int, int]:
         """How often each feature of the vocabulary stands in a text."""
-        if len(self.known) > 1_000_000:
+        if len(self.known) > KNOWN:
             self.known.clear()
         found = Counter()
         for raw, n in Counter(text.split()).items():
@@ -136,7 +138,7 @@ class Scorer:
             return self.bare, [], []
         key = tuple(sorted(counts.items()))
         if key not in self.seen:
-            if len(self.seen) > 20_000:
+            if len(self.seen) > SEEN:
                 self.seen.clear()
             numbers, sims = self.index.nearest(self._vector(counts), NEIGHBOURS)
             value = float(np.interp(self._vote(numbers, sims), self.at, self.value))

@@ -342,3 +342,13 @@ def test_broken_pages_take_linear_time(piece):
 
     seconds(1000)
     assert seconds(400_000 // len(piece)) < 20 * max(0.05, seconds(40_000 // len(piece)))
+
+
+def test_what_a_worker_remembers_of_texts_is_bounded():
+    own = toxicity.Scorer({"bad": 0}, np.ones(1), [(1, 1, {0: 1}), (2, 0, {0: 2})])
+    for i in range(300):
+        assert own.score(" ".join(f"w{i}x{j}" for j in range(1000)) + " bad" * (i + 1))[2] == [0]
+    assert len(own.known) <= 101_001
+    for i in range(6000):
+        own.score("bad " * (i % 3000 + 1))
+    assert len(own.seen) <= 2_001
