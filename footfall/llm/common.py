@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+#: Rows with whole texts that a Python worker holds as Python objects at a time. Spark's batches have
+#: up to 10,000; executors' memory has to hold what each of their workers takes beside the JVM.
+ROWS = 1000
+
 _local_folder: dict[str, str] = {}
 _shipped: set[str] = set()
 
@@ -58,8 +62,16 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def map_columns(df: DataFrame, step, schema: str) -> DataFrame:
-    """mapInArrow over columns as Python lists: step takes and gives iterators of dicts of lists."""
+def sliced(batch, rows: int | None):
+    """An Arrow batch or array as it is, or in slices of `rows` rows, which share its memory."""
+    return [batch] if rows is None else (batch.slice(at, rows) for at in range(0, len(batch), rows))
+
+
+def map_columns(df: DataFrame, step, schema: str, rows: int | None = None) -> DataFrame:
+    """mapInArrow over columns as Python lists: step takes and gives iterators of dicts of lists.
+
+    Lists have the length of Spark's batches, or `rows` at most.
+    """
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -67,12 +79,29 @@ def map_columns(df: DataFrame, step, schema: str) -> DataFrame:
     kinds = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
-        for columns in step(b.to_pydict() for b in batches):
+        for columns in step(part.to_pydict() for b in batches for part in sliced(b, rows)):
             yield pa.RecordBatch.from_pydict(columns, schema=kinds)
 
     return df.mapInArrow(run, schema)
 
 
+def text_column(spark: SparkSession, step, kind: str):
+    """An Arrow UDF of a column of texts: step takes a text or None and gives a value of the kind."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.functions import ArrowUDFType
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    ship(spark)
+    of = to_arrow_schema(StructType.fromDDL(f"x {kind}")).field(0).type
+
+    def run(batches):
+        for b in batches:
+            for part in sliced(b, ROWS):
+                yield pa.array(map(step, part.to_pylist()), of)
+
+    return F.arrow_udf(run, kind, ArrowUDFType.SCALAR_ITER)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -2,7 +2,7 @@
 
 Byte-level pre-tokenizers never let a token cross the border before a space, so the ids of a
 text are those of its chunks, one after another. Only runs of two or more spaces break that
-rule; a text that has one is encoded whole. A worker keeps the chunks that it has encoded.
+rule; a text that has one is encoded whole. A task keeps the chunks that it has encoded.
 """
 
 from __future__ import annotations
@@ -47,8 +47,8 @@ def _rank_encoding(path: str):
 class _Known(dict):
     """Ids of a word with a space before it."""
 
-    #: Entries of one worker; beyond them all are let go.
-    ENTRIES = 1_000_000
+    #: Entries of one task; beyond them all are let go.
+    ENTRIES = 600_000
     #: Longer words are encoded without being kept.
     LONGEST = 48
 
@@ -91,6 +91,10 @@ class ChunkEncoder:
         first, *rest = text.split(" ")
         return self.whole(first) + b"".join(map(self.known.__getitem__, rest))
 
+    def forget(self) -> None:
+        """Let go of the chunks kept: a worker lives on after its task, through the stages that follow."""
+        self.known.clear()
+
 
 def encoder(path: str) -> ChunkEncoder:
     """The encoder of this worker process."""

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import map_columns, staged
+from footfall.llm.common import ROWS, map_columns, staged
 from footfall.llm.encoding import encoder
 
 CAPACITY = 2048
@@ -41,11 +41,11 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     """
 
     def cut(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        encode, end = encoder(tokenizer_path).encode, np.array([end_id], "<u4").tobytes()
+        own, end = encoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             out = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": []}
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = encode(text) + end
+                ids = own.encode(text) + end
                 n, start = len(ids) // 4, 0
                 for piece in range(-(-n // capacity)):
                     stop = start + ((n % capacity or capacity) if piece == 0 else capacity)
@@ -53,9 +53,10 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
                         column.append(value)
                     start = stop
             yield out
+        own.forget()
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return map_columns(texts, cut, PIECES)
+    return map_columns(texts, cut, PIECES, ROWS)
 
 
 class Bins:

@@ -35,10 +35,9 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from footfall.llm.charnet import CharNet, balanced, codes, windows
-from footfall.llm.common import map_columns, ship, staged, tasks
+from footfall.llm.common import ROWS, map_columns, staged, tasks, text_column
 
 KINDS = ("assign", "access", "hex", "model")
 LEAST, RECALL = 30, 0.98
@@ -130,7 +129,7 @@ def _scanned(docs: DataFrame) -> DataFrame:
             yield {k: [r[i] for r in rows] for i, k in enumerate(names)}
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return map_columns(texts, scan, _FOUND)
+    return map_columns(texts, scan, _FOUND, ROWS)
 
 
 def _shards(each: DataFrame, sizes: dict[int, int]) -> DataFrame:
@@ -246,12 +245,7 @@ def mask(text: str, nets: list[CharNet | None]) -> str:
 def redacted(docs: DataFrame) -> DataFrame:
     """docs with every secret in `text` masked, and `n_chars`, where it is a column, counted anew for those."""
     nets = trained(staged(_scanned(docs).select("labels", "samples").where(F.size("labels") > 0), "secrets"))
-    ship(docs.sparkSession)
-
-    @F.pandas_udf(StringType())
-    def masked(texts):
-        return texts.map(lambda x: mask(x, nets), na_action="ignore")
-
+    masked = text_column(docs.sparkSession, lambda x: None if x is None else mask(x, nets), "string")
     marked = docs.withColumn("__masked", masked("text"))
     if "n_chars" in docs.columns:
         changed = F.col("__masked") != F.col("text")

@@ -29,10 +29,9 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from footfall.llm.block_max import BlockMax
-from footfall.llm.common import map_columns, ship, staged
+from footfall.llm.common import ROWS, map_columns, ship, staged, text_column
 from footfall.llm.words import plain
 
 EXAMPLES, NEIGHBOURS, REJECTED = 24_000, 15, 0.7
@@ -88,7 +87,7 @@ def _counts(examples: DataFrame) -> DataFrame:
                 n, k, known = Counter(), Counter(), {}
         yield {"feature": list(n), "n": list(n.values()), "k": [k[f] for f in n]}
 
-    part = map_columns(examples.select("text", "toxic"), count, "feature string, n long, k long")
+    part = map_columns(examples.select("text", "toxic"), count, "feature string, n long, k long", ROWS)
     return part.groupBy("feature").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
 
 
@@ -189,7 +188,7 @@ def fitted(docs: DataFrame, labels: DataFrame, bound: int = EXAMPLES) -> Scorer:
             found = [bare.counts(text) for text in batch["text"]]
             yield {"doc_id": batch["doc_id"], "toxic": batch["toxic"], "features": [list(c) for c in found], "counts": [list(c.values()) for c in found]}
 
-    rows = map_columns(examples.select("doc_id", "toxic", "text"), vectors, "doc_id long, toxic int, features array<int>, counts array<int>").collect()
+    rows = map_columns(examples.select("doc_id", "toxic", "text"), vectors, "doc_id long, toxic int, features array<int>, counts array<int>", ROWS).collect()
     return Scorer(vocabulary, idf, [(r.doc_id, r.toxic, dict(zip(r.features, r.counts, strict=True))) for r in rows], weights)
 
 
@@ -214,16 +213,11 @@ def scores(docs: DataFrame, labels: DataFrame, bound: int = EXAMPLES) -> DataFra
             }
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
-    return map_columns(texts, score, schema)
+    return map_columns(texts, score, schema, ROWS)
 
 
 def clean(docs: DataFrame, labels: DataFrame, bound: int = EXAMPLES) -> DataFrame:
     """docs without those that score REJECTED or more."""
     scorer = _shared(docs.sparkSession, fitted(docs, labels, bound))
-
-    @F.pandas_udf(DoubleType())
-    def score(texts):
-        own = scorer.value
-        return texts.map(lambda x: own.score(x or "")[0]).astype("float64")
-
+    score = text_column(docs.sparkSession, lambda x: scorer.value.score(x or "")[0], "double")
     return docs.where(score(F.coalesce("text", F.lit(""))) < REJECTED)
