@@ -49,9 +49,9 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.llm.common import map_columns, staged
+from footfall.llm.common import ROWS, map_columns, staged
 from footfall.llm.components import components
-from footfall.llm.words import mixed, shingles, unit, word_hashes
+from footfall.llm.words import forget, mixed, shingles, unit, word_hashes
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 26, 5
@@ -221,8 +221,9 @@ def _sketch(docs: DataFrame) -> DataFrame:
             for i, b, places in zip(some, four_bits(found).tolist(), bands(found).tolist(), strict=True):
                 bits[i], buckets[i] = b, places
             yield {"_id": batch["_id"], "_hash": batch["_hash"], "key": keys, "n": sizes, "bits": bits, "buckets": buckets}
+        forget()
 
-    return map_columns(_texts(docs), sketch, schema)
+    return map_columns(_texts(docs), sketch, schema, ROWS)
 
 
 def _perhaps_wanted(texts: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -245,9 +246,10 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 number = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
                 out.append(np.sort(mixed(np.repeat(found, counts) + number.astype("u8") * _ROW) ).astype("<u8").tobytes())
             yield {"key": batch["key"], "items": out}
+        forget()
 
     texts = _perhaps_wanted(_texts(docs), wanted).join(wanted, F.expr("_id <=> wanted_id") & F.expr("_hash = wanted_hash")).select("key", "_text")
-    return map_columns(texts, items, "key binary, items binary").dropDuplicates(["key"])
+    return map_columns(texts, items, "key binary, items binary", ROWS).dropDuplicates(["key"])
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -271,7 +273,7 @@ def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     spread = sets.join(often, sets.key == often.b).select("b", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), F.col("items").alias("y"))
     left = sets.select(F.col("key").alias("a"), F.col("items").alias("x"))
     both = dealt.join(spread, ["b", "part"]).join(left, "a").select("a", "b", "x", "y")
-    return map_columns(both, decide, "a binary, b binary")
+    return map_columns(both, decide, "a binary, b binary", ROWS)
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -332,7 +334,7 @@ def _open_rows(named: DataFrame, sets: DataFrame, threshold: float) -> DataFrame
                 values = np.frombuffer(items, "<i8").tolist()
                 yield {"key": [key] * len(values), "item": values}
 
-    items = map_columns(sets.join(rows.select("key").distinct(), "key"), each, "key binary, item long")
+    items = map_columns(sets.join(rows.select("key").distinct(), "key"), each, "key binary, item long", ROWS)
     alone = items.groupBy("item").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("key")).where("n = 1")
     own = alone.groupBy("key").agg(F.count(F.lit(1)).alias("own"))
     counted = rows.join(own, "key", "left").withColumn("own", F.coalesce("own", F.lit(0)))
@@ -347,7 +349,7 @@ def _open_rows(named: DataFrame, sets: DataFrame, threshold: float) -> DataFrame
         for batch in batches:
             yield {"key": batch["key"], "long": [one_bits(np.frombuffer(items, "<u8")).tolist() for items in batch["items"]]}
 
-    long = map_columns(sets.join(able.select("key").distinct(), "key"), bits, "key binary, long array<long>")
+    long = map_columns(sets.join(able.select("key").distinct(), "key"), bits, "key binary, long array<long>", ROWS)
     return able.join(long, "key").join(first, ["bucket", "key"], "left").withColumn("rank", F.coalesce("rank", F.lit(2**31 - 1)))
 
 

@@ -20,8 +20,8 @@ def plain(raw: str) -> str:
 class _Known(dict):
     """Hash of a word as it stands in the text; 0 where nothing of it is left."""
 
-    #: Words kept by one worker; beyond them all are let go.
-    ENTRIES = 1_000_000
+    #: Words kept by one task; beyond them all are let go.
+    ENTRIES = 300_000
 
     def __missing__(self, raw: str) -> int:
         if len(self) >= self.ENTRIES:
@@ -34,6 +34,11 @@ class _Known(dict):
 _known = _Known()
 
 
+def forget() -> None:
+    """Let go of the words kept: a worker lives on after its task, through the stages that follow."""
+    _known.clear()
+
+
 def word_hashes(text: str) -> np.ndarray:
     """Of each word between white space, without case and punctuation; words of punctuation alone are left out."""
     found = np.array(list(map(_known.__getitem__, text.split())), "u8")

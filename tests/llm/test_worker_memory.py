@@ -1,8 +1,9 @@
 """What a Python worker holds: slices of Spark's batches, and no words of tasks that are over."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from footfall.llm import common, encoding, packing
+from footfall.llm import common, dart_minhash, encoding, packing, words
 from footfall.llm.queries import tokenizer_file
 
 TEXT = "one two three four five six seven"
@@ -33,6 +34,15 @@ def test_text_columns_keep_nulls_and_places(spark):
     assert docs.limit(0).withColumn("turned", turned("text")).count() == 0
 
 
+@pytest.mark.parametrize("texts", [[TEXT], [TEXT, "", TEXT + " eight"]])
+def test_no_words_stay_after_a_sketch(spark, monkeypatch, texts):
+    docs = spark.createDataFrame([(1, TEXT)], "doc_id long, text string")
+    step, rows = steps_of(monkeypatch, dart_minhash, lambda: dart_minhash._sketch(docs))
+    out = list(step(iter([{"_id": [*range(len(texts))], "_hash": [*range(len(texts))], "_text": texts}])))
+    assert out[0]["n"] == [max(0, len(x.split()) - 4) for x in texts]
+    assert not words._known and rows <= 1000
+
+
 def test_no_chunks_stay_after_encoding(spark, monkeypatch):
     docs, path = spark.createDataFrame([(1, TEXT)], "doc_id long, text string"), tokenizer_file("byte_bpe_50k.json")
     step, rows = steps_of(monkeypatch, packing, lambda: packing.token_pieces(docs, path))
