@@ -67,10 +67,10 @@ def sliced(batch, rows: int | None):
     return [batch] if rows is None else (batch.slice(at, rows) for at in range(0, len(batch), rows))
 
 
-def map_columns(df: DataFrame, step, schema: str, rows: int | None = None) -> DataFrame:
-    """mapInArrow over columns as Python lists: step takes and gives iterators of dicts of lists.
+def map_slices(df: DataFrame, step, schema: str, rows: int | None = None) -> DataFrame:
+    """mapInArrow: step takes an iterator of Arrow batches and gives one of dicts of columns.
 
-    Lists have the length of Spark's batches, or `rows` at most.
+    Batches are Spark's, or slices of `rows` rows at most.
     """
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -79,12 +79,17 @@ def map_columns(df: DataFrame, step, schema: str, rows: int | None = None) -> Da
     kinds = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
-        for columns in step(part.to_pydict() for b in batches for part in sliced(b, rows)):
+        for columns in step(part for b in batches for part in sliced(b, rows)):
             yield pa.RecordBatch.from_pydict(columns, schema=kinds)
 
     return df.mapInArrow(run, schema)
 
 
+def map_columns(df: DataFrame, step, schema: str, rows: int | None = None) -> DataFrame:
+    """map_slices over columns as Python lists: step takes and gives iterators of dicts of lists."""
+    return map_slices(df, lambda slices: step(part.to_pydict() for part in slices), schema, rows)
+
+
 def text_column(spark: SparkSession, step, kind: str):
     """An Arrow UDF of a column of texts: step takes a text or None and gives a value of the kind."""
     import pyarrow as pa

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from corpora import CLASHING, PLAIN, documents, prose
 
-from footfall.llm import charnet, html_blocks, html_extract, license_scan, posting_lists, secret_scan, toxicity
+from footfall.llm import centroid_graph, charnet, html_blocks, html_extract, license_scan, posting_lists, secret_scan, toxicity
 from footfall.llm.block_max import BlockMax
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -309,6 +309,76 @@ def test_queries_in_small_far_clusters_get_all_their_rows(spark, monkeypatch):
     assert rows == {i: 20 for i in range(0, 2030, 20)}
 
 
+def test_rows_do_not_grow_with_the_lists_that_a_query_reads(spark, monkeypatch):
+    """A row for each list and query that reads it, with the query's vector, took over 3 GB of an executor."""
+    monkeypatch.setattr(posting_lists, "LIST", 8)
+    x = np.random.default_rng(7).normal(size=(1500, 24))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    kept, rows = posting_lists.staged, {}
+
+    def counted(df, name):
+        out = kept(df, name)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(posting_lists, "staged", counted)
+    assert posting_lists.nearest(table, lambda i: i % 5 == 0).count() == 300 * 20
+    assert len(rows) > 2 and max(rows.values()) <= 1500, rows
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_tiles_of_any_size_give_the_same_neighbours(spark, monkeypatch, kind):
+    x = np.random.default_rng(8).normal(size=(1200, 8))
+    x[300:] = x[:3].repeat(300, 0) + 0.05 * x[300:]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], f"vec_id long, embedding array<{kind}>")
+
+    def found():
+        return sorted(tuple(r) for r in posting_lists.nearest(table, lambda i: i % 3 == 0).collect())
+
+    monkeypatch.setattr(posting_lists, "LIST", 50)
+    whole = found()
+    assert len(whole) == 400 * 20
+    for name, value in {"VECTORS": 100 * 8 * 8, "ASKING": 50, "LEAST": 100, "BLOCK": 1000, "HITS": 100, "READING": 7}.items():
+        monkeypatch.setattr(posting_lists, name, value)
+    assert found() == whole
+
+
+def test_ties_are_cut_by_id_and_few_are_kept(spark, monkeypatch):
+    monkeypatch.setattr(posting_lists, "HITS", 50)
+    x = np.eye(12)[np.arange(600) % 12] * (1 + np.arange(600) // 12 % 2)[:, None]
+    x[:, 0] = 1 + np.arange(600) * 1e-3 * (np.arange(600) < 30)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    by_query = {}
+    for r in posting_lists.nearest(table, lambda i: i % 200 == 0, recall=1.0).orderBy("query_id", "rank").collect():
+        by_query.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    for q in (0, 200, 400):
+        scores = (x * x[q]).sum(1)
+        assert by_query[q] == [(i, scores[i]) for i in np.lexsort((np.arange(600), -scores)) if i != q][:20]
+
+
+def test_an_id_with_several_vectors(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 2.0]), (20, [1.0, 0.0]), (20, [1.0, 0.0]), (3, [0.5, 0.0]), (4, [-0.0, 3.0]), (5, [0.0, 3.0])]
+    found = {}
+    for r in posting_lists.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), lambda i: i % 20 == 0).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert sorted(found[20]) == [(1, 0, 1.0), (2, 3, 0.5), (3, 0, 0.0), (4, 4, 0.0), (5, 5, 0.0)]
+    assert sorted(found[0]) == [(1, 4, 6.0), (2, 5, 6.0), (3, 20, 1.0), (4, 3, 0.5)]
+
+
+def test_search_finds_what_is_near_at_any_beam():
+    x = np.random.default_rng(9).normal(size=(700, 6))
+    graph = centroid_graph.CentroidGraph(x[:400])
+    true = np.argsort(centroid_graph.distances(x[400:], x[:400]), 1)
+    for beam in (1, 16, 100, 400, 500):
+        at, far = graph.search(x[400:], beam)
+        np.testing.assert_allclose(far, ((x[at] - x[400:, None]) ** 2).sum(2), rtol=1e-12)
+        assert (np.diff(far) >= 0).all() and at.shape == (300, min(beam, 400))
+        assert (at[:, :1] == true[:, :1]).mean() > (0.6 if beam == 1 else 0.97)
+    assert (at == true).all()
+    groups = centroid_graph.grouped(x[:400], np.arange(400), 7)
+    assert len(groups) == 7 and sorted(np.concatenate(groups)) == list(range(400)) and max(g.sum() for g in groups) < 2 * min(g.sum() for g in groups)
+
+
 def test_vectors_that_take_no_part(spark):
     rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (20, [0.0, 1.0]), (40, [0.0, 0.0]), (60, None), (80, [None, 1.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [math.nan, 1.0]), (4, [1.0]), (None, [1.0, 1.0])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
