@@ -15,6 +15,8 @@ from pyspark.sql.types import StructType
 #: Rows with whole texts that a Python worker holds as Python objects at a time. Spark's batches have
 #: up to 10,000; executors' memory has to hold what each of their workers takes beside the JVM.
 ROWS = 1000
+#: Spark's setting for the shuffles of a query that has ended.
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _local_folder: dict[str, str] = {}
 _shipped: set[str] = set()
@@ -37,17 +39,33 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder[app]
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, free: bool = False) -> DataFrame:
     """df, written as Parquet to the shared folder and read again: later jobs start from there.
 
-    Lost executors cost only the tasks after it. Each call takes a folder of its own.
+    Lost executors cost only the tasks after it. Each call takes a folder of its own. With `free` the
+    shuffles of the write are deleted when it has ended, and not when the driver collects its garbage.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(FREED)
+    if free:
+        spark.conf.set(FREED, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if free:
+            spark.conf.set(FREED, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Delete what staged() wrote; nothing may read df any more."""
+    spark = df.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application, as --py-files would."""
     context = spark.sparkContext

@@ -13,7 +13,7 @@ end all, until they are; so it gets k rows, or all others if there are fewer.
 Lists that are neighbours form a shard. A vector goes once to each shard of its lists, a query
 once to each shard of which it reads a list, as bits of the lists it reads there; so what is moved
 grows with the shards and not with the lists that a query reads. A shard is dealt in tiles: a tile
-holds at most VECTORS bytes of vectors, whatever a list's length, and takes at most ASKING queries,
+holds about VECTORS bytes of vectors, whatever a list's length, and takes about ASKING queries,
 which stream by in slices of ROWS. Equal vectors are one on the lists and one query; of them only
 the k + 1 smallest ids can be among the k nearest, so no more are kept. What k + 1 vectors of the
 sample on a query's own lists reach bounds what a tile looks at; a tile gives k + 1 vectors of a
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
 from footfall.llm.centroid_graph import HELD, CentroidGraph, balanced_centroids, grouped
-from footfall.llm.common import ROWS, map_slices, ship, staged, tasks
+from footfall.llm.common import ROWS, dropped, map_slices, ship, staged, tasks
 
 SAMPLE, REPLICAS, PROBED, RECALL = 20_000, 4, 128, 0.97
 #: Vectors for each centroid, about, as long as the sample has 8 for each.
@@ -225,14 +225,15 @@ def fit(reps: DataFrame, queries: DataFrame, kind: str, k: int, recall: float =
 class Tiles:
     """Which tiles a shard has: for each part of its vectors one for each part of its queries.
 
-    shards: the lists of each; sizes: the vectors on each list; most: the vectors of a tile.
+    shards: the lists of each; sizes: the vectors on each list; most: the vectors of a tile, about.
     """
 
     def __init__(self, shards: list[np.ndarray], sizes: np.ndarray, most: int):
         self.shards, self.shard, self.place = shards, np.empty(len(sizes), "i8"), np.empty(len(sizes), "i8")
         for s, own in enumerate(shards):
             self.shard[own], self.place[own] = s, np.arange(len(own))
-        self.parts = np.maximum(1, -(-np.array([sizes[own].sum() for own in shards]) // most))
+        # A shard that is a little larger is one part.
+        self.parts = np.maximum(1, -(-4 * np.array([sizes[own].sum() for own in shards]) // (5 * most)))
         self.deal(np.zeros(len(shards), "i8"))
 
     def deal(self, asked: np.ndarray) -> None:
@@ -381,9 +382,9 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, recall: float = RECALL) -
     spark = vectors.sparkSession
     rows = valid(vectors)
     kind = "f4" if rows.schema["v"].dataType.elementType == FloatType() else "f8"
-    members = staged(keyed(packed(rows, kind), k + 1).withColumn("x", F.when(F.col("first"), F.col("x"))), "members")
-    queries = staged(keyed(packed(rows.where(is_query(F.col("id"))), kind)), "queries")
-    reps = members.where("first").select("key", "id", "x")
+    whole = staged(keyed(packed(rows, kind), k + 1).withColumn("x", F.when(F.col("first"), F.col("x"))), "vectors", free=True)
+    queries = staged(keyed(packed(rows.where(is_query(F.col("id"))), kind)), "queries", free=True)
+    reps = whole.where("first").select("key", "id", "x")
     index = fit(reps, queries.select("id", "x"), kind, k, recall)
     if index is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -396,6 +397,8 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, recall: float = RECALL) -
             yield {"key": part.column("key"), "id": part.column("id"), "x": part.column("x"), "lists": [some[some >= 0] for some in own]}
 
     postings = staged(map_slices(reps, placed, "key long, id long, x binary, lists array<int>", ROWS), "postings")
+    members = staged(whole.select("id", "key"), "members")
+    dropped(whole)  # the vectors are with the postings now
     sizes, homes = np.zeros((2, len(index.graph.centroids)), "i8")
     for r in postings.select(F.posexplode("lists").alias("place", "list")).groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("place") == 0).cast("long")).alias("home")).collect():
         sizes[r["list"]], homes[r["list"]] = r["n"], r["home"]

@@ -2,16 +2,19 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 import textwrap
+import time
 from collections import Counter
 
 import numpy as np
 import pytest
 from corpora import CLASHING, PLAIN, documents, prose
+from pyspark.sql import functions as F
 
-from footfall.llm import centroid_graph, charnet, html_blocks, html_extract, license_scan, posting_lists, secret_scan, toxicity
+from footfall.llm import centroid_graph, charnet, common, html_blocks, html_extract, license_scan, posting_lists, secret_scan, toxicity
 from footfall.llm.block_max import BlockMax
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -316,8 +319,8 @@ def test_rows_do_not_grow_with_the_lists_that_a_query_reads(spark, monkeypatch):
     table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
     kept, rows = posting_lists.staged, {}
 
-    def counted(df, name):
-        out = kept(df, name)
+    def counted(df, name, **more):
+        out = kept(df, name, **more)
         rows[name] = out.count()
         return out
 
@@ -326,6 +329,31 @@ def test_rows_do_not_grow_with_the_lists_that_a_query_reads(spark, monkeypatch):
     assert len(rows) > 2 and max(rows.values()) <= 1500, rows
 
 
+def test_shuffles_of_a_staged_frame_go_with_its_write(spark):
+    def files():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {blocks.apply(i).getName() for i in range(blocks.size())}
+
+    def grouped(n):
+        return spark.range(5000).groupBy((F.col("id") % n).alias("k")).count()
+
+    before, setting = files(), spark.conf.get(common.FREED)
+    frame = common.staged(grouped(1000), "freed", free=True)
+    folder = os.path.dirname(frame.inputFiles()[0].removeprefix("file://"))
+    assert len(frame.collect()) == 1000 and os.path.isdir(folder)
+    common.dropped(frame)
+    assert not os.path.exists(folder) and os.path.isdir(os.path.dirname(folder))
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    new = {f for f in files() - before if f.endswith(".data")}
+    assert spark.conf.get(common.FREED) == setting and not new
+    with pytest.raises(Exception, match="no such thing"):
+        common.staged(grouped(10).select(F.raise_error(F.lit("no such thing")).cast("string")), "failed", free=True)
+    assert spark.conf.get(common.FREED) == setting
+
+
 @pytest.mark.parametrize("kind", ["float", "double"])
 def test_tiles_of_any_size_give_the_same_neighbours(spark, monkeypatch, kind):
     x = np.random.default_rng(8).normal(size=(1200, 8))
